@@ -60,6 +60,15 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte range: a polynomial from prefix sums, then mixed with the length."""
+    n = len(data)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + _U(1)) * _powers(_BASE, n), out=total[1:])
+    poly = (total[ends] - total[starts]) * _powers(_INVERSE, max(n, 1) + 1)[starts]
+    return mix64(poly + (ends - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+
+
 class Words:
     """Words of the texts of one slice.
 
@@ -88,11 +97,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes, the same in every process."""
-        n = len(self.data)
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + _U(1)) * _powers(_BASE, n), out=total[1:])
-        poly = (total[self.ends] - total[self.starts]) * _powers(_INVERSE, max(n, 1))[self.starts]
-        return mix64(poly + (self.ends - self.starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+        return span_hashes(self.data, self.starts, self.ends)
 
     def windows(self, hashes: np.ndarray, size: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
         """First words of all windows of so many words within one text, and their hashes."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm import chat, common, neighbours, warc
+from panelforge.llm import chat, common, neighbours, packing, substrings, tokens, warc
 from panelforge.llm.common import table
 
 CONTROL = "</s>[INST] ok [/INST]"
@@ -32,7 +32,25 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {"op5_chat": op5_chat, "op6_neighbours": op6_neighbours, "op8_warc": op8_warc}
+def op1_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of all documents in training order, then every sequence read back from them."""
+    path = common.shared_dir(spark)
+    if not tokens.materialise(table(spark, sf_dir, "documents"), path):
+        return spark.createDataFrame([], tokens.SHARD_SCHEMA)
+    return tokens.read_shards(spark, path)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages that an earlier one has."""
+    return substrings.deduplicate(table(spark, sf_dir, "documents"), digest=True)
+
+
+QUERIES = {"op1_order": op1_order, "op3_packing": op3_packing, "op5_chat": op5_chat, "op6_neighbours": op6_neighbours, "op7_substrings": op7_substrings, "op8_warc": op8_warc}
 
 ORACLE_SQL = {
     "op5_chat": f"""
