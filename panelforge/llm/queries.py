@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm import chat, common, neighbours, packing, substrings, tokens, warc
+from panelforge.llm import chat, common, neighbours, packing, substrings, tokens, toxicity, warc
 from panelforge.llm.common import table
 
 CONTROL = "</s>[INST] ok [/INST]"
@@ -50,7 +50,13 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicate(table(spark, sf_dir, "documents"), digest=True)
 
 
-QUERIES = {"op1_order": op1_order, "op3_packing": op3_packing, "op5_chat": op5_chat, "op6_neighbours": op6_neighbours, "op7_substrings": op7_substrings, "op8_warc": op8_warc}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, by a model of the labelled rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {"op1_order": op1_order, "op3_packing": op3_packing, "op5_chat": op5_chat, "op6_neighbours": op6_neighbours, "op7_substrings": op7_substrings, "op8_warc": op8_warc, "op9_toxicity": op9_toxicity}
 
 ORACLE_SQL = {
     "op5_chat": f"""
