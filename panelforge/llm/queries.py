@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm import chat, common, neighbours, packing, substrings, tokens, toxicity, warc
+from panelforge.llm import chat, common, licenses, neighbours, packing, substrings, tokens, toxicity, warc
 from panelforge.llm.common import table
 
 CONTROL = "</s>[INST] ok [/INST]"
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and texts in all documents."""
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and conversation -7 whose texts are control strings."""
     own = spark.sql(f"select -7L conv_id, 0L turn, 'user' role, '{CONTROL}' text union all select -7L, 1L, 'assistant', '{CONTROL}'")
@@ -56,7 +61,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {"op1_order": op1_order, "op3_packing": op3_packing, "op5_chat": op5_chat, "op6_neighbours": op6_neighbours, "op7_substrings": op7_substrings, "op8_warc": op8_warc, "op9_toxicity": op9_toxicity}
+QUERIES = {"op1_order": op1_order, "op3_packing": op3_packing, "op4_licenses": op4_licenses, "op5_chat": op5_chat, "op6_neighbours": op6_neighbours, "op7_substrings": op7_substrings, "op8_warc": op8_warc, "op9_toxicity": op9_toxicity}
 
 ORACLE_SQL = {
     "op5_chat": f"""

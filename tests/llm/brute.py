@@ -62,3 +62,18 @@ def near(docs, share=80):
         r = root(i)
         least[r] = min(d, least.get(r, d))
     return [(d, len(sets[i]), least[root(i)], d == least[root(i)]) for i, d in enumerate(ids)]
+
+
+def licenses(docs, phrases):
+    out = []
+    for d, t in docs:
+        w = ALNUM.findall(lower(t))
+        places, labels = [], set()
+        for phrase, label in phrases:
+            p = phrase.encode().split()
+            for i in range(len(w) - len(p) + 1):
+                if w[i : i + len(p)] == p:
+                    places.append(i)
+                    labels.add(label)
+        out.append((d, len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))))
+    return out
