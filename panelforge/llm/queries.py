@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm import chat, common, licenses, neighbours, packing, substrings, tokens, toxicity, warc
+from panelforge.llm import chat, common, decontamination, licenses, near, neighbours, packing, substrings, tokens, toxicity, warc
 from panelforge.llm.common import table
 
 CONTROL = "</s>[INST] ok [/INST]"
@@ -45,6 +45,11 @@ def op1_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_shards(spark, path)
 
 
+def op2_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies among all documents, on shingles of two words."""
+    return near.near(table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -61,7 +66,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {"op1_order": op1_order, "op3_packing": op3_packing, "op4_licenses": op4_licenses, "op5_chat": op5_chat, "op6_neighbours": op6_neighbours, "op7_substrings": op7_substrings, "op8_warc": op8_warc, "op9_toxicity": op9_toxicity}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with benchmark items in them."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {"op1_order": op1_order, "op2_near": op2_near, "op3_packing": op3_packing, "op4_licenses": op4_licenses, "op5_chat": op5_chat, "op6_neighbours": op6_neighbours, "op7_substrings": op7_substrings, "op8_warc": op8_warc, "op9_toxicity": op9_toxicity, "op10_decontamination": op10_decontamination}
 
 ORACLE_SQL = {
     "op5_chat": f"""

@@ -77,3 +77,26 @@ def licenses(docs, phrases):
                     labels.add(label)
         out.append((d, len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))))
     return out
+
+
+def leaks(docs, items):
+    """By scoring every item for every passage."""
+    import numpy as np
+
+    from panelforge.llm import decontamination as d
+
+    index = d.Index(items)
+    weight = [{} for _ in items]
+    for t, (ids, values) in zip(index.terms.tolist(), index.lists, strict=True):
+        for i, v in zip(ids, values, strict=True):
+            weight[i][t] = v
+    out = set()
+    for doc, text in docs:
+        h = d._words(text)[1]
+        for lo in range(0, max(1, len(h)), index.longest):
+            part = h[lo : lo + 2 * index.longest]
+            terms, passage = set(part.tolist()), d.shingles(part)
+            for i, w in enumerate(weight):
+                if w and sum(v for t, v in w.items() if t in terms) >= d.THRESHOLD - 1e-9 and d.overlap(index.question[i], passage) >= d.SHARE and d.overlap(index.answer[i], passage) >= d.SHARE:
+                    out.add((doc, index.ids[i]))
+    return out
