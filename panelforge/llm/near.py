@@ -122,7 +122,7 @@ def bands(sketches: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-SKETCHES = "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>"
+SKETCHES = "doc_id long, text_hash long, n_shingles long, fp1 long, fp2 long, bands array<long>"
 
 
 def _sketch(shingle: int):
@@ -134,7 +134,7 @@ def _sketch(shingle: int):
                 keys = bands(s.sketches())
                 cuts = np.concatenate([[0], np.cumsum(np.where(s.counts > 0, BANDS, 0))]).astype(np.int32)
                 flat = pa.ListArray.from_arrays(pa.array(cuts), pa.array(keys[s.counts > 0].ravel()))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), pa.array(s.counts.astype(np.int64)), pa.array(one), pa.array(two), flat], names=["doc_id", "n_shingles", "fp1", "fp2", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("text_hash").slice(lo, hi - lo), pa.array(s.counts.astype(np.int64)), pa.array(one), pa.array(two), flat], names=["doc_id", "text_hash", "n_shingles", "fp1", "fp2", "bands"])
 
     return run
 
@@ -259,11 +259,11 @@ def _meet(shingle: int, percent: int):
 
 
 def near(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each row of documents (doc_id, text)."""
+    """doc_id, n_shingles, component_id, text_hash (xxhash64) and kept of each row of documents (doc_id, text)."""
     spark = documents.sparkSession
     small_batches(spark)
     docs = pick(documents, doc_id="long", text="string")
-    sketched = written(docs.mapInArrow(_sketch(shingle), SKETCHES))
+    sketched = written(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_sketch(shingle), SKETCHES))
     named = sketched.filter("doc_id is not null and n_shingles > 0")
     classes = named.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("node"))
 
@@ -304,8 +304,15 @@ def near(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame
     labels = components(links).select("node", F.col("component").alias("c"))
     known = classes.join(labels, "node", "left").select("fp1", "fp2", F.coalesce("c", "node").alias("c"))
     return (
-        sketched.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("fp1")).alias("fp1"), "fp2")
+        sketched.select("doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("fp1")).alias("fp1"), "fp2")
         .join(known, ["fp1", "fp2"], "left")
-        .select("doc_id", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"))
+        .select("doc_id", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"), "text_hash")
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+
+
+def keep_one(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The documents, with all their columns, that are the smallest of their group."""
+    gone = near(documents, shingle, percent).filter("not kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    here = (F.col("doc_id").cast("long") == F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_hash"))
+    return documents.join(gone, here, "left_anti")

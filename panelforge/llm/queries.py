@@ -47,7 +47,7 @@ def op1_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near copies among all documents, on shingles of two words."""
-    return near.near(table(spark, sf_dir, "documents"), shingle=2)
+    return near.near(table(spark, sf_dir, "documents"), shingle=2).drop("text_hash")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,7 +53,8 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = buffers(b.column("text"))
         at = offsets.tolist()
         texts = [pack.compress(data[lo:hi].tobytes()) if hi > lo else b"" for lo, hi in zip(at[:-1], at[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column("seg"), b.column("doc_id"), pa.array(texts, pa.binary())], names=["seg", "doc_id", "packed"])
+        others = [n for n in b.schema.names if n not in ("seg", "doc_id", "text")]
+        yield pa.RecordBatch.from_arrays([b.column("seg"), b.column("doc_id"), pa.array(texts, pa.binary()), *[b.column(n) for n in others]], names=["seg", "doc_id", "packed", *others])
 
 
 class Segment:
@@ -221,7 +222,7 @@ def _joined(s: Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, begins[kept_before[s.first]]
 
 
-def _remove(digest: bool):
+def _remove(digest: bool, carried: list[str]):
     def run(key: tuple[pa.Scalar, ...], t: pa.Table, answers: pa.Table) -> pa.Table:
         s = Segment(t)
         at, keys, more = s.windows()
@@ -242,26 +243,44 @@ def _remove(digest: bool):
         texts = [raw[lo : max(lo, hi - 1)] for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
         removed = s.words.counts - (np.concatenate([[0], np.cumsum(keep)])[s.words.first[1:]] - np.concatenate([[0], np.cumsum(keep)])[s.words.first[:-1]])
         kept = pa.array([hashlib.sha256(x).digest() for x in texts] if digest else texts, pa.binary())
-        return pa.table({"doc_id": t.column("doc_id"), "n_words": pa.array(s.words.counts.astype(np.int64)), "n_removed": pa.array(removed.astype(np.int64)), "kept": kept})
+        return pa.table({"doc_id": t.column("doc_id"), "n_words": pa.array(s.words.counts.astype(np.int64)), "n_removed": pa.array(removed.astype(np.int64)), "kept": kept} | {n: t.column(n) for n in carried})
 
     return run
 
 
-def deduplicate(documents: DataFrame, digest: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed and kept_text (digest: kept_sha256, its lowercase hex digest) of each row of documents (doc_id, text)."""
+def deduplicate(documents: DataFrame, digest: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_words, n_removed and kept_text (digest: kept_sha256, its lowercase hex digest) of each row of documents (doc_id, text).
+
+    carry: columns that come along unchanged.
+    """
     spark = documents.sparkSession
     small_batches(spark)
-    docs = pick(documents, doc_id="long", text="string")
+    kinds = dict(documents.dtypes)
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)])
+    more = "".join(f", c{i} {kinds[c]}" for i, c in enumerate(carry))
     total = docs.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).collect()[0]
     least = min(total["n"] // 64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     segments = max(1, -(-(total["b"] or 0) // SEGMENT_BYTES), least)
     buckets = max(1, segments // SEGMENTS_A_BUCKET)
-    dealt = docs.withColumn("seg", F.pmod(F.xxhash64("doc_id", "text"), F.lit(segments)).cast("int")).mapInArrow(_compress, "seg int, doc_id long, packed binary")
+    dealt = docs.withColumn("seg", F.pmod(F.xxhash64("doc_id", "text"), F.lit(segments)).cast("int")).mapInArrow(_compress, "seg int, doc_id long, packed binary" + more)
     whole = dealt.groupBy("seg")
     anchors = whole.applyInArrow(_send_anchors(buckets), MESSAGES)
     shared = anchors.groupBy("bucket").applyInArrow(_shared_anchors, ANSWERS)
     windows = whole.cogroup(shared.groupBy("seg")).applyInArrow(_send_windows(buckets), MESSAGES)
     earlier = windows.groupBy("bucket").applyInArrow(_earlier, ANSWERS)
-    out = whole.cogroup(earlier.groupBy("seg")).applyInArrow(_remove(digest), RESULT)
+    out = whole.cogroup(earlier.groupBy("seg")).applyInArrow(_remove(digest, [f"c{i}" for i in range(len(carry))]), RESULT + more)
     kept = F.lower(F.hex("kept")).alias("kept_sha256") if digest else F.col("kept").cast("string").alias("kept_text")
-    return out.select("doc_id", "n_words", "n_removed", kept)
+    return out.select("doc_id", "n_words", "n_removed", kept, *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])
+
+
+def rewrite(documents: DataFrame) -> DataFrame:
+    """The documents with all their columns, without the words that go; n_chars follows, texts that lose nothing stay as they are."""
+    columns = documents.columns
+    done = deduplicate(documents, carry=tuple(columns))
+    done = done.toDF(*["_id", "_words", "_removed", "_kept"], *columns)
+    gone = F.col("_removed") > 0
+    out = {c: F.col(f"`{c}`") for c in columns}
+    out["text"] = F.when(gone, F.col("_kept")).otherwise(F.col("text"))
+    if "n_chars" in out:
+        out["n_chars"] = F.when(gone, F.length("_kept")).otherwise(F.col("n_chars")).cast(dict(documents.dtypes)["n_chars"])
+    return done.select(*[x.alias(c) for c, x in out.items()])
