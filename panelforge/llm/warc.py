@@ -63,8 +63,8 @@ def plan_records(pages: DataFrame) -> DataFrame:
 
 
 def write(pages: DataFrame, path: str) -> None:
-    """Archives in path, one record per row of pages. Files follow the partitions, which AQE keeps even."""
-    r = plan_records(pages).hint("rebalance")
+    """Archives in path, one record per row of pages. Files follow the partitions of the join, which AQE keeps even."""
+    r = plan_records(pages)
     one_line = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20\x7f]", "")
     number = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     revisit = F.col("record_type") == "revisit"
