@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from panelforge.llm.common import dropped, mix64, pick, shared_dir, small_batches
 
 END_ID = 1
-CACHE_RUNS = 1 << 20
+CACHE_RUNS = 1 << 19
 SEQUENCE = 512
-SHARD_SLOTS = 1 << 14
+SHARD_SLOTS = 1 << 13
 NO_ID = -(2**63)
 #: slot, first document, place in it, number of ids; then the ids; then a line feed.
 HEADER = np.dtype([("slot", "<i8"), ("doc_id", "<i8"), ("start", "<i8"), ("n_ids", "<i4")])
@@ -205,15 +205,11 @@ def _shards(offsets: dict[int, int], n: int, key: int):
 
 
 def _in_order(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-    """The records of a shard by slot: one row each, without the line feed that the writer adds."""
+    """A shard's records by slot, as one row without the last line feed, which the writer adds."""
     unpack = zstandard.ZstdDecompressor()
     rec = np.concatenate([np.frombuffer(unpack.decompress(x), dtype=RECORD) for x in t.column("records").to_pylist()])
     rec = rec[np.argsort(rec["head"]["slot"])]
-    raw = np.ascontiguousarray(rec).view(np.uint8).reshape(len(rec), STRIDE)[:, :-1]
-    data = np.ascontiguousarray(raw)
-    offsets = np.arange(len(rec) + 1, dtype=np.int32) * (STRIDE - 1)
-    values = pa.Array.from_buffers(pa.binary(), len(rec), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-    return pa.table({"shard": pa.array(np.full(len(rec), key[0].as_py(), np.int32)), "value": values})
+    return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "value": pa.array([rec.tobytes()[:-1]], pa.binary())})
 
 
 def materialise(documents: DataFrame, path: str, key: int = 20240101, tokenizer: str | None = None) -> int:
