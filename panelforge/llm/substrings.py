@@ -92,7 +92,7 @@ def _messages(seg: int, buckets: int, keys: np.ndarray, more: list[np.ndarray])
     order = np.argsort(bucket, kind="stable")
     keys, more, bucket = keys[order], [m[order] for m in more], bucket[order]
     at = np.flatnonzero(np.diff(bucket, prepend=-1))
-    ends = [*at[1:].tolist(), len(keys)]
+    ends = [*at[1:].tolist(), len(keys)][: len(at)]
     pack = zstandard.ZstdCompressor(level=1)
     cut = list(zip(at.tolist(), ends, strict=True))
     return pa.table(
@@ -138,7 +138,7 @@ def _answers(seg: np.ndarray, keys: np.ndarray) -> pa.Table:
     order = np.argsort(seg, kind="stable")
     seg, keys = seg[order], keys[order]
     at = np.flatnonzero(np.diff(seg, prepend=-1))
-    ends = [*at[1:].tolist(), len(keys)]
+    ends = [*at[1:].tolist(), len(keys)][: len(at)]
     return pa.table({"seg": pa.array(seg[at].astype(np.int32)), "keys": pa.array([keys[lo:hi].tobytes() for lo, hi in zip(at.tolist(), ends, strict=True)], pa.binary())})
 
 
