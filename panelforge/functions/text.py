@@ -25,10 +25,12 @@ _LIGATURES = {chr(c): unicodedata.normalize("NFKD", chr(c)) for c in range(0xFB0
 
 
 def strip_marks(c: Column) -> Column:
-    """Letters without their accents, combining marks and ligatures."""
+    """Letters without their accents, combining marks and ligatures; ASCII texts pass at once."""
+    plain = c
     for form, letters in _LIGATURES.items():
-        c = F.replace(c, F.lit(form), F.lit(letters))
-    return F.regexp_replace(F.translate(c, _MARKED, _PLAIN), "[\\u0300-\\u036f]", "")
+        plain = F.replace(plain, F.lit(form), F.lit(letters))
+    plain = F.regexp_replace(F.translate(plain, _MARKED, _PLAIN), "[\\u0300-\\u036f]", "")
+    return F.when(c.rlike("^[\\x00-\\x7f]*$"), c).otherwise(plain)
 
 
 def fold_header(c: Column) -> Column:

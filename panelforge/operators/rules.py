@@ -3,6 +3,9 @@
 A rule is lazy and returns one row per finding with the columns of FINDING; the
 engine adds severity and scope from the policy and numbers the rows. A rule
 whose frames are missing is skipped. Windows never see null keys.
+
+Rules that judge one row at a time say so, and the engine runs all of them that
+share a frame in one scan.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.config import DATASET, RULES, Settings
-from panelforge.functions.dates import date_shape, raw_or_canonical, strip
+from panelforge.functions.dates import date_shape, first_cell, raw_cells, raw_or_canonical, strip
 from panelforge.functions.ids import stable_id
 from panelforge.functions.text import blank, present, twelve_digits
 
@@ -51,6 +54,41 @@ def findings(df: DataFrame, *, message: str | Column, record: str | None = "chil
     return df.select(col(record).alias("record_id"), col(school).alias("school_id"), col(period).alias("period"), col(file).alias("source_file_id"), name.alias("field_name"), seen.alias("observed_value"), text.alias("message"))
 
 
+#: Rules on single rows: frame, condition, field, observed value and message, each a function of the settings.
+ROWS: dict[str, tuple[str, Callable[[Settings], tuple[Column, Column, Column, Column]]]] = {}
+
+
+def row_rule(rule_id: str, frame: str, *needs: str):
+    """Registers a rule that is a condition on the rows of a frame."""
+
+    def put(f: Callable[[Settings], tuple[Column, Column, Column, Column]]):
+        ROWS[rule_id] = (frame, f)
+
+        def run(frames: Frames, s: Settings) -> DataFrame:
+            cond, field, observed, message = f(s)
+            return findings(_rows_of(frames, frame).filter(cond), field=field, observed=observed, message=message)
+
+        rule(rule_id, *(needs or (frame,)))(run)
+        return f
+
+    return put
+
+
+def _rows_of(frames: Frames, name: str) -> DataFrame:
+    return shapes(frames) if name == "shapes" else frames[name]
+
+
+def _in_one_scan(df: DataFrame, found: list[tuple[str, str, str, tuple[Column, Column, Column, Column]]]) -> DataFrame:
+    """The findings of several row rules on one frame."""
+    col = lambda c: F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
+    hits = [
+        F.when(cond, F.struct(F.lit(r).alias("rule_id"), F.lit(sev).alias("severity"), F.lit(scope).alias("scope"), field.cast("string").alias("field_name"), seen.cast("string").alias("observed_value"), said.alias("message")))
+        for r, sev, scope, (cond, field, seen, said) in found
+    ]
+    rows = df.select(col("child_record_id").alias("record_id"), col("school_id").alias("school_id"), col("period").alias("period"), col("source_file_id").alias("source_file_id"), F.explode(F.array_compact(F.array(*hits))).alias("x"))
+    return rows.select("x.rule_id", "x.severity", "x.scope", "record_id", "school_id", "period", "source_file_id", "x.field_name", "x.observed_value", "x.message")
+
+
 # Completeness and validity
 
 
@@ -60,45 +98,43 @@ def required_column(f: Frames, s: Settings) -> DataFrame:
     return findings(d, record=None, field=F.col("mapped_to"), observed=F.col("column_name_raw"), message="required column not found")
 
 
-def _missing(column: str, frame: str, what: str) -> Rule:
-    def run(f: Frames, s: Settings) -> DataFrame:
-        df = f[frame]
-        gone = blank(F.col(column)) if dict(df.dtypes)[column] == "string" else F.col(column).isNull()
-        return findings(df.filter(gone), field=column, message=f"{what} is missing")
+def _nothing() -> Column:
+    return F.lit(None).cast("string")
 
-    return run
+
+def _missing(column: str, what: str, text: bool = True):
+    return lambda s: (blank(F.col(column)) if text else F.col(column).isNull(), F.lit(column), _nothing(), F.lit(f"{what} is missing"))
 
 
-rule("DQA_COMPLETENESS_MISSING_LRN", "child_records")(_missing("lrn_clean", "child_records", "reference number"))
-rule("DQA_COMPLETENESS_MISSING_BIRTH_DATE", "child_records")(_missing("birthday_str", "child_records", "birth date"))
-rule("DQA_COMPLETENESS_MISSING_HEIGHT", "measurements")(_missing("height_cm", "measurements", "height"))
-rule("DQA_COMPLETENESS_MISSING_WEIGHT", "measurements")(_missing("weight_kg", "measurements", "weight"))
+row_rule("DQA_COMPLETENESS_MISSING_LRN", "child_records")(_missing("lrn_clean", "reference number"))
+row_rule("DQA_COMPLETENESS_MISSING_BIRTH_DATE", "child_records")(_missing("birthday_str", "birth date"))
+row_rule("DQA_COMPLETENESS_MISSING_HEIGHT", "measurements")(_missing("height_cm", "height", False))
+row_rule("DQA_COMPLETENESS_MISSING_WEIGHT", "measurements")(_missing("weight_kg", "weight", False))
 
 
-@rule("DQA_VALIDITY_MALFORMED_LRN", "child_records")
-def malformed(f: Frames, s: Settings) -> DataFrame:
+@row_rule("DQA_VALIDITY_MALFORMED_LRN", "child_records")
+def malformed(s: Settings):
     c = F.col("lrn_clean")
-    return findings(f["child_records"].filter(present(c) & ~twelve_digits(c)), field="lrn_clean", observed=c, message="reference number isn't of 12 digits")
+    return present(c) & ~twelve_digits(c), F.lit("lrn_clean"), c, F.lit("reference number isn't of 12 digits")
 
 
-@rule("DQA_COMPLETENESS_MISSING_SEX", "child_records")
-def missing_sex(f: Frames, s: Settings) -> DataFrame:
+@row_rule("DQA_COMPLETENESS_MISSING_SEX", "child_records")
+def missing_sex(s: Settings):
     c = F.col("sex")
-    return findings(f["child_records"].filter(blank(c) | ~F.coalesce(c.isin("Male", "Female"), F.lit(False))), field="sex", observed=c, message="sex is missing or unknown")
+    return blank(c) | ~F.coalesce(c.isin("Male", "Female"), F.lit(False)), F.lit("sex"), c, F.lit("sex is missing or unknown")
 
 
-def _range(column: str, limits: str) -> Rule:
-    def run(f: Frames, s: Settings) -> DataFrame:
-        lo, hi = getattr(s, limits)
+def _range(column: str):
+    def run(s: Settings):
+        lo, hi = getattr(s, column)
         c = F.col(column)
-        text = F.concat(F.format_string("%.1f", c.cast("double")), F.lit(f" is outside {lo:.0f} to {hi:.0f}"))
-        return findings(f["measurements"].filter((c < lo) | (c > hi)), field=column, observed=c, message=text)
+        return (c < lo) | (c > hi), F.lit(column), c, F.concat(F.format_string("%.1f", c.cast("double")), F.lit(f" is outside {lo:.0f} to {hi:.0f}"))
 
     return run
 
 
-rule("DQA_RANGE_IMPLAUSIBLE_HEIGHT", "measurements")(_range("height_cm", "height_cm"))
-rule("DQA_RANGE_IMPLAUSIBLE_WEIGHT", "measurements")(_range("weight_kg", "weight_kg"))
+row_rule("DQA_RANGE_IMPLAUSIBLE_HEIGHT", "measurements")(_range("height_cm"))
+row_rule("DQA_RANGE_IMPLAUSIBLE_WEIGHT", "measurements")(_range("weight_kg"))
 
 
 # Dates, on the raw cells
@@ -106,37 +142,39 @@ rule("DQA_RANGE_IMPLAUSIBLE_WEIGHT", "measurements")(_range("weight_kg", "weight
 
 def shapes(f: Frames) -> DataFrame:
     """One row per record and date field, with the raw cell's shape. Both fields come from one pass over the records."""
+    if "shapes" in f:
+        return f["shapes"]
     heads = DATASET["school_submission"].headers()
     known = lambda field: tuple(h for h, name in heads.items() if name == field)
     c = f["child_records"]
     at = f["measurements"].select(F.col("child_record_id").alias("_id"), F.date_format("measurement_date", "yyyy-MM-dd").alias("_measured")) if "measurements" in f else None
     both = c.join(at, c["child_record_id"] == at["_id"], "left") if at is not None else c.withColumn("_measured", F.lit(None).cast("string"))
     payload = F.col("raw_payload_json") if "raw_payload_json" in c.columns else F.lit(None).cast("string")
+    both, cells = both.withColumn("_cells", raw_cells(payload)), F.col("_cells")
     each = F.array(
-        F.struct(F.lit("birthday_str").alias("field"), raw_or_canonical(payload, known("birth_date"), F.col("birthday_str")).alias("cell")),
-        F.struct(F.lit("measurement_date").alias("field"), raw_or_canonical(payload, known("measurement_date"), F.col("_measured")).alias("cell")),
+        F.struct(F.lit("birthday_str").alias("field"), first_cell(cells, known("birth_date"), F.col("birthday_str")).alias("cell")),
+        F.struct(F.lit("measurement_date").alias("field"), first_cell(cells, known("measurement_date"), F.col("_measured")).alias("cell")),
     )
     rows = both.select("child_record_id", "school_id", "period", "source_file_id", F.explode(each).alias("x"))
     return rows.select("child_record_id", "school_id", "period", "source_file_id", "x.field", "x.cell").withColumn("shape", date_shape(F.col("cell")))
 
 
-@rule("DQA_DATE_AMBIGUOUS_FORMAT", "child_records")
-def ambiguous(f: Frames, s: Settings) -> DataFrame:
-    return findings(shapes(f).filter("shape.ambiguous"), field=F.col("field"), observed=F.col("cell"), message="day and month may be swapped")
+@row_rule("DQA_DATE_AMBIGUOUS_FORMAT", "shapes", "child_records")
+def ambiguous(s: Settings):
+    return F.col("shape.ambiguous"), F.col("field"), F.col("cell"), F.lit("day and month may be swapped")
 
 
-@rule("DQA_DATE_EXCEL_SERIAL", "child_records")
-def serials(f: Frames, s: Settings) -> DataFrame:
-    return findings(shapes(f).filter("shape.serial or shape.clock"), field=F.col("field"), observed=F.col("cell"), message=F.when(F.col("shape.serial"), "serial number for a date").otherwise("date with a time of day"))
+@row_rule("DQA_DATE_EXCEL_SERIAL", "shapes", "child_records")
+def serials(s: Settings):
+    return F.col("shape.serial") | F.col("shape.clock"), F.col("field"), F.col("cell"), F.when(F.col("shape.serial"), "serial number for a date").otherwise("date with a time of day")
 
 
-@rule("DQA_DATE_IMPOSSIBLE", "child_records")
-def impossible(f: Frames, s: Settings) -> DataFrame:
+@row_rule("DQA_DATE_IMPOSSIBLE", "shapes", "child_records")
+def impossible(s: Settings):
     d = F.col("shape.date")
-    born = ~F.year(d).between(*s.birth_years)
     lo, hi = F.date_sub(F.lit(s.baseline[0]).cast("date"), s.slack_days), F.date_add(F.lit(s.endline[1]).cast("date"), s.slack_days)
-    beyond = F.when(F.col("field") == "birthday_str", born).otherwise(~d.between(lo, hi))
-    return findings(shapes(f).filter(~F.col("shape.blank") & (d.isNull() | beyond)), field=F.col("field"), observed=F.col("cell"), message="no such date, or outside its window")
+    beyond = F.when(F.col("field") == "birthday_str", ~F.year(d).between(*s.birth_years)).otherwise(~d.between(lo, hi))
+    return ~F.col("shape.blank") & (d.isNull() | beyond), F.col("field"), F.col("cell"), F.lit("no such date, or outside its window")
 
 
 # Duplicates
@@ -190,7 +228,7 @@ def sex_changed(f: Frames, s: Settings) -> DataFrame:
 
 @rule("DQA_CONSISTENCY_BIRTHDATE_ACROSS_WAVES", "child_records")
 def birth_changed(f: Frames, s: Settings) -> DataFrame:
-    cell = shapes({"child_records": f["child_records"]}).filter("field = 'birthday_str'").select("child_record_id", "cell", "shape")
+    cell = shapes(f if "shapes" in f else {"child_records": f["child_records"]}).filter("field = 'birthday_str'").select("child_record_id", "cell", "shape")
     p = pair_waves(f["child_records"].select("child_record_id", "school_id", "period", "lrn_clean", "source_file_id"))
     for x in ("b", "e"):
         p = p.join(cell.select(F.col("child_record_id").alias(f"{x}_child_record_id"), F.col("cell").alias(f"{x}_cell"), F.col("shape").alias(f"{x}_shape")), f"{x}_child_record_id")
@@ -260,14 +298,23 @@ def evaluate(frames: Frames, settings: Settings | None = None, run_id: str = "ru
     """All findings of all rules whose frames are there, with severity, scope and a stable issue_id."""
     check_policy(rules)
     settings = settings or Settings()
-    parts = []
-    for number, (rule_id, severity, scope, _) in enumerate(rules):
+    frames = dict(frames)
+    if "child_records" in frames:
+        frames["shapes"] = shapes(frames)
+    parts, shared = [], {}
+    for rule_id, severity, scope, _ in rules:
         f, needs = REGISTRY[rule_id]
-        if all(x in frames for x in needs):
-            parts.append(f(frames, settings).select(F.lit(number).alias("_rule"), F.lit(rule_id).alias("rule_id"), F.lit(severity).alias("severity"), F.lit(scope).alias("scope"), *FINDING))
+        if not all(x in frames for x in needs):
+            continue
+        if rule_id in ROWS:
+            name, row = ROWS[rule_id]
+            shared.setdefault(name, []).append((rule_id, severity, scope, row(settings)))
+        else:
+            parts.append(f(frames, settings).select(F.lit(rule_id).alias("rule_id"), F.lit(severity).alias("severity"), F.lit(scope).alias("scope"), *FINDING))
+    parts += [_in_one_scan(_rows_of(frames, name), found) for name, found in shared.items()]
     out = reduce(DataFrame.unionByName, parts)
     same = ["rule_id", "record_id", "source_file_id", "school_id", "period", "field_name"]
     nth = F.row_number().over(Window.partitionBy(*same).orderBy("observed_value", "message"))
     at = detected_at if detected_at is not None else F.current_timestamp().cast("timestamp_ntz")
     out = out.withColumn("_nth", nth).withColumn("run_id", F.lit(run_id)).withColumn("detected_at", at).withColumn("resolved_status", F.lit("unresolved"))
-    return out.withColumn("issue_id", stable_id(F.col("run_id"), *[F.col(c) for c in same], F.col("_nth"))).drop("_rule", "_nth")
+    return out.withColumn("issue_id", stable_id(F.col("run_id"), *[F.col(c) for c in same], F.col("_nth"))).drop("_nth")

@@ -519,9 +519,10 @@ def monitoring_mart(spark, sf_dir):
 
 
 @query("public_metrics", _MONITORING + """ select treatment_status, count(*) as school_count, sum(baseline_records)::bigint as baseline_record_count, sum(endline_records)::bigint as endline_record_count, sum(accepted_link_count)::bigint as accepted_link_count,
-  sum(dqa_issue_count)::bigint as dqa_issue_count, sum(critical_issue_count)::bigint as critical_issue_count, avg(dilution_ratio) as mean_dilution_ratio, avg(effective_rice_kg_per_child) as mean_effective_rice_kg_per_child from monitoring group by treatment_status""")
+  sum(dqa_issue_count)::bigint as dqa_issue_count, sum(critical_issue_count)::bigint as critical_issue_count, round(avg(dilution_ratio), 9) as mean_dilution_ratio, round(avg(effective_rice_kg_per_child), 9) as mean_effective_rice_kg_per_child from monitoring group by treatment_status""")
 def public_metrics(spark, sf_dir):
-    return marts.public_metrics(_monitoring(spark, sf_dir))
+    means = ("mean_dilution_ratio", "mean_effective_rice_kg_per_child")  # rounded: sums of doubles depend on their order
+    return marts.public_metrics(_monitoring(spark, sf_dir)).withColumns({c: F.round(c, 9) for c in means})
 
 
 @query("exposure_mart", CTES + _ALLOCATED + " select a.*, school_name, treatment_status, allocated_children < current_enrollment as allocation_shortfall_flag from allocations a join schools using (school_id)")
