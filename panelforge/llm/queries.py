@@ -73,7 +73,29 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_order": op1_order, "op2_near": op2_near, "op3_packing": op3_packing, "op4_licenses": op4_licenses, "op5_chat": op5_chat, "op6_neighbours": op6_neighbours, "op7_substrings": op7_substrings, "op8_warc": op8_warc, "op9_toxicity": op9_toxicity, "op10_decontamination": op10_decontamination}
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 ORACLE_SQL = {
+    "op2_near": rf"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') as ws from documents),
+s as (select distinct doc_id, unnest(case when len(ws) = 1 then [ws[1]] else list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) end) as shingle from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+met as (select a.doc_id as x, b.doc_id as y, count(*) as k from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+link as (select x, y from met join n a on a.doc_id = x join n b on b.doc_id = y where 100 * k >= 80 * (a.n + b.n - k)),
+edge as (select x, y from link union all select y, x from link),
+reach(doc_id, root) as (select doc_id, doc_id from w union select edge.y, reach.root from reach join edge on edge.x = reach.doc_id),
+least_root as (select doc_id, min(root) as component_id from reach group by doc_id)
+select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, component_id, w.doc_id = component_id as kept
+from w left join n using (doc_id) join least_root using (doc_id)""",
+    "op7_substrings": r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+p as (select doc_id, ws, unnest(range(1, len(ws) + 1)) as i from w),
+g as (select doc_id, i, ws[i] as word, case when i + 12 <= len(ws) then array_to_string(ws[i:i + 12], ' ') end as win from p),
+m as (select win, min(doc_id) as first_id from g where win is not null group by win),
+f as (select g.doc_id, i, word, coalesce(first_id < g.doc_id, false) as hit from g left join m on g.win = m.win),
+c as (select *, bool_or(hit) over (partition by doc_id order by i rows between 12 preceding and current row) as gone from f),
+k as (select doc_id, count(*) filter (where gone) as n_removed, string_agg(word, ' ' order by i) filter (where not gone) as kept from c group by doc_id)
+select w.doc_id, len(ws)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from w left join k using (doc_id)""",
     "op5_chat": f"""
 with t as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
