@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,9 +35,12 @@ def complete_share(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(F.avg(full.cast("int")).alias("complete_share"), F.count("*").alias("n"))
 
 
-#: Lone runs of 12 digits, and e-mail addresses.
-NUMBER = r"(?<![0-9A-Za-z])[0-9]{12}(?![0-9A-Za-z])"
+# Lone runs of 12 digits, e-mail addresses, telling file names, and the files whose text is read.
+NUMBER = r"(?<![0-9A-Za-z.])[0-9]{12}(?![0-9A-Za-z.])"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+ROSTER = r"(?i)(?:learner|student|child).*(?:master|roster)"
+TEXT_FILES = r"(?i)\.(csv|json|jsonl|txt)$"
+LONGEST_FILE = 2_000_000
 
 
 def pii_scan(df: DataFrame, id_: str, text: str) -> DataFrame:
@@ -46,6 +49,20 @@ def pii_scan(df: DataFrame, id_: str, text: str) -> DataFrame:
     return df.select(F.col(id_).alias("row_id"), n(NUMBER).alias("numbers"), n(EMAIL).alias("emails")).filter("numbers > 0 or emails > 0")
 
 
+def scan_files(spark: SparkSession, root: str, skip: tuple[str, ...] = ("tests",)) -> DataFrame:
+    """path and finding of files below root with telling names or likely personal data; folders named in skip are left out.
+
+    Names come from the listing alone; only text files of at most LONGEST_FILE bytes are opened.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    parts = F.split(F.col("path"), "/")
+    files = files.filter(~F.arrays_overlap(F.slice(parts, len(root.rstrip("/").split("://")[-1].strip("/").split("/")) + 1, F.size(parts)), F.array(*[F.lit(x) for x in skip])) if skip else F.lit(True))
+    named = files.select("path").filter(F.substring_index("path", "/", -1).rlike(ROSTER)).withColumn("finding", F.lit("file name"))
+    texts = files.filter((F.col("length") <= LONGEST_FILE) & F.col("path").rlike(TEXT_FILES)).select("path", F.col("content").cast("string").alias("text"))
+    held = F.array_compact(F.array(F.when(F.col("text").rlike(NUMBER), "number of 12 digits"), F.when(F.col("text").rlike(EMAIL), "e-mail address")))
+    return named.unionByName(texts.select("path", F.explode(held).alias("finding")))
+
+
 def violations(df: DataFrame, table: str, not_null: tuple[str, ...] = (), unique: tuple[str, ...] = (), accepted: dict[str, tuple] | None = None, between: dict[str, tuple] | None = None, refers: dict[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
     """table, check, column and number of rows that break it; all row checks are one aggregation."""
     rows = {("not_null", c): F.count_if(F.col(c).isNull()) for c in not_null}

@@ -28,6 +28,14 @@ def rule_scorecard(defects: DataFrame, issues: DataFrame, rules=RULES) -> DataFr
     return df.withColumn("missed", F.col("injected") - F.col("detected")).withColumn("sensitivity", ratio(F.col("detected"), F.col("injected"))).withColumn("precision", ratio(F.col("detected"), F.col("detected") + F.col("false_positives")))
 
 
+def pair_outcomes(links: DataFrame, truth_links: DataFrame) -> DataFrame:
+    """Each pair that was accepted or is true, as tp, fp or fn."""
+    got = links.filter("decision = 'accepted'").select(*PAIR).distinct().withColumn("_got", F.lit(True))
+    true = truth_links.select(*PAIR).distinct().withColumn("_true", F.lit(True))
+    kind = F.when(F.col("_got").isNull(), "fn").when(F.col("_true").isNull(), "fp").otherwise("tp")
+    return got.join(true, list(PAIR), "full").select(*PAIR, kind.alias("outcome"))
+
+
 def link_scorecard(candidates: DataFrame, truth_links: DataFrame, n_children: int, settings: Settings | None = None) -> DataFrame:
     """Precision, recall and the rest by method and threshold, all thresholds in one job.
 

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.config import RULES, Settings
-from panelforge.functions import dates, ids, measures, text
+from panelforge.functions import dates, ids, measures, similarity, text
 from panelforge.operators import linkage, marts, profile, resolver, rules, scorecards, versions
 from panelforge.plans.frames import CTES, load
-from panelforge.sources.headers import drift
+from panelforge.sources import files
+from panelforge.sources.headers import drift, mapped, vote
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -134,6 +135,37 @@ def schema_drift(spark, sf_dir):
     return drift(heads.withColumn("dataset", F.lit("school_submission"))).select("source_file_id", "drift_type", "column_name_raw", "mapped_to")
 
 
+@query("path_facts", """
+select c_custkey, case c_custkey % 4 when 0 then 'school_submission' when 1 then 'school_masterlist' when 2 then 'enrollment_snapshot' end as dataset,
+  case c_custkey % 4 when 0 then 'baseline' when 1 then 'endline' end as period, case c_custkey % 4 when 0 then 'SCH_' || c_custkey when 2 then 'AB_' || lpad(cast(c_custkey as varchar), 8, '0') end as school
+from customer""")
+def path_facts(spark, sf_dir):
+    key, k = F.col("c_custkey").cast("string"), F.col("c_custkey") % 4
+    path = F.when(k == 0, F.concat(F.lit("baseline/sch-"), key, F.lit("_v2.csv"))).when(k == 1, "x_endline_masterlist.csv").when(k == 2, F.concat(F.lit("Enrollment/AB-"), F.lpad(key, 8, "0"), F.lit(".xlsx"))).otherwise("zz.csv")
+    p = table(spark, sf_dir, "customer").select("c_custkey", path.alias("p"))
+    return p.select("c_custkey", files.path_dataset(F.col("p")).alias("dataset"), files.path_period(F.col("p")).alias("period"), files.path_school(F.col("p")).alias("school"))
+
+
+_HEADS = (["School", "SY", "Total Enrolment"], ["LRN", "DOB"], ["Náme", " school ", "Name of School", "Remarks"], ["School", "SY", "ALLOCATED", "Tranches"], ["School"])
+
+
+def _heads(spark, sf_dir) -> DataFrame:
+    lists = F.array(*[F.array(*[F.lit(x) for x in h]) for h in _HEADS])
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("source_file_id"), F.get(lists, (F.col("s_suppkey") % 5).cast("int")).alias("headers"))
+
+
+@query("header_vote", "select cast(s_suppkey as varchar) as source_file_id, case s_suppkey % 5 when 2 then 'school_submission' when 3 then 'program_allocation' else 'enrollment_snapshot' end as dataset from supplier where s_suppkey % 5 not in (1, 4) union all select cast(s_suppkey as varchar), 'enrollment_snapshot' from supplier where s_suppkey % 5 = 4")
+def header_vote(spark, sf_dir):
+    return vote(_heads(spark, sf_dir))
+
+
+@query("header_map", """
+select cast(s_suppkey as varchar) as source_file_id, pos, header_raw, field from supplier join (values (0, 0, 'School', 'school_name'), (0, 1, 'SY', null), (0, 2, 'Total Enrolment', null), (1, 0, 'LRN', 'lrn'), (1, 1, 'DOB', 'birth_date'),
+  (2, 0, 'Náme', 'student_name'), (2, 1, ' school ', 'school_name'), (2, 2, 'Name of School', null), (2, 3, 'Remarks', null), (3, 0, 'School', 'school_name'), (3, 1, 'SY', null), (3, 2, 'ALLOCATED', null), (3, 3, 'Tranches', null), (4, 0, 'School', 'school_name')) t(k, pos, header_raw, field) on s_suppkey % 5 = k""")
+def header_map(spark, sf_dir):
+    return mapped(_heads(spark, sf_dir).withColumn("dataset", F.lit("school_submission"))).select("source_file_id", "pos", "header_raw", "field")
+
+
 @query("hash_skip_incremental", "with h as (select doc_id, sha256(text) as file_hash, doc_id % 7 as source_file_id from documents) select doc_id, file_hash from h where not exists (select 1 from h l where l.doc_id % 2 = 0 and l.source_file_id = h.source_file_id and l.file_hash = h.file_hash)")
 def hash_skip(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("file_hash"), (F.col("doc_id") % 7).alias("source_file_id"))
@@ -191,6 +223,42 @@ def schools_latest(spark, sf_dir):
     return marts.schools(b).select("school_id", "school_name", "treatment_status")
 
 
+_BRONZE = """
+  select cast(o_orderkey as string) as record_id, case when o_custkey % 3 = 0 then ' S' || cast(o_custkey % 25 as string) end as school_id, case when o_custkey % 3 = 1 then 'S' || cast(o_custkey % 25 as string) end as school_id_guess,
+    case when o_custkey % 7 = 0 then 'nowhere' else ' SCHOOL  ' || cast(o_custkey % 25 as string) end as school_name, case o_orderkey % 3 when 0 then 'Baseline' when 1 then ' endline' else 'later' end as period_guess,
+    case when o_orderkey % 5 = 0 then 'none' else substr(lpad(cast(o_custkey as string), 12, '0'), 1, 6) || '-' || substr(lpad(cast(o_custkey as string), 12, '0'), 7) end as lrn_clean, ' de  la ' || o_orderpriority as student_name_clean,
+    cast(o_orderdate as {ts}) as birthday_str_parsed, case o_orderkey % 4 when 0 then 'MALE ' when 1 then 'female' when 2 then 'x' end as sex, ' ' || cast(o_orderkey % 6 as string) as grade,
+    case when o_orderkey % 9 = 0 then 'tall' else cast(60 + o_custkey % 150 as string) end as height_cm, case when o_orderkey % 8 = 0 then null else cast(5 + o_custkey % 100 as string) end as weight_kg,
+    cast('2024-09-10' as {ts}) as measurement_date_parsed, case when o_orderkey % 10 = 0 then 'missing' end as measurement_date_issue_flag, cast(null as string) as birthday_str_issue_flag,
+    'run' as run_id, 'F' as source_file_id, 'F.csv' as source_file_path, '' as source_sheet_name, o_orderkey as source_row_number, 'h' as file_hash, cast('2025-01-01' as {ts}) as ingested_at, '' as raw_payload_json
+  from orders"""
+_SILVER = ", bronze as (" + _BRONZE.format(ts="timestamp") + r"""), silver as (
+  select record_id as child_record_id, coalesce(nullif(trim(b.school_id), ''), nullif(trim(school_id_guess), ''), s.school_id) as school_id, lower(trim(period_guess)) as period, nullif(regexp_replace(lrn_clean, '[^0-9]', '', 'g'), '') as lrn_clean,
+    upper(trim(regexp_replace(student_name_clean, '\s+', ' ', 'g'))) as student_name_clean, upper(left(trim(student_name_clean), 1)) as first_letter_name, strftime(birthday_str_parsed, '%Y-%m-%d') as birthday_str,
+    case lower(trim(sex)) when 'male' then 'Male' when 'female' then 'Female' end as sex, trim(grade) as grade
+  from bronze b left join schools s on trim(regexp_replace(lower(b.school_name), '\s+', ' ', 'g')) = lower(s.school_name)),
+silver_children as (select * from silver where school_id is not null and period in ('baseline', 'endline'))"""
+
+
+def _silver(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    bronze = spark.sql(_BRONZE.format(ts="timestamp_ntz").replace("from orders", "from {orders}"), orders=table(spark, sf_dir, "orders"))
+    return bronze, marts.child_records(bronze, load(spark, sf_dir, "schools")["schools"])
+
+
+@query("silver_children", CTES + _SILVER + " select * from silver_children")
+def silver_children(spark, sf_dir):
+    return _silver(spark, sf_dir)[1].select("child_record_id", "school_id", "period", "lrn_clean", "student_name_clean", "first_letter_name", "birthday_str", "sex", "grade")
+
+
+@query("silver_measurements", CTES + _SILVER + """, m as (
+  select md5(child_record_id || ':' || c.period) as measurement_id, child_record_id, c.school_id, c.period, date_diff('day', cast(birthday_str_parsed as date), cast(measurement_date_parsed as date)) / 365.25::double as age_years,
+    try_cast(height_cm as double) as height_cm, try_cast(weight_kg as double) as weight_kg, measurement_date_issue_flag is not null as odd from bronze join silver_children c on record_id = child_record_id)
+select measurement_id, child_record_id, school_id, period, age_years, height_cm, weight_kg, case when height_cm > 0 then weight_kg / power(height_cm / 100.0, 2) end as bmi,
+  case when odd then 'date_issue' when height_cm is null or weight_kg is null then 'missing_measurement' when height_cm not between 80 and 200 or weight_kg not between 10 and 100 then 'implausible' else 'valid' end as measurement_quality_flag from m""")
+def silver_measurements(spark, sf_dir):
+    return marts.measurements(*_silver(spark, sf_dir)).drop("measurement_date")
+
+
 # Rules
 
 _FOUND = "rule_id, record_id, school_id, period, source_file_id, field_name, observed_value"
@@ -350,6 +418,13 @@ def comparison_levels(spark, sf_dir):
     return leveled(spark, sf_dir).select("baseline_record_id", "endline_record_id", *linkage.GAMMAS)
 
 
+@query("text_similarity", CTES + " select b.child_record_id, round(jaro_winkler_similarity(b.student_name_clean, e.student_name_clean), 9) as name_similarity, damerau_levenshtein(b.birthday_str, e.birthday_str) <= 1 as one_edit from wave_b b join wave_e e on substr(b.child_record_id, 2) = substr(e.child_record_id, 2)")
+def text_similarity(spark, sf_dir):
+    b, e = linkage.sides(*people(spark, sf_dir))
+    met = b.join(e, F.substring("b_child_record_id", 2, 20) == F.substring("e_child_record_id", 2, 20))
+    return met.select(F.col("b_child_record_id").alias("child_record_id"), F.round(similarity.jaro_winkler("b_student_name_clean", "e_student_name_clean"), 9).alias("name_similarity"), similarity.one_edit(F.col("b_birthday_str"), F.col("e_birthday_str")).alias("one_edit"))
+
+
 @query("pattern_counts", CTES + _LEVELED + " select g_lrn_clean, g_student_name_clean, g_birthday_str, g_sex, g_school_id, count(*) as n from leveled group by all")
 def pattern_counts(spark, sf_dir):
     return linkage.pattern_counts(leveled(spark, sf_dir))
@@ -424,6 +499,17 @@ def truth_links(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "customer").select(F.concat(F.lit("B"), k).alias("baseline_record_id"), F.concat(F.lit("E"), k).alias("endline_record_id"), (F.col("c_custkey") % 33 == 0).alias("is_transfer"))
 
 
+@query("pair_outcomes", CTES + _RESOLVED + _TRUTH + """, got as (select baseline_record_id, endline_record_id from resolved where decision = 'accepted'), true_pairs as (select baseline_record_id, endline_record_id from truth)
+select *, 'tp' as outcome from (select * from got intersect select * from true_pairs) union all select *, 'fp' from (select * from got except select * from true_pairs) union all select *, 'fn' from (select * from true_pairs except select * from got)""")
+def pair_outcomes(spark, sf_dir):
+    return scorecards.pair_outcomes(resolved(spark, sf_dir), truth_links(spark, sf_dir))
+
+
+@query("one_to_one_conflicts", CTES + _RESOLVED + " select baseline_record_id as record_id, count(*) as n from resolved where decision = 'accepted' group by 1 having count(*) > 1 union all select endline_record_id, count(*) from resolved where decision = 'accepted' group by 1 having count(*) > 1")
+def one_to_one_conflicts(spark, sf_dir):
+    return resolver.conflicts(resolved(spark, sf_dir))
+
+
 _SWEEP = ", sweep as (select unnest([0.10, 0.15, 0.20, 0.30, 0.40, 0.50, 0.60, 0.70, 0.90]::double[]) as threshold)"
 
 
@@ -539,7 +625,7 @@ def review_mart(spark, sf_dir):
 
 
 @query("pii_scan", r"""
-with x as (select doc_id, len(regexp_extract_all(' ' || regexp_replace(text, '[^0-9A-Za-z]', '  ', 'g') || ' ', ' [0-9]{12} ')) as numbers, len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')) as emails from documents)
+with x as (select doc_id, len(regexp_extract_all(' ' || regexp_replace(text, '[^0-9A-Za-z.]', '  ', 'g') || ' ', ' [0-9]{12} ')) as numbers, len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')) as emails from documents)
 select doc_id as row_id, numbers::bigint as numbers, emails::bigint as emails from x where numbers > 0 or emails > 0""")
 def pii(spark, sf_dir):
     return profile.pii_scan(table(spark, sf_dir, "documents"), "doc_id", "text")

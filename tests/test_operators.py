@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from panelforge.config import RULES, unmapped_defects
 from panelforge.functions import ids, similarity, text
-from panelforge.operators import linkage, marts, profile, resolver, rules, versions
+from panelforge.operators import linkage, marts, profile, resolver, rules, scorecards, versions
 from panelforge.sources import files, headers, sheets
 
 CHILD = "child_record_id string, school_id string, period string, lrn_clean string, student_name_clean string, first_letter_name string, birthday_str string, sex string, grade string, source_file_id string, source_row_number long, raw_payload_json string"
@@ -198,3 +198,18 @@ def test_versions_and_expectations(spark):
 def test_forbidden_columns(spark):
     with pytest.raises(ValueError):
         marts.check_public(spark.createDataFrame([(1,)], "lrn_clean int"))
+
+
+def test_files_with_personal_data(spark, tmp_path):
+    (tmp_path / "a" / "tests").mkdir(parents=True)
+    for name, text in {"a/Student_roster.bin": "x", "a/n.csv": "id 123456789012,", "a/m.txt": "0.123456789012 and me@x.org", "a/k.md": "123456789012", "a/tests/n.csv": "123456789012", "a/z.json": "a1234567890123"}.items():
+        (tmp_path / name).write_text(text)
+    got = sorted((r.path.split("/")[-1], r.finding) for r in profile.scan_files(spark, str(tmp_path)).collect())
+    assert got == [("Student_roster.bin", "file name"), ("m.txt", "e-mail address"), ("n.csv", "number of 12 digits")]
+    assert profile.scan_files(spark, str(tmp_path), skip=()).count() == 4
+
+
+def test_pair_outcomes(spark):
+    links = spark.createDataFrame([("b1", "e1", "accepted"), ("b2", "e3", "accepted"), ("b3", "e3", "review")], "baseline_record_id string, endline_record_id string, decision string")
+    truth = spark.createDataFrame([("b1", "e1"), ("b3", "e3")], "baseline_record_id string, endline_record_id string")
+    assert {tuple(r) for r in scorecards.pair_outcomes(links, truth).collect()} == {("b1", "e1", "tp"), ("b2", "e3", "fp"), ("b3", "e3", "fn")}
