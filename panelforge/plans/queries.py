@@ -636,6 +636,11 @@ def unpivot(spark, sf_dir):
     return profile.long_form(table(spark, sf_dir, "lineitem").filter("l_quantity < 10"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], ["l_quantity", "l_discount", "l_tax"])
 
 
+@query("unpivot_metrics_all", "select l_orderkey, l_linenumber, l_partkey, l_suppkey, metric, value from (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax from lineitem) unpivot (value for metric in (l_quantity, l_discount, l_tax))")
+def unpivot_all(spark, sf_dir):
+    return profile.long_form(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], ["l_quantity", "l_discount", "l_tax"])
+
+
 @query("histogram_bins", "with s as (select min(o_totalprice) as lo, max(o_totalprice) as hi from orders), b as (select least(cast(floor((o_totalprice - lo) / ((hi - lo) / 12)) as int) + 1, 12) as bin, lo, hi from orders, s) select bin, lo + (hi - lo) * (bin - 1) / 12 as edge, count(*) as n from b group by all")
 def histogram(spark, sf_dir):
     return profile.histogram(table(spark, sf_dir, "orders"), "o_totalprice", 12)
