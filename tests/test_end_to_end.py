@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from panelforge.config import FORBIDDEN
+from panelforge.config import FORBIDDEN, RULES
 from panelforge.operators import resolver
 from panelforge.plans import ingest, lakehouse, synth
 
@@ -45,6 +45,26 @@ def test_rules_find_the_defects(spark, lake):
         assert x.injected > 0 and x.sensitivity >= 0.9, rule
 
 
+def test_every_mapped_rule_gets_its_defects(spark, lake):
+    root, world = lake
+    card = {x.rule_id: x for x in spark.read.parquet(f"{root}/lake/dqa_scorecard").collect()}
+    for rule, _, _, defects in RULES:
+        assert (card[rule].injected > 0) == bool(defects), rule
+    for rule in ("DUPLICATE_LRN_WITHIN_SCHOOL_PERIOD", "MEASUREMENT_DIGIT_HEAPING", "REFERENCE_SCHOOL_NAME_DRIFT", "TIMELINESS_LATE_SUBMISSION"):
+        assert card[f"DQA_{rule}"].sensitivity >= 0.9, rule
+    for rule in ("REFERENCE_SCHOOL_NAME_DRIFT", "TIMELINESS_LATE_SUBMISSION"):
+        assert card[f"DQA_{rule}"].false_positives == 0, rule
+    files = [d for d in world.defects if d["defect_type"] in ("school_name_drift", "late_submission")]
+    assert len(files) == 2 and all(d["record_id"] == d["source_file_id"] for d in files)
+
+
+def test_lagging_schools_get_less():
+    got = synth._allocated({f"SCH_{i}": 1000 for i in range(400)}, 2026)
+    lagging = [n for n in got.values() if n < 900]
+    assert abs(len(lagging) - synth.LAGGING * 400) < 40
+    assert all(620 <= n <= 860 for n in lagging) and all(980 <= n <= 1060 for n in got.values() if n >= 900)
+
+
 def test_nothing_private_is_published(spark, lake):
     root, _ = lake
     for n in lakehouse.MARTS:
