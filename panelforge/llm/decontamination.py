@@ -7,8 +7,10 @@ item's score is the sum of its BM25 weights of the passage's terms, as a share
 of its score for itself. All items of at least THRESHOLD are retrieved: blocks of items
 whose summed largest weights stay below are left out for a passage, and WAND
 moves over the posting lists of the others by their largest weights. A retrieved
-item is a leak if the passage holds at least SHARE of the shingles of SHINGLE
-words of its question and of its answer. The answer is the last sentence, or the
+item is a leak if the passage holds at least SHARE of the shingles of its
+question and of its answer. Shingles have SHINGLE words, or fewer in a short
+part, down to 1 in an answer and 2 elsewhere, so that a changed word leaves
+SHARE of them if that is possible. The answer is the last sentence, or the
 last SHINGLE words if that is shorter; an item too short for both is one part.
 
 Items come in blocks of ITEMS, each with an index of its own, which is sent to
@@ -35,6 +37,8 @@ from panelforge.llm.common import ALNUM_WORDS, Words, pick, slices, small_batche
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5
 SHINGLE, SHARE = 5, 0.8
+#: Of k * EDIT - 1 words, one change leaves SHARE of the shingles of k words.
+EDIT = 6
 ITEMS, ITEM_BYTES = 4096, 8 << 20
 ITEMS_A_BLOCK = 4
 #: Passages whose bounds are computed at once.
@@ -49,9 +53,26 @@ def _words(text: str) -> tuple[Words, np.ndarray]:
     return w, w.hashes()
 
 
+def _whole(t: list[int]) -> set:
+    return {tuple(t[i : i + SHINGLE]) for i in range(len(t) - SHINGLE + 1)} if len(t) >= SHINGLE else {tuple(t)} if t else set()
+
+
+def _grams(t: list[int], k: int) -> set:
+    """Shingles of k words, marked by their size: they never equal a short text as a whole."""
+    return {(-k, *t[i : i + k]) for i in range(len(t) - k + 1)}
+
+
 def shingles(terms: np.ndarray) -> set:
+    """Of a passage: shingles of all sizes."""
     t = terms.tolist()
-    return {tuple(t[i : i + SHINGLE]) for i in range(len(t) - SHINGLE + 1)} if len(t) >= SHINGLE else {tuple(t)} if t else set()
+    return _whole(t).union(*[_grams(t, k) for k in range(1, SHINGLE)])
+
+
+def part_shingles(terms: np.ndarray, least: int) -> set:
+    """Of a part of an item: shingles of one size, least at least; a part below SHINGLE words is one."""
+    t = terms.tolist()
+    k = max(least, (len(t) + 1) // EDIT)
+    return _whole(t) if k >= SHINGLE or len(t) < SHINGLE else _grams(t, k)
 
 
 def parts(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,7 +96,8 @@ class Index:
     def __init__(self, items: list[tuple[int | None, str]]):
         split = sorted(((i, parts(t)) for i, t in items), key=lambda x: len(x[1][0]))
         self.ids = [i for i, _ in split]
-        self.question, self.answer = [shingles(q) for _, (_, q, _) in split], [shingles(a) for _, (_, _, a) in split]
+        self.question = [part_shingles(q, 2) for _, (_, q, _) in split]
+        self.answer = [part_shingles(a, 1 if len(a) < len(t) else 2) for _, (t, _, a) in split]
         counts = [Counter(t.tolist()) for _, (t, _, _) in split]
         lengths = [len(t) for _, (t, _, _) in split]
         self.longest = max([1, *lengths])

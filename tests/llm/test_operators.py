@@ -311,6 +311,22 @@ def test_leaks(spark, docs, none):
     assert clean.columns == d.columns and {r.doc_id for r in clean.collect()} == {x for x, _ in rows} - {x for x, _ in got}
 
 
+def test_edited_items_are_leaks(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8))
+    items = [(i, " ".join(word() for _ in range(n)) + ". " + " ".join(word() for _ in range(5)) + ".") for i, n in enumerate((11, 17, 23, 29, 40))]
+    around = " ".join(word() for _ in range(60))
+    rows = []
+    for i, text in items:
+        w = text.split()
+        rows.append((1000 * i, f"{around} {' '.join(w[:-1])} {around}"))
+        rows += [(1000 * i + 1 + j, f"{around} {' '.join([*w[:j], word(), *w[j + 1 :]])} {around}") for j in range(len(w))]
+    rows += [(9000 + i, f"{around} {' '.join(t.split()[:-5])} {around}") for i, t in items]  # no answer
+    rows += [(9100 + i, f"{around} {' '.join(t.split()[-5:])} {around}") for i, t in items]  # no question
+    got = {(r.doc_id, r.item_id) for r in decontamination.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(d, d // 1000) for d, _ in rows if d < 9000}
+
+
 def test_search_equals_exhaustive_scoring():
     rng = random.Random(4)
     vocabulary = [_text(rng, 1) for _ in range(40)]
