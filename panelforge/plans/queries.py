@@ -631,6 +631,14 @@ def pii(spark, sf_dir):
     return profile.pii_scan(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+@query("pii_scan_conversations", r"""
+with x as (select conv_id, turn, len(regexp_extract_all(' ' || regexp_replace(text, '[^0-9A-Za-z.]', '  ', 'g') || ' ', ' [0-9]{12} ')) as numbers, len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')) as emails from conversations)
+select conv_id, turn, numbers::bigint as numbers, emails::bigint as emails from x where numbers > 0 or emails > 0""")
+def pii_conversations(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").withColumn("_id", F.struct("conv_id", "turn"))
+    return profile.pii_scan(c, "_id", "text").select("row_id.conv_id", "row_id.turn", "numbers", "emails")
+
+
 @query("unpivot_metrics", "select l_orderkey, l_linenumber, l_partkey, l_suppkey, metric, value from (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax from lineitem where l_quantity < 10) unpivot (value for metric in (l_quantity, l_discount, l_tax))")
 def unpivot(spark, sf_dir):
     return profile.long_form(table(spark, sf_dir, "lineitem").filter("l_quantity < 10"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], ["l_quantity", "l_discount", "l_tax"])
