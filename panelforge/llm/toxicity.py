@@ -9,7 +9,10 @@ share of toxic documents in one part of the sample is far above the average.
 The sample is the SAMPLE labelled rows that come first by a hash of doc_id,
 among those whose crc32(doc_id as text) mod 5 is not 0. SAMPLE bounds what is
 fitted on; texts are whole, and everything is scored. A third of the sample
-gives the lexicon, a third the trees, a third the calibration.
+gives the lexicon; a third of the rest gives the calibration, the others the
+trees. If the calibration's rows hold fewer than 20 of either kind, or the
+trees' only one kind, all of the rest gives the trees and the calibration is
+fitted on the trees' own rows: scores of small label tables lean to 0 and 1.
 
 Null texts count as empty and are scored like them. A null doc_id has no label
 and is held out iff crc32('') mod 5 is 0. Repeated labels of a document: toxic
