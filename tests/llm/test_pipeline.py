@@ -1,7 +1,11 @@
 """The corpus pipeline, stage by stage."""
 
+import random
+
 import pytest
 
+from panelforge.llm import packing
+
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 SF = "/root/testdata/sf0.001"
@@ -23,3 +27,23 @@ def test_stages_keep_columns_on_odd_tables(spark):
         assert pieces.count() == kept.count()
         if start is docs:
             assert {r.doc_id for r in kept.collect()} == {1, 3, 4, None}
+
+
+def test_run_drops_what_is_planted(spark, tmp_path):
+    rng = random.Random(5)
+    words = lambda n: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(n)]
+    text = {i: words(120) for i in range(1, 8)}
+    passage, item = words(40), words(30)
+    text[2] = [*text[1][:-1], *words(1)]  # near copy
+    text[3][10:40:6] = ["idiot", "moron", "stupid", "loser", "trash"]
+    text[4] = [*text[4], *passage]
+    text[6] = [*text[5][:50], *words(1), *passage, *text[6]]  # repeats passages of 4 and 5
+    text[7] = [*text[7], *item[:12], *words(1), *item[13:], *text[7][:5]]  # an item with one word changed
+    docs = [(i, " ".join(w), "en", "s", len(" ".join(w))) for i, w in text.items()]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, rows, kind in (("documents", docs, schema), ("labels", [], "doc_id long, quality int, toxic int"), ("benchmark", [(1, " ".join(item))], "item_id long, text string")):
+        spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/{name}.parquet")
+    left = {1: text[1], 4: text[4], 5: text[5], 6: [text[6][50], *text[6][91:]]}
+    want = packing.pack(spark.createDataFrame([(i, " ".join(w)) for i, w in left.items()], "doc_id long, text string"))
+    pieces = lambda df: sorted(tuple(r) for r in df.select("doc_id", "piece", "start", "length", "ids_crc32").collect())
+    assert pieces(corpus_pipeline.run(spark, str(tmp_path))) == pieces(want)
