@@ -25,7 +25,9 @@ around it as sharply as for independent places.
 
 Null and empty texts, and texts without words, have an empty set and are linked
 with nothing. A null doc_id is linked with nothing. Rows that repeat a doc_id
-are documents of their own with the same number.
+all stay in the result, but are one document with one set: where their texts
+differ, a group compares one of these only, which one depends on the order of
+rows, and near copies of the others may get no link.
 """
 
 from __future__ import annotations

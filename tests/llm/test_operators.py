@@ -99,6 +99,15 @@ def test_large_groups_are_cut_into_blocks(spark, monkeypatch):
     assert got == Counter(brute.near(rows))
 
 
+def test_repeated_numbers_with_other_texts_may_lose_links(spark):
+    rng = random.Random(21)
+    a, b = _text(rng, 120).split(), _text(rng, 120).split()
+    rows = [(1, a), (1, b), (2, [*a[:-1], "other"]), (3, [*b[:-1], "other"])]
+    got = near.near(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string"), shingle=2).collect()
+    assert sorted(r.doc_id for r in got) == [1, 1, 2, 3]
+    assert any(r.component_id == 1 for r in got if r.doc_id > 1)  # a copy of one of the two texts, at least
+
+
 def test_sketches_agree_as_the_sets_do():
     rng = np.random.default_rng(1)
     for share in (0.5, 0.8, 0.95):
