@@ -8,6 +8,10 @@ its own), so a worker's memory does not depend on the batch size.
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -16,12 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
+#: Bytes of a word beyond which BLAKE2b takes over from the loop over eight bytes at a time.
+LONG_WORD = 64
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS: dict[str, np.ndarray] = {}
+_MASKS = np.array([(1 << (8 * r)) - 1 for r in range(9)], dtype=np.uint64)
+_ODD = _U(0x9E3779B97F4A7C15)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -33,19 +38,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    key = str(base)
-    have = _POWERS.get(key)
-    if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        have = np.full(size, base, dtype=np.uint64)
-        have[0] = 1
-        have = np.cumprod(have, dtype=np.uint64)
-        if size <= 2 * SLICE_BYTES:
-            _POWERS[key] = have
-    return have[:n]
-
-
 def _table(separators: list[tuple[int, int]]) -> np.ndarray:
     lut = np.ones(256, dtype=bool)
     for lo, hi in separators:
@@ -60,13 +52,33 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range: a polynomial from prefix sums, then mixed with the length."""
-    n = len(data)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + _U(1)) * _powers(_BASE, n), out=total[1:])
-    poly = (total[ends] - total[starts]) * _powers(_INVERSE, max(n, 1) + 1)[starts]
-    return mix64(poly + (ends - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each byte range, the same in every process; other seeds give independent hashes.
+
+    Eight bytes at a time are mixed in; each step is a bijection, so that ranges
+    of one length up to 8 never collide. No sum over the bytes is involved, which
+    texts with a regular structure could bring to collide.
+    """
+    sizes = ends - starts
+    out = mix64(sizes.astype(np.uint64) * _ODD + mix64(np.array([seed], dtype=np.uint64)))
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    eights = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    left = np.flatnonzero((sizes > 0) & (sizes <= LONG_WORD))
+    at, rest = starts[left], sizes[left]
+    whole = len(left) == len(out)
+    while len(left):
+        chunk = eights[at] & _MASKS[np.minimum(rest, 8)]
+        if whole:
+            out = mix64(out ^ chunk)
+        else:
+            out[left] = mix64(out[left] ^ chunk)
+        more = rest > 8
+        left, at, rest, whole = left[more], at[more] + 8, rest[more] - 8, False
+    key = seed.to_bytes(8, "little")
+    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, key=key).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
 
 
 class Words:
@@ -95,22 +107,26 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes, the same in every process."""
-        return span_hashes(self.data, self.starts, self.ends)
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word's bytes."""
+        return span_hashes(self.data, self.starts, self.ends, seed)
 
     def windows(self, hashes: np.ndarray, size: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
-        """First words of all windows of so many words within one text, and their hashes."""
+        """First words of all windows of so many words within one text, and their hashes.
+
+        Hashes of 1, 2, 4, ... words are mixed from two halves each; the last step
+        takes two runs that overlap, unless size is a power of two.
+        """
         n = len(hashes)
         if n < size:
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-        factor = (mix64(np.array([seed], dtype=np.uint64))[0] | _U(1))
-        value = np.zeros(n - size + 1, dtype=np.uint64)
-        for t in range(size):
-            value *= factor
-            value += hashes[t : n - size + 1 + t]
+        value, span = hashes, 1
+        while span < size:
+            step = min(span, size - span)
+            value = mix64(value[: len(value) - step] * _ODD + value[step:])
+            span += step
         at = np.flatnonzero(self.owner[: n - size + 1] == self.owner[size - 1 :])
-        return at, mix64(value[at] + _U(size))
+        return at, mix64(value[at] + mix64(np.array([seed], dtype=np.uint64)))
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -138,9 +154,15 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder in the one that the cluster names in spark.checkpoint.dir; all executors see it."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:  # only where the cluster names none, as in tests
+    """A new folder in the one that the cluster names in spark.checkpoint.dir; all executors see it.
+
+    Only in local mode, where everything runs on one machine, a folder of this
+    machine stands in for a missing setting.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
         import tempfile
 
         root = getattr(shared_dir, "own", None)
@@ -149,19 +171,91 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def _folder(path: str, spark: SparkSession):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def dropped(path: str, spark: SparkSession) -> None:
+    """Deletes a folder, through Spark's own file system layer."""
+    system, path = _folder(path, spark)
+    system.delete(path, True)
+
+
+def until_exit(path: str, spark: SparkSession) -> str:
+    """The folder, which goes when the driver ends: a lazy result may read it until then."""
+    system, folder = _folder(path, spark)
+    system.deleteOnExit(folder)
+    return path
+
+
 def written(df: DataFrame, path: str | None = None) -> DataFrame:
     """The rows as a table in the shared folder: it cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = path or shared_dir(spark)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(until_exit(path, spark))
+
+
+class Scratch:
+    """Tables in the shared folder that are needed until clear() only."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def put(self, df: DataFrame) -> DataFrame:
+        self.paths.append(shared_dir(self.spark))
+        return written(df, self.paths[-1])
+
+    def clear(self) -> None:
+        while self.paths:
+            dropped(self.paths.pop(), self.spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets the driver find out which shuffles no frame refers to any longer: their files are deleted."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+#: What a worker keeps from task to task, until a task of another kind runs in it.
+KEPT: dict[str, object] = {}
+
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim
+except (OSError, AttributeError):  # another C library
+    _LIBC = None
+
+
+def give_back() -> None:
+    """Returns memory that the worker has freed to the system, so that idle workers stay small."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def slim(run, keep: bool = False):
+    """For mapInArrow: run, and at the end of each task give_back()."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keep:
+            KEPT.clear()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
 
 
-def dropped(df_path: str, spark: SparkSession) -> None:
-    """Deletes a folder that written() made, through Spark's own file system layer."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(df_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name that no column of the input has, in any case."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -174,5 +268,5 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds what goes to a Python worker at once by bytes, whatever the rows' length."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    """Bounds what goes to a Python worker at once by bytes, whatever the rows' length; the session keeps that."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))

@@ -2,9 +2,10 @@
 
 Edges are narrow rows of two ids. A round hangs every neighbour of a node on the
 smallest id that the node knows, first the larger neighbours, then the smaller
-ones, until each component is a star around its smallest id. Minima are summed
-up before the shuffle and given back by a join, so a node with very many edges
-is never gathered. Each round is written to the shared folder.
+ones, until each component is a star around its smallest id. Minima are combined
+before they are shuffled, and return to the edges by join_hubs(), so that the
+edges of a node with very many of them stay where they are. Each round is
+written to the shared folder; the last one's table goes when the driver ends.
 """
 
 from __future__ import annotations
@@ -12,7 +13,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import dropped, shared_dir
+from panelforge.llm.common import dropped, shared_dir, until_exit
+
+#: Keys that can have over one in so many of all rows: no more than that, so they fit a broadcast.
+HUBS = 4096
+LEAST_HUB = 1000
+
+
+def join_hubs(rows: DataFrame, facts: DataFrame, key: str, total: int) -> DataFrame:
+    """rows joined with facts on key, of which facts has one row each, with the number n of its rows among the total.
+
+    At most HUBS keys have over total / HUBS rows. Their facts are broadcast, so
+    that no task gathers the rows of such a key; the others are shuffled.
+    """
+    if total <= LEAST_HUB:
+        return rows.join(facts.drop("n"), key)
+    many = F.col("n") > max(LEAST_HUB, total // HUBS)
+    hubs = F.broadcast(facts.filter(many).drop("n"))
+    rest = rows.join(hubs.select(key), key, "left_anti").join(facts.filter(~many).drop("n"), key)
+    return rows.join(hubs, key).unionByName(rest)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,18 +41,18 @@ def components(edges: DataFrame) -> DataFrame:
     def put(df: DataFrame) -> tuple[DataFrame, str]:
         path = shared_dir(spark)
         df.write.parquet(path)
-        return spark.read.schema("u long, v long").parquet(path), path
+        return spark.read.schema("u long, v long").parquet(until_exit(path, spark)), path
 
     now, path = put(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     sign = lambda df: df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).collect()[0]
     was = sign(now)
     while was["n"]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        large = both.join(least, F.col("u") == F.col("k")).filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
-        small = large.join(least, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        new, new_path = put(small.unionByName(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct())
+        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n"))
+        large = join_hubs(both, least, "u", 2 * was["n"]).filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = join_hubs(large, least, "u", 2 * was["n"]).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        new, new_path = put(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         dropped(path, spark)
         got = sign(new)
         now, path, same, was = new, new_path, got == was, got

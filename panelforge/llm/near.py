@@ -8,8 +8,8 @@ its smallest value. Two sketches agree in a place with the sets' Jaccard
 similarity as the chance, and the share of places that agree is concentrated
 around it as sharply as for independent places.
 
-1. Equal sets form classes, by a fingerprint of 128 bits; only their smallest
-   document goes on.
+1. Equal sets form classes, by a fingerprint of 128 bits from two independent
+   hashes of the words; only their smallest document goes on.
 2. Bands of ROWS places: at a similarity of 0.8, two documents share none of the
    BANDS bands with a chance of 3e-8. Every member of a band's bucket is tied to
    its smallest one; the components of these ties are the groups in which all
@@ -20,7 +20,9 @@ around it as sharply as for independent places.
    connected already. Groups of more than BLOCK documents are cut into blocks
    that are solved alone together with PIVOTS documents of the group; what isn't
    tied to the block's first pivot then is the query set that meets all other
-   blocks. Pairs are never emitted, only the edges of a forest.
+   blocks. A pair is compared by hashes of its shingles first, and becomes a link
+   if the shingles' words themselves confirm it. Pairs are never emitted, only
+   the edges of a forest.
 4. Components of these edges, spread over the classes.
 
 Null and empty texts, and texts without words, have an empty set and are linked
@@ -40,15 +42,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import SPACE_WORDS, Words, buffers, mix64, pick, slices, small_batches, written
-from panelforge.llm.components import components
+from panelforge.llm.common import SPACE_WORDS, Scratch, Words, buffers, fresh, give_back, mix64, pick, slices, slim, small_batches, written
+from panelforge.llm.components import components, join_hubs
 
 ROWS, BANDS = 5, 44
 COORDINATES = ROWS * BANDS
-BLOCK = 1024
+#: Documents of a block at most, about, and shingles of all of them.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 22
 PIVOTS = 16
-#: Documents of small groups that are solved at once, about.
-BIN = 256
+#: The same of the small groups that are solved at once.
+BIN, BIN_SHINGLES = 256, 1 << 19
 #: Places of COORDINATES that agree at 0.8, less six standard deviations.
 AGREE = int(COORDINATES * 0.8 - 6 * (COORDINATES * 0.16) ** 0.5)
 
@@ -59,11 +62,18 @@ class Sets:
     """Distinct shingles of the texts of a slice: keys, sorted for each text; first: where each text's begin."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, shingle: int):
-        w = Words(data, offsets, SPACE_WORDS, lower=True)
-        h = w.hashes()
-        at, keys = w.windows(h, shingle, seed=2)
+        self.words = Words(data, offsets, SPACE_WORDS, lower=True)
+        self.shingle = shingle
+        self.keys, self.owner = self._distinct(0)
+        self.first = np.searchsorted(self.owner, np.arange(len(offsets)))
+        self.counts = np.diff(self.first)
+
+    def _distinct(self, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        w = self.words
+        h = w.hashes(seed)
+        at, keys = w.windows(h, self.shingle, seed=2)
         owner = w.owner[at]
-        brief = np.flatnonzero((w.counts > 0) & (w.counts < shingle))  # the whole sequence is one shingle
+        brief = np.flatnonzero((w.counts > 0) & (w.counts < self.shingle))  # the whole sequence is one shingle
         if len(brief):
             whole = np.array([self._whole(h[w.first[i] : w.first[i + 1]]) for i in brief], dtype=np.uint64)
             owner, keys = np.concatenate([owner, brief]), np.concatenate([keys, whole])
@@ -71,9 +81,7 @@ class Sets:
         owner, keys = owner[order], keys[order]
         new = np.ones(len(keys), dtype=bool)
         new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
-        self.keys, self.owner = keys[new], owner[new]
-        self.first = np.searchsorted(self.owner, np.arange(len(offsets)))
-        self.counts = np.diff(self.first)
+        return keys[new], owner[new]
 
     @staticmethod
     def _whole(h: np.ndarray) -> int:
@@ -83,11 +91,12 @@ class Sets:
         return x[0]
 
     def prints(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two 64-bit sums over each text's shingles, in any order."""
+        """Two 64-bit sums over each text's shingles, in any order, of independent hashes."""
         out = []
-        for seed in (3, 5):
-            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(self.keys ^ mix64(np.array([seed], np.uint64))), dtype=np.uint64)])
-            out.append((total[self.first[1:]] - total[self.first[:-1]]).view(np.int64))
+        for keys, owner in ((self.keys, self.owner), self._distinct(1)):
+            first = np.searchsorted(owner, np.arange(len(self.counts) + 1))
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(keys ^ _U(0x2545F4914F6CDD1D)), dtype=np.uint64)])
+            out.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
         return out[0], out[1]
 
     def sketches(self) -> np.ndarray:
@@ -102,13 +111,7 @@ class Sets:
             x = mix64(keys ^ mix64(np.array([1000 + i], np.uint64)))
             place = (((x >> _U(32)) * _U(t)) >> _U(32)).astype(np.int64) if i < t else np.full(len(x), i - t)
             value = (_U(i) << _U(54)) | (mix64(x) >> _U(10))
-            slot = owner * t + place
-            order = np.lexsort((value, slot))
-            slot, value = slot[order], value[order]
-            first = np.ones(len(slot), dtype=bool)
-            first[1:] = slot[1:] != slot[:-1]
-            slot, value = slot[first], value[first]
-            full[slot] = np.minimum(full[slot], value)
+            np.minimum.at(full, owner * t + place, value)
             open_text = (full.reshape(n, t) == np.iinfo(np.uint64).max).any(axis=1)
             more = open_text[owner]
             keys, owner = keys[more], owner[more]
@@ -130,17 +133,19 @@ SKETCHES = "doc_id long, text_hash long, n_shingles long, fp1 long, fp2 long, ba
 def _sketch(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi, data, offsets in slices(b.column("text"), 1 << 20):
+            for lo, hi, data, offsets in slices(b.column("text"), 1 << 19):
                 s = Sets(data, offsets, shingle)
                 one, two = s.prints()
                 keys = bands(s.sketches())
                 cuts = np.concatenate([[0], np.cumsum(np.where(s.counts > 0, BANDS, 0))]).astype(np.int32)
                 flat = pa.ListArray.from_arrays(pa.array(cuts), pa.array(keys[s.counts > 0].ravel()))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("text_hash").slice(lo, hi - lo), pa.array(s.counts.astype(np.int64)), pa.array(one), pa.array(two), flat], names=["doc_id", "text_hash", "n_shingles", "fp1", "fp2", "bands"])
+                own = [b.column(c).slice(lo, hi - lo) for c in ("doc_id", "text_hash")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(s.counts.astype(np.int64)), pa.array(one), pa.array(two), flat], names=["doc_id", "text_hash", "n_shingles", "fp1", "fp2", "bands"])
 
-    return run
+    return slim(run)
 
 
+@slim
 def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1)
     for b in batches:
@@ -149,22 +154,29 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([pack.compress(data[lo:hi].tobytes()) for lo, hi in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["doc_id", "packed"])
 
 
+def _shingles(text: bytes, size: int) -> set[bytes]:
+    """The shingles themselves, their words joined by a space."""
+    w = text.lower().split()
+    return {b" ".join(w[i : i + size]) for i in range(max(len(w) - size, 0) + 1)} if w else set()
+
+
 class Group:
     """Documents of one group: their sets and sketches. Rows of the same number with another set are left out."""
 
     def __init__(self, t: pa.Table, shingle: int):
         unpack = zstandard.ZstdDecompressor()
-        texts = [unpack.decompress(x) for x in t.column("packed").to_pylist()]
+        self.packed, self.shingle = t.column("packed").to_pylist(), shingle
         ids, prints = t.column("node").to_numpy(), t.column("fp1").to_numpy()
         sets, sketches, keep, seen = [], [], [], set()
         lo = 0
-        while lo < len(texts):
-            hi, size = lo, 0
-            while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= 1 << 20):
-                size += len(texts[hi])
-                hi += 1
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts[lo:hi]])]).astype(np.int64)
-            s = Sets(np.frombuffer(b"".join(texts[lo:hi]), np.uint8), offsets, shingle)
+        while lo < len(self.packed):  # texts are unpacked a slice at a time
+            texts, size = [], 0
+            while lo + len(texts) < len(self.packed) and size < 1 << 20:
+                texts.append(unpack.decompress(self.packed[lo + len(texts)]))
+                size += len(texts[-1])
+            hi = lo + len(texts)
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
+            s = Sets(np.frombuffer(b"".join(texts), np.uint8), offsets, shingle)
             one, sk = s.prints()[0], s.sketches()
             for i in range(hi - lo):
                 if one[i] == prints[lo + i] and ids[lo + i] not in seen:
@@ -192,6 +204,12 @@ class Group:
         if len(a) > len(b):
             a, b = b, a
         both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+        return 100 * both >= percent * (len(a) + len(b) - both) and self.confirmed(i, j, percent)
+
+    def confirmed(self, i: int, j: int, percent: int) -> bool:
+        unpack = zstandard.ZstdDecompressor()
+        a, b = (_shingles(unpack.decompress(self.packed[self.at[x]]), self.shingle) for x in (i, j))
+        both = len(a & b)
         return 100 * both >= percent * (len(a) + len(b) - both)
 
     def join(self, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -236,7 +254,7 @@ def _solve(shingle: int, percent: int):
         pivot = t.column("pivot").to_numpy(zero_copy_only=False)[g.at].astype(bool)
         grp = t.column("grp").to_numpy()[g.at]
         order = np.argsort(grp, kind="stable")
-        edges = []
+        edges: list[tuple[int, int]] = []
         for part in np.split(order, np.flatnonzero(np.diff(grp[order])) + 1):
             edges += g.join(part, part, percent)
         if not pivot.any():  # whole groups are here
@@ -264,57 +282,72 @@ def near(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame
     """doc_id, n_shingles, component_id, text_hash (xxhash64) and kept of each row of documents (doc_id, text)."""
     spark = documents.sparkSession
     small_batches(spark)
+    scratch = Scratch(spark)
     docs = pick(documents, doc_id="long", text="string")
-    sketched = written(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_sketch(shingle), SKETCHES))
+    sketched = scratch.put(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_sketch(shingle), SKETCHES))
     named = sketched.filter("doc_id is not null and n_shingles > 0")
-    classes = named.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("node"))
+    classes = named.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("size"))
 
     # the bands of each class's smallest document; equal sets have equal bands
-    banded = named.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")).select("node", F.explode("bands").alias("band"))
-    banded = written(banded)
-    buckets = banded.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("most")).filter("pivot < most").select("band", "pivot")
-    ties = banded.join(buckets, "band").filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-    groups = written(components(ties).withColumnRenamed("component", "grp"))
-
-    # blocks: one for a group of at most BLOCK documents
-    sizes = groups.groupBy("grp").agg(F.count("*").alias("m"))
-    large = sizes.filter(F.col("m") > BLOCK).select(F.col("grp").alias("g"), F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    placed = groups.join(large, F.col("grp") == F.col("g"), "left").select("node", "grp", F.coalesce("blocks", F.lit(1)).alias("blocks"), F.coalesce(F.pmod(F.xxhash64("node"), F.col("blocks")), F.lit(0)).cast("int").alias("block"))
-    placed = placed.join(classes, "node").select("node", "grp", "blocks", "block", "fp1")
+    banded = named.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
+    banded = scratch.put(banded.select("node", F.explode("bands").alias("band")))
+    buckets = banded.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("most"), F.count("*").alias("n"))
+    buckets = buckets.filter("pivot < most").drop("most")
+    ties = join_hubs(banded, buckets, "band", banded.count()).filter("node <> pivot")
+    groups = scratch.put(components(ties.select(F.col("node").alias("a"), F.col("pivot").alias("b"))).withColumnRenamed("component", "grp"))
+
+    # blocks: one for a group of at most BLOCK documents with BLOCK_SHINGLES shingles
+    placed = groups.join(classes, "node")
+    sizes = placed.groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    large = sizes.filter("blocks > 1")
+    block = F.coalesce(F.pmod(F.xxhash64("node"), F.col("blocks")), F.lit(0)).cast("int")
+    placed = placed.join(large, "grp", "left").select("node", "grp", "size", F.coalesce("blocks", F.lit(1)).alias("blocks"), block.alias("block"), "fp1")
     texts = docs.filter("doc_id is not null").mapInArrow(_compress, "doc_id long, packed binary")
-    members = written(placed.join(texts, F.col("node") == F.col("doc_id")).select("node", "grp", "blocks", "block", "fp1", "packed"))
-
-    drawn = members.filter("blocks > 1").groupBy("grp").agg(F.array_union(F.array(F.min("node")), F.slice(F.array_sort(F.collect_set(F.when(F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks") * (BLOCK // PIVOTS)) == 0, F.col("node")))), 1, PIVOTS)).alias("p"))
-    drawn = drawn.select("grp", F.explode("p").alias("node"))
-    many = members.filter("blocks > 1")
-    pivots = many.join(drawn, ["grp", "node"]).select("node", "grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "fp1", "packed").withColumn("pivot", F.lit(True))
+    what = ["node", "grp", "size", "blocks", "block", "fp1", "packed"]
+    members = scratch.put(placed.join(texts, F.col("node") == F.col("doc_id")).select(*what))
+
+    drawn = F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks") * (BLOCK // PIVOTS)) == 0
+    drawn = F.slice(F.array_sort(F.collect_set(F.when(drawn, F.col("node")))), 1, PIVOTS)
+    many = members.filter("blocks > 1").drop("size")
+    drawn = many.groupBy("grp").agg(F.array_union(F.array(F.min("node")), drawn).alias("p")).select("grp", F.explode("p").alias("node"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    pivots = many.join(drawn, ["grp", "node"]).select("node", "grp", every("blocks").alias("block"), "fp1", "packed").withColumn("pivot", F.lit(True))
     alone = members.select("node", "grp", "block", "fp1", "packed", "blocks").withColumn("pivot", F.lit(False))
-    bins = -(-members.count() // BIN) or 1
+    total = members.agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()[0]
+    bins = max(1, -(-total["n"] // BIN), -(-(total["size"] or 0) // BIN_SHINGLES))
     both = pivots.withColumn("blocks", F.lit(2)).unionByName(alone)
     small = F.col("blocks") == 1
-    both = both.withColumn("k1", F.when(small, F.pmod(F.xxhash64("grp"), F.lit(bins))).otherwise(F.col("grp"))).withColumn("k2", F.when(small, F.lit(-1)).otherwise(F.col("block"))).drop("blocks", "block")
-    found = written(both.groupBy("k1", "k2").applyInArrow(_solve(shingle, percent), EDGES))
+    both = both.withColumn("k1", F.when(small, F.pmod(F.xxhash64("grp"), F.lit(bins))).otherwise(F.col("grp")))
+    both = both.withColumn("k2", F.when(small, F.lit(-1)).otherwise(F.col("block"))).drop("blocks", "block")
+    found = scratch.put(both.groupBy("k1", "k2").applyInArrow(_solve(shingle, percent), EDGES))
 
     # what no pivot ties meets every other block of its group
-    asking = many.join(found.filter("loose is not null").select(F.col("loose").alias("node")).distinct(), "node")
+    loose = found.filter("loose is not null").select(F.col("loose").alias("node")).distinct()
+    asking = many.join(loose, "node")
     asked = asking.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("askers"))
-    asking = asking.join(asked, "grp").select("node", "grp", "fp1", "packed", F.pmod(F.xxhash64("node", F.lit(5)), F.col("askers")).cast("int").alias("ask"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).withColumn("asks", F.lit(True))
-    others = many.join(asked, "grp").select("node", "grp", "fp1", "packed", F.explode(F.sequence(F.lit(0), F.col("askers") - 1)).alias("ask"), "block").withColumn("asks", F.lit(False))
+    ask = F.pmod(F.xxhash64("node", F.lit(5)), F.col("askers")).cast("int")
+    asking = asking.join(asked, "grp").select("node", "grp", "fp1", "packed", ask.alias("ask"), every("blocks").alias("block")).withColumn("asks", F.lit(True))
+    others = many.join(asked, "grp").select("node", "grp", "fp1", "packed", every("askers").alias("ask"), "block").withColumn("asks", F.lit(False))
     met = asking.unionByName(others).groupBy("grp", "ask", "block").applyInArrow(_meet(shingle, percent), EDGES)
 
     links = found.filter("a is not null").select("a", "b").unionByName(met.select("a", "b"))
     labels = components(links).select("node", F.col("component").alias("c"))
     known = classes.join(labels, "node", "left").select("fp1", "fp2", F.coalesce("c", "node").alias("c"))
-    return (
-        sketched.select("doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("fp1")).alias("fp1"), "fp2")
+    has_set = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    out = (
+        sketched.select("doc_id", "text_hash", "n_shingles", F.when(has_set, F.col("fp1")).alias("fp1"), "fp2")
         .join(known, ["fp1", "fp2"], "left")
         .select("doc_id", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"), "text_hash")
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+    out = written(out)
+    scratch.clear()
+    return out
 
 
 def keep_one(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The documents, with all their columns, that are the smallest of their group."""
-    gone = near(documents, shingle, percent).filter("not kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    here = (F.col("doc_id").cast("long") == F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_hash"))
+    one, two = (fresh(c, documents.columns) for c in ("of_doc", "of_text"))
+    gone = near(documents, shingle, percent).filter("not kept").select(F.col("doc_id").alias(one), F.col("text_hash").alias(two)).distinct()
+    here = (documents["doc_id"].cast("long") == F.col(one)) & (F.xxhash64(documents["text"].cast("string")) == F.col(two))
     return documents.join(gone, here, "left_anti")
