@@ -8,17 +8,21 @@ some k < 7 has (i + k) % 7 and (j + k) % 7 both in the cover. So two equal
 windows of 13 words share an anchor, 7 words at a cover position, that begins
 at the same k in both. Only anchors are hashed and compared first (3 of 7
 positions); where an anchor occurs in another document, the match is extended:
-the windows around it are hashed to 96 bits and compared.
+the windows around it are compared by 96 bits from two independent word hashes.
 
 Documents are dealt to segments of about SEGMENT_BYTES by a hash of their
-content. A segment sends each key once to the key's bucket, however often it
-holds it, so that a passage in a third of all documents makes one entry per
-segment. A bucket answers each segment with those of its keys that count. The
-answers are keys, not places, so recomputed tasks may see rows in any order.
+content. A segment sends each of its anchors and windows once, as a row of its
+own, however often it holds it, so that a passage in a third of all documents
+makes a row per segment, and rows grow with the input only. Window functions of
+Spark, which spill, tell the keys that count; these return to the segments that
+sent them. They are keys, not places, so recomputed tasks may see rows in any
+order.
 
 Null texts have no words. Rows with a null doc_id, and documents of fewer than
 WINDOW words, neither lose words nor remove any. Rows that repeat a doc_id are
-the same document for this purpose and don't remove each other's words.
+the same document for this purpose and don't remove each other's words; they are
+dealt to segments by their places in the input, so that input should be a table
+in files: a task that is repeated must see its rows in the same order.
 """
 
 from __future__ import annotations
@@ -29,24 +33,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from panelforge.llm.common import SPACE_WORDS, Words, buffers, mix64, pick, small_batches
+from panelforge.llm.common import SPACE_WORDS, Words, buffers, fresh, give_back, mix64, pick, slim, small_batches
 
 WINDOW = 13
 PERIOD = 7
 ANCHOR = 7
 COVER = (1, 2, 4)
 SEGMENT_BYTES = 1 << 21
-#: Segments for each bucket that keys are dealt to.
-SEGMENTS_A_BUCKET = 2
 
-MESSAGES = "bucket int, seg int, keys binary, more binary"
-ANSWERS = "seg int, keys binary"
 _U = np.uint64
 
 
+@slim
 def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1)
     for b in batches:
@@ -58,7 +60,7 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Segment:
-    """The words of a segment's documents and the 64-bit hashes of the words."""
+    """The words of a segment's documents, and 64-bit hashes of the words."""
 
     def __init__(self, t: pa.Table):
         unpack = zstandard.ZstdDecompressor()
@@ -81,28 +83,18 @@ class Segment:
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First words of all windows, and their hashes of 64 and 32 bits."""
         at, keys = self.words.windows(self.hashes, WINDOW, seed=11)
-        _, more = self.words.windows(self.hashes, WINDOW, seed=13)
+        _, more = self.words.windows(self.words.hashes(1), WINDOW, seed=13)
         keep = self.named[self.words.owner[at]]
         return at[keep], keys[keep], (more[keep] >> _U(32)).astype(np.uint32)
 
 
-def _messages(seg: int, buckets: int, keys: np.ndarray, more: list[np.ndarray]) -> pa.Table:
-    """A row per bucket: the keys that belong there, and what goes with each."""
-    bucket = ((keys >> _U(33)) % _U(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    keys, more, bucket = keys[order], [m[order] for m in more], bucket[order]
-    at = np.flatnonzero(np.diff(bucket, prepend=-1))
-    ends = [*at[1:].tolist(), len(keys)][: len(at)]
-    pack = zstandard.ZstdCompressor(level=1)
-    cut = list(zip(at.tolist(), ends, strict=True))
-    return pa.table(
-        {
-            "bucket": pa.array(bucket[at].astype(np.int32)),
-            "seg": pa.array(np.full(len(at), seg, np.int32)),
-            "keys": pa.array([keys[lo:hi].tobytes() for lo, hi in cut], pa.binary()),
-            "more": pa.array([pack.compress(b"".join(m[lo:hi].tobytes() for m in more)) for lo, hi in cut], pa.binary()),
-        }
-    )
+ANCHORS = "key long, seg int, local boolean"
+WINDOWS = "key long, more int, seg int, id long"
+
+
+def _empty(schema: str) -> pa.Table:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+    return pa.table({n: pa.array([], kinds[t]) for n, t in (c.split() for c in schema.split(", "))})
 
 
 def _unique(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,48 +107,18 @@ def _unique(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys[first], np.minimum.reduceat(ids, first), np.maximum.reduceat(ids, first)
 
 
-def _send_anchors(buckets: int):
-    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        s = Segment(t)
-        at, keys = s.anchors()
-        keys, low, high = _unique(keys, s.ids[s.words.owner[at]])
-        return _messages(key[0].as_py(), buckets, keys, [(low < high).astype(np.uint8)])
-
-    return run
-
-
-def _gather(t: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """Keys and segments of a bucket's messages, their other parts, and how many keys each has."""
-    unpack = zstandard.ZstdDecompressor()
-    keys = [np.frombuffer(x, np.uint64) for x in t.column("keys").to_pylist()]
-    sizes = np.array([len(x) for x in keys], dtype=np.int64)
-    more = [unpack.decompress(x) for x in t.column("more").to_pylist()]
-    return np.concatenate(keys), np.repeat(t.column("seg").to_numpy(), sizes), more, sizes
-
-
-def _answers(seg: np.ndarray, keys: np.ndarray) -> pa.Table:
-    order = np.argsort(seg, kind="stable")
-    seg, keys = seg[order], keys[order]
-    at = np.flatnonzero(np.diff(seg, prepend=-1))
-    ends = [*at[1:].tolist(), len(keys)][: len(at)]
-    return pa.table({"seg": pa.array(seg[at].astype(np.int32)), "keys": pa.array([keys[lo:hi].tobytes() for lo, hi in zip(at.tolist(), ends, strict=True)], pa.binary())})
-
-
-def _shared_anchors(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-    """Tells each segment which of its anchors occur in two documents or segments."""
-    keys, seg, more, _ = _gather(t)
-    local = np.frombuffer(b"".join(more), np.uint8)
-    order = np.argsort(keys, kind="stable")
-    keys, seg, local = keys[order], seg[order], local[order]
-    same = keys[1:] == keys[:-1]
-    shared = local.astype(bool)
-    shared[1:] |= same
-    shared[:-1] |= same
-    return _answers(seg[shared], keys[shared])
+def _send_anchors(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+    """Each anchor of the segment once, and whether two of its documents have it."""
+    s = Segment(t)
+    at, keys = s.anchors()
+    keys, low, high = _unique(keys, s.ids[s.words.owner[at]])
+    give_back()
+    return pa.table({"key": pa.array(keys.view(np.int64)), "seg": pa.array(np.full(len(keys), key[0].as_py(), np.int32)), "local": pa.array(low < high)})
 
 
-def _told(t: pa.Table) -> np.ndarray:
-    return np.frombuffer(b"".join(t.column("keys").to_pylist()), np.uint64)
+def _told(answers: pa.Table) -> tuple[np.ndarray, np.ndarray | None]:
+    keys = answers.column("key").to_numpy().view(np.uint64)
+    return keys, answers.column("more").to_numpy().view(np.uint32) if "more" in answers.column_names else None
 
 
 def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -166,45 +128,41 @@ def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
 
 
-def _send_windows(buckets: int):
-    """Extends the shared anchors: the windows over each go to their buckets."""
-
-    def run(key: tuple[pa.Scalar, ...], t: pa.Table, answers: pa.Table) -> pa.Table:
-        if not t.num_rows or not answers.num_rows:
-            return _messages(0, buckets, np.zeros(0, np.uint64), [])
-        s = Segment(t)
-        at, keys = s.anchors()
-        hit = at[_among(keys, _told(answers))]
-        near = np.zeros(len(s.words) + 1, dtype=bool)
-        for k in range(PERIOD):
-            near[np.maximum(hit - k, 0)] = True
-        at, keys, more = s.windows()
-        keep = near[at]
-        at, keys, more = at[keep], keys[keep], more[keep]
-        ids = s.ids[s.words.owner[at]]
-        order = np.lexsort((ids, more, keys))  # each window once, with its smallest document
-        at, keys, more, ids = (x[order] for x in (at, keys, more, ids))
-        first = np.ones(len(keys), dtype=bool)
-        first[1:] = (keys[1:] != keys[:-1]) | (more[1:] != more[:-1])
-        keys, more, ids = keys[first], more[first], ids[first]
-        order = np.argsort(ids, kind="stable")  # runs of ids, which compress
-        return _messages(key[0].as_py(), buckets, keys[order], [more[order], ids[order]])
-
-    return run
+def _among_both(keys: np.ndarray, more: np.ndarray, known: np.ndarray, known_more: np.ndarray) -> np.ndarray:
+    """Where (keys, more) is one of the known pairs."""
+    out = np.zeros(len(keys), dtype=bool)
+    at = np.flatnonzero(_among(keys, known))
+    number = np.unique(np.concatenate([keys[at], known]), return_inverse=True)[1].astype(np.uint64) << _U(32)
+    out[at] = _among(number[: len(at)] | more[at], number[len(at) :] | known_more)
+    return out
+
+
+def _send_windows(key: tuple[pa.Scalar, ...], t: pa.Table, answers: pa.Table) -> pa.Table:
+    """Extends the shared anchors: each window over one, once, with its smallest document."""
+    if not t.num_rows or not answers.num_rows:
+        return _empty(WINDOWS)
+    s = Segment(t)
+    at, keys = s.anchors()
+    hit = at[_among(keys, _told(answers)[0])]
+    near = np.zeros(len(s.words) + 1, dtype=bool)
+    for k in range(PERIOD):
+        near[np.maximum(hit - k, 0)] = True
+    at, keys, more = s.windows()
+    keep = near[at]
+    keys, more, ids = keys[keep], more[keep], s.ids[s.words.owner[at[keep]]]
+    order = np.lexsort((ids, more, keys))
+    keys, more, ids = keys[order], more[order], ids[order]
+    first = _firsts(keys, more)
+    keys, more, ids = keys[first], more[first], ids[first]
+    give_back()
+    seg = np.full(len(keys), t.column("seg")[0].as_py(), np.int32)
+    return pa.table({"key": pa.array(keys.view(np.int64)), "more": pa.array(more.view(np.int32)), "seg": pa.array(seg), "id": pa.array(ids)})
 
 
-def _earlier(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-    """Tells each segment which of its windows a document before all of its own has."""
-    keys, seg, rest, sizes = _gather(t)
-    more = np.concatenate([np.frombuffer(x, np.uint32, n) for x, n in zip(rest, sizes.tolist(), strict=True)])
-    ids = np.concatenate([np.frombuffer(x, np.int64, n, 4 * n) for x, n in zip(rest, sizes.tolist(), strict=True)])
-    order = np.lexsort((ids, more, keys))
-    keys, more, ids, seg = (x[order] for x in (keys, more, ids, seg))
+def _firsts(keys: np.ndarray, more: np.ndarray) -> np.ndarray:
     first = np.ones(len(keys), dtype=bool)
     first[1:] = (keys[1:] != keys[:-1]) | (more[1:] != more[:-1])
-    least = ids[np.flatnonzero(first)][np.cumsum(first) - 1]
-    late = least < ids
-    return _answers(seg[late], keys[late])
+    return first
 
 
 RESULT = "doc_id long, n_words long, n_removed long, kept binary"
@@ -227,12 +185,11 @@ def _remove(digest: bool, carried: list[str]):
         s = Segment(t)
         at, keys, more = s.windows()
         ids = s.ids[s.words.owner[at]]
-        gone = _among(keys, _told(answers)) if answers.num_rows else np.zeros(len(at), dtype=bool)
+        gone = _among_both(keys, more, *_told(answers)) if answers.num_rows else np.zeros(len(at), dtype=bool)
         order = np.lexsort((ids, more, keys))
         k, m, i = keys[order], more[order], ids[order]
-        first = np.ones(len(k), dtype=bool)
-        first[1:] = (k[1:] != k[:-1]) | (m[1:] != m[:-1])
         if len(k):
+            first = _firsts(k, m)
             gone[order] |= i[np.flatnonzero(first)][np.cumsum(first) - 1] < i
         cover = np.zeros(len(s.words) + WINDOW + 1, dtype=np.int64)
         np.add.at(cover, at[gone], 1)
@@ -241,8 +198,11 @@ def _remove(digest: bool, carried: list[str]):
         out, where = _joined(s.words, keep)
         raw, cuts = out.tobytes(), where.tolist()
         texts = [raw[lo : max(lo, hi - 1)] for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
-        removed = s.words.counts - (np.concatenate([[0], np.cumsum(keep)])[s.words.first[1:]] - np.concatenate([[0], np.cumsum(keep)])[s.words.first[:-1]])
+        left = np.concatenate([[0], np.cumsum(keep)])[s.words.first]
+        removed = s.words.counts - np.diff(left)
         kept = pa.array([hashlib.sha256(x).digest() for x in texts] if digest else texts, pa.binary())
+        del out, raw, texts
+        give_back()
         return pa.table({"doc_id": t.column("doc_id"), "n_words": pa.array(s.words.counts.astype(np.int64)), "n_removed": pa.array(removed.astype(np.int64)), "kept": kept} | {n: t.column(n) for n in carried})
 
     return run
@@ -255,32 +215,42 @@ def deduplicate(documents: DataFrame, digest: bool = False, carry: tuple[str, ..
     """
     spark = documents.sparkSession
     small_batches(spark)
-    kinds = dict(documents.dtypes)
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)])
-    more = "".join(f", c{i} {kinds[c]}" for i, c in enumerate(carry))
+    columns = {f"c{i}": documents[f"`{c}`"] for i, c in enumerate(carry)}
+    docs = documents.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"].cast("string").alias("text"), *[c.alias(n) for n, c in columns.items()])
+    kinds = StructType(docs.schema.fields[2:])
     total = docs.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).collect()[0]
     least = min(total["n"] // 64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     segments = max(1, -(-(total["b"] or 0) // SEGMENT_BYTES), least)
-    buckets = max(1, segments // SEGMENTS_A_BUCKET)
-    dealt = docs.withColumn("seg", F.pmod(F.xxhash64("doc_id", "text"), F.lit(segments)).cast("int")).mapInArrow(_compress, "seg int, doc_id long, packed binary" + more)
+    # rows that repeat a document are dealt by their places in the scan too, which decide about nothing else
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))
+    dealt = docs.withColumn("seg", F.pmod(F.xxhash64("doc_id", "text", place), F.lit(segments)).cast("int"))
+    dealt = dealt.mapInArrow(_compress, _schema("seg int, doc_id long, packed binary", kinds))
     whole = dealt.groupBy("seg")
-    anchors = whole.applyInArrow(_send_anchors(buckets), MESSAGES)
-    shared = anchors.groupBy("bucket").applyInArrow(_shared_anchors, ANSWERS)
-    windows = whole.cogroup(shared.groupBy("seg")).applyInArrow(_send_windows(buckets), MESSAGES)
-    earlier = windows.groupBy("bucket").applyInArrow(_earlier, ANSWERS)
-    out = whole.cogroup(earlier.groupBy("seg")).applyInArrow(_remove(digest, [f"c{i}" for i in range(len(carry))]), RESULT + more)
+    anchors = whole.applyInArrow(_send_anchors, ANCHORS)
+    of_key = Window.partitionBy("key")
+    shared = anchors.withColumn("others", F.min("seg").over(of_key) < F.max("seg").over(of_key))
+    shared = shared.filter("others or local")
+    windows = whole.cogroup(shared.select("key", "seg").groupBy("seg")).applyInArrow(_send_windows, WINDOWS)
+    earlier = windows.withColumn("least", F.min("id").over(Window.partitionBy("key", "more"))).filter("least < id")
+    removed = whole.cogroup(earlier.select("key", "more", "seg").groupBy("seg"))
+    out = removed.applyInArrow(_remove(digest, list(columns)), _schema(RESULT, kinds))
     kept = F.lower(F.hex("kept")).alias("kept_sha256") if digest else F.col("kept").cast("string").alias("kept_text")
-    return out.select("doc_id", "n_words", "n_removed", kept, *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])
+    return out.select("doc_id", "n_words", "n_removed", kept, *[F.col(n).alias(c) for n, c in zip(columns, carry, strict=True)])
+
+
+def _schema(own: str, carried: StructType) -> StructType:
+    return StructType([*StructType.fromDDL(own).fields, *[StructField(f.name, f.dataType) for f in carried.fields]])
 
 
 def rewrite(documents: DataFrame) -> DataFrame:
     """The documents with all their columns, without the words that go; n_chars follows, texts that lose nothing stay as they are."""
     columns = documents.columns
     done = deduplicate(documents, carry=tuple(columns))
-    done = done.toDF(*["_id", "_words", "_removed", "_kept"], *columns)
-    gone = F.col("_removed") > 0
+    own = [fresh(c, columns) for c in ("id_", "words_", "removed_", "kept_")]
+    done = done.toDF(*own, *columns)
+    gone, kept = F.col(own[2]) > 0, F.col(own[3])
     out = {c: F.col(f"`{c}`") for c in columns}
-    out["text"] = F.when(gone, F.col("_kept")).otherwise(F.col("text"))
+    out["text"] = F.when(gone, kept).otherwise(F.col("text"))
     if "n_chars" in out:
-        out["n_chars"] = F.when(gone, F.length("_kept")).otherwise(F.col("n_chars")).cast(dict(documents.dtypes)["n_chars"])
+        out["n_chars"] = F.when(gone, F.length(kept)).otherwise(F.col("n_chars")).cast(dict(documents.dtypes)["n_chars"])
     return done.select(*[x.alias(c) for c, x in out.items()])
