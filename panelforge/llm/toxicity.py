@@ -9,15 +9,14 @@ share of toxic documents in one part of the sample is far above the average.
 The sample is the SAMPLE labelled rows that come first by a hash of doc_id,
 among those whose crc32(doc_id as text) mod 5 is not 0. SAMPLE bounds what is
 fitted on; texts are whole, and everything is scored. A third of the sample
-gives the lexicon; a third of the rest gives the calibration, the others the
-trees. If the calibration's rows hold fewer than 20 of either kind, or the
-trees' only one kind, all of the rest gives the trees and the calibration is
-fitted on the trees' own rows: scores of small label tables lean to 0 and 1.
+gives the lexicon; the trees are fitted on the rest. The calibration is fitted on
+out-of-fold scores: the rest is cut into FOLDS by a hash of doc_id, and trees of
+the other folds score each one. That holds for any number of labels.
 
 Null texts count as empty and are scored like them. A null doc_id has no label
 and is held out iff crc32('') mod 5 is 0. Repeated labels of a document: toxic
-if any says so; null labels are none. Without labelled rows of both kinds the
-score is the density of seed insults, 0.5 at SEED_RATE.
+if any says so; null labels are none. Labels that aren't of both kinds can't be
+learned from: the score is the density of seed insults then, 0.5 at SEED_RATE.
 """
 
 from __future__ import annotations
@@ -29,11 +28,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from panelforge.llm.common import SPACE_WORDS, Words, mix64, pick, slices, small_batches, span_hashes
+from panelforge.llm.common import SPACE_WORDS, Words, fresh, mix64, pick, slices, slim, small_batches, span_hashes
 
 SAMPLE = 12_000
-LEXICON = 4096
+FOLDS = 3
 SEED_RATE = 0.01
 #: Common insults, and words for the second person in four languages.
 INSULTS = ("idiot", "moron", "stupid", "loser", "trash", "scum", "clown", "pathetic", "worthless", "disgusting", "dumb", "fool", "jerk", "ugly", "shut", "hate")
@@ -79,7 +79,7 @@ class Terms:
         alnum = _CLASS["alnum"][data]
         n = len(data)
         if len(starts):
-            place = np.arange(n)
+            place = np.arange(n, dtype=np.int32 if n < 1 << 31 else np.int64)
             after = np.minimum.accumulate(np.where(alnum, place, n)[::-1])[::-1]  # next letter or digit
             before = np.maximum.accumulate(np.where(alnum, place, -1))
             s, e = after[starts], before[ends - 1] + 1
@@ -108,11 +108,13 @@ def features(data: np.ndarray, offsets: np.ndarray, lexicon: np.ndarray) -> np.n
     """A row per text. lexicon: sorted hashes of words and prefixes."""
     t = Terms(data, offsets)
     w, n = t.words, np.maximum(t.words.counts, 1)
-    counts = {k: np.concatenate([[0], np.cumsum(v[data])]) for k, v in _CLASS.items()}
-    inside = lambda k: counts[k][t.ends] - counts[k][t.starts]
-    whole = lambda k: counts[k][offsets[1:]] - counts[k][offsets[:-1]]
-    letters, signs = inside("letter"), inside("sign")
-    odd = (letters > 0) & (signs > 0)
+    inside, whole = {}, {}
+    total = np.zeros(len(data) + 1, dtype=np.int32 if len(data) < 1 << 31 else np.int64)
+    for k, of in _CLASS.items():  # one running count at a time
+        np.cumsum(of[data], out=total[1:])
+        inside[k], whole[k] = total[t.ends] - total[t.starts], total[offsets[1:]] - total[offsets[:-1]]
+    letters = inside["letter"]
+    odd = (letters > 0) & (inside["sign"] > 0)
     seed, known = _among(t.hashes, SEEDS), _among(t.hashes, lexicon)
     begun = np.zeros(len(w), dtype=bool)
     for h in t.prefixes:
@@ -128,11 +130,11 @@ def features(data: np.ndarray, offsets: np.ndarray, lexicon: np.ndarray) -> np.n
     lo, hi = np.maximum(i - NEAR, w.first[w.owner] if len(w) else i), np.minimum(i + NEAR + 1, w.first[w.owner + 1] if len(w) else i)
     close = hit & (second[hi] > second[lo])
     size = np.maximum(offsets[1:] - offsets[:-1], 1)
-    shouted = (inside("upper") > 1) & (inside("upper") == letters)
+    shouted = (inside["upper"] > 1) & (inside["upper"] == letters)
     per_word = [seed, known, begun, hit, disguised, odd, close, shouted]
     rates = [t.sums(x) / n for x in per_word]
     hits = t.sums(hit)
-    return np.column_stack([*rates, hits, t.sums(seed | disguised), t.sums(begun), np.log1p(w.counts), *[whole(k) / size for k in ("upper", "digit", "punct", "shout")], t.sums(second[1:] - second[:-1]) / n]).astype(np.float64)
+    return np.column_stack([*rates, hits, t.sums(seed | disguised), t.sums(begun), np.log1p(w.counts), *[whole[k] / size for k in ("upper", "digit", "punct", "shout")], t.sums(second[1:] - second[:-1]) / n]).astype(np.float64)
 
 
 # Trees
@@ -257,6 +259,9 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(hot), pa.array(every.astype(np.int64))], names=["term", "hot", "every"])
 
 
+_count_terms = slim(_count_terms)
+
+
 def _features(lexicon: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -264,7 +269,7 @@ def _features(lexicon: np.ndarray):
                 x = features(data, offsets, lexicon)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("toxic").slice(lo, hi - lo), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "toxic", "x"])
 
-    return run
+    return slim(run)
 
 
 def held_out(doc_id: str) -> Column:
@@ -288,41 +293,49 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
         share = hot / every
         least = max(3, hot // 150)
         odds = (F.col("hot") + 0.5) / (F.col("every") - F.col("hot") + 0.5)
-        strong = terms.filter((F.col("hot") >= least) & (odds >= 8 * share / (1 - share)) & (odds >= 1)).orderBy(F.desc(F.col("hot") * F.log(odds + 1)), "term").limit(LEXICON)
+        strong = terms.filter((F.col("hot") >= least) & (odds >= 8 * share / (1 - share + 1e-9)) & (odds >= 1))
         lexicon = np.sort(np.array([r["term"] for r in strong.select("term").collect()], dtype=np.int64).view(np.uint64))
-    rest = docs.filter("part > 0").select("doc_id", "toxic", "text").mapInArrow(_features(lexicon), "doc_id long, toxic int, x binary").toArrow().sort_by([("doc_id", "ascending"), ("x", "ascending")])
+    rest = docs.filter("part > 0").select("doc_id", "toxic", "text").mapInArrow(_features(lexicon), "doc_id long, toxic int, x binary").toArrow()
+    rest = rest.sort_by([("doc_id", "ascending"), ("x", "ascending")])
     y = rest.column("toxic").to_numpy().astype(np.float64)
-    if len(y) < 20 or y.min() == y.max():
+    if not len(y) or y.min() == y.max():
         return Model(lexicon)
     x = np.stack([np.frombuffer(r) for r in rest.column("x").to_pylist()])
-    half = (mix64(rest.column("doc_id").to_numpy().astype(np.uint64)) % _U(3)) == 0  # a third of these calibrates
-    if y[~half].min() == y[~half].max() or y[half].sum() < 20 or (1 - y[half]).sum() < 20:
-        half[:] = False
-    trees = boost(x[~half], y[~half])
-    raw = trees.raw(x)
-    used = half if half.any() else ~half
-    at, calibrated = isotonic(raw[used], y[used])
-    return Model(lexicon, trees, at, calibrated)
+    return Model(lexicon, *fit(x, y, rest.column("doc_id").to_numpy()))
+
+
+def fit(x: np.ndarray, y: np.ndarray, ids: np.ndarray) -> tuple[Trees, np.ndarray, np.ndarray]:
+    """Trees on all rows, and the calibration of their scores from those of rows that the trees hadn't seen."""
+    fold = (mix64(ids.astype(np.uint64)) % _U(FOLDS)).astype(np.int64)
+    unseen = np.empty(len(y))
+    for f in np.unique(fold).tolist():
+        own = fold == f
+        others = ~own if not own.all() else own  # rows of one document only
+        unseen[own] = boost(x[others], y[others]).raw(x[own])
+    return boost(x, y), *isotonic(unseen, y)
 
 
-def _scores(model: Model, passed: list[str]):
+def _scores(model: Model, passed: list[str], name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            score = [np.clip(model.score(features(data, offsets, model.lexicon)), 0.0, 1.0) for _, _, data, offsets in slices(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in passed], pa.array(np.concatenate(score) if score else np.zeros(0))], names=[*passed, "score"])
+            parts = slices(b.column("text"))
+            score = [np.clip(model.score(features(data, offsets, model.lexicon)), 0.0, 1.0) for _, _, data, offsets in parts]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in passed], pa.array(np.concatenate(score) if score else np.zeros(0))], names=[*passed, name])
 
-    return run
+    return slim(run)
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score and predicted of every row of documents (doc_id, text)."""
     small_batches(documents.sparkSession)
-    rows = pick(documents, doc_id="long", text="string").mapInArrow(_scores(model, ["doc_id"]), "doc_id long, score double")
+    rows = pick(documents, doc_id="long", text="string").mapInArrow(_scores(model, ["doc_id"], "score"), "doc_id long, score double")
     return rows.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_clean(documents: DataFrame, model: Model) -> DataFrame:
     """The documents below 0.5, with all their columns."""
     small_batches(documents.sparkSession)
-    schema = ", ".join(f"`{c}` {t}" for c, t in documents.dtypes)
-    return documents.mapInArrow(_scores(model, documents.columns), f"{schema}, score double").filter("score < 0.5").select(*[F.col(f"`{c}`") for c in documents.columns])
+    name = fresh("score", documents.columns)
+    schema = StructType([*documents.schema.fields, StructField(name, DoubleType())])
+    scored = documents.mapInArrow(_scores(model, documents.columns, name), schema)
+    return scored.filter(F.col(name) < 0.5).drop(name)
