@@ -1,11 +1,14 @@
 """Benchmark decontamination: BM25 with an inverted index of the test items and block-max WAND.
 
-Texts are split into the words of letters and digits, lower-cased. A document is
-read in passages of twice the longest item's length that overlap by half, so
-that every stretch as long as an item lies within one. A passage is a query; an
+Texts are split into the words of letters and digits, lower-cased. Items fall
+into classes by their number of words, up to 1, 2, 4, 8 and so on. For a class a
+document is read in passages of twice its largest number that overlap by half,
+so that every stretch as long as an item lies within one. A passage is a query; an
 item's score is the sum of its BM25 weights of the passage's terms, as a share
-of its score for itself. All items of at least THRESHOLD are retrieved: blocks of items
-whose summed largest weights stay below are left out for a passage, and WAND
+of its score for itself. Document frequencies, the number of items and their mean
+length are those of the whole benchmark. All items of at least THRESHOLD are
+retrieved: blocks of items whose summed largest weights stay below are left out
+for a passage, and WAND
 moves over the posting lists of the others by their largest weights. A retrieved
 item is a leak if the passage holds at least SHARE of the shingles of its
 question and of its answer. Shingles have SHINGLE words, or fewer in a short
@@ -13,9 +16,9 @@ part, down to 1 in an answer and 2 elsewhere, so that a changed word leaves
 SHARE of them if that is possible. The answer is the last sentence, or the
 last SHINGLE words if that is shorter; an item too short for both is one part.
 
-Items come in blocks of ITEMS, each with an index of its own, which is sent to
-the workers: its size is bounded by ITEMS and ITEM_BYTES, not by the benchmark's.
-Frequencies are those of a block. Null and empty texts hold no leak; items
+A pass over the documents takes at most ITEMS items or ITEM_BYTES, whose indexes
+are sent to the workers; a larger benchmark takes several passes. How items are
+dealt to passes has no influence on what is found. Null and empty texts hold no leak; items
 without words match nothing; repeated items and documents give rows each. Ids
 may be null.
 """
@@ -26,13 +29,15 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import ALNUM_WORDS, Words, pick, slices, small_batches
+from panelforge.llm.common import ALNUM_WORDS, Words, pick, slices, slim, small_batches
+from panelforge.llm.components import join_hubs
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5
@@ -86,29 +91,48 @@ def parts(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return terms, terms[:-last], terms[-last:]
 
 
+@dataclass(frozen=True)
+class Corpus:
+    """What the weights take from the whole benchmark: items, their mean length, and the frequency of each of the terms."""
+
+    items: int
+    mean: float
+    frequency: dict[int, int]
+
+    def weights(self, terms: np.ndarray) -> dict[int, float]:
+        """BM25 weights of an item's terms, as shares of its own score."""
+        norm = K1 * (1 - B + B * len(terms) / self.mean)
+        weight = {}
+        for x, f in Counter(terms.tolist()).items():
+            df = self.frequency[x]
+            weight[x] = np.log(1 + (self.items - df + 0.5) / (df + 0.5)) * f * (K1 + 1) / (f + norm)
+        own = sum(weight.values())
+        return {x: v / own for x, v in weight.items()}
+
+
+def length_class(words: int) -> int:
+    """The power of two that many words fit into."""
+    return 1 << max(words - 1, 0).bit_length()
+
+
 class Index:
-    """Posting lists of some items, shortest item first; weights are shares of the items' own scores.
+    """Posting lists of items of one length class, shortest item first; weights are shares of the items' own scores.
 
     Blocks are runs of ITEMS_A_BLOCK items of about one length, so a block's
     largest weights bound the score of each of its items closely.
     """
 
-    def __init__(self, items: list[tuple[int | None, str]]):
+    def __init__(self, items: list[tuple[int | None, str]], corpus: Corpus):
         split = sorted(((i, parts(t)) for i, t in items), key=lambda x: len(x[1][0]))
         self.ids = [i for i, _ in split]
         self.question = [part_shingles(q, 2) for _, (_, q, _) in split]
         self.answer = [part_shingles(a, 1 if len(a) < len(t) else 2) for _, (t, _, a) in split]
-        counts = [Counter(t.tolist()) for _, (t, _, _) in split]
-        lengths = [len(t) for _, (t, _, _) in split]
-        self.longest = max([1, *lengths])
-        mean = max(1.0, float(np.mean(lengths))) if lengths else 1.0
-        n, df = len(split), Counter(t for c in counts for t in c)
+        self.step = length_class(max([1, *(len(t) for _, (t, _, _) in split)]))
+        n = len(split)
         postings: dict[int, list[tuple[int, float]]] = {}
-        for i, (c, length) in enumerate(zip(counts, lengths, strict=True)):
-            weight = {x: np.log(1 + (n - df[x] + 0.5) / (df[x] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * length / mean)) for x, f in c.items()}
-            own = sum(weight.values())
-            for x, v in weight.items():
-                postings.setdefault(x, []).append((i, v / own))
+        for i, (_, (t, _, _)) in enumerate(split):
+            for x, v in corpus.weights(t).items():
+                postings.setdefault(x, []).append((i, v))
         self.terms = np.array(sorted(postings), dtype=np.uint64)
         self.lists = [([i for i, _ in postings[x]], [v for _, v in postings[x]]) for x in self.terms.tolist()]
         most: list[dict[int, float]] = []
@@ -169,19 +193,15 @@ def overlap(part: set, passage: set) -> float:
     return len(part & passage) / len(part) if part else 0.0
 
 
-def matches(data: np.ndarray, offsets: np.ndarray, index: Index, threshold: float = THRESHOLD, share: float = SHARE) -> list[tuple[int, int, float, float, float, int]]:
-    """Leaks in the texts of a slice: text, item, score, overlaps of question and answer, first word of the passage."""
-    if not len(index.terms):
-        return []
-    w = Words(data, offsets, ALNUM_WORDS, lower=True)
-    h = w.hashes()
-    if not len(h):
+def matches(w: Words, h: np.ndarray, index: Index, threshold: float = THRESHOLD, share: float = SHARE) -> list[tuple[int, int, float, float, float, int]]:
+    """Leaks in the texts of a slice with words w of hashes h: text, item, score, overlaps of question and answer, first word of the passage."""
+    if not len(index.terms) or not len(h):
         return []
     number = np.minimum(np.searchsorted(index.terms, h), len(index.terms) - 1)
     hit = np.flatnonzero(index.terms[number] == h)
     if not len(hit):
         return []
-    step = index.longest
+    step = index.step
     steps = np.maximum(1, -(-np.maximum(w.counts - step, 0) // step))
     before = np.cumsum(steps) - steps
     best: dict[tuple[int, int], tuple[float, float, float, int]] = {}
@@ -212,31 +232,65 @@ def matches(data: np.ndarray, offsets: np.ndarray, index: Index, threshold: floa
     return [(*key, *row) for key, row in sorted(best.items())]
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
-    held, size = [], 0
-    for r in pick(benchmark, item_id="long", text="string").toLocalIterator():
-        text = r["text"] or ""
-        if held and (len(held) >= ITEMS or size + len(text) > ITEM_BYTES):
-            yield held
-            held, size = [], 0
-        held.append((r["item_id"], text))
-        size += len(text)
+@slim
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        found = [_words(t)[1].view(np.int64) for t in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array([len(x) for x in found], pa.int64()), pa.array([np.unique(x) for x in found], pa.list_(pa.int64()))], names=[*b.schema.names, "words", "terms"])
+
+
+def _passes(benchmark: DataFrame) -> Iterator[list[Index]]:
+    """The indexes of each pass, one for each length class in it. At most a pass's items are on the driver at a time."""
+    known = pick(benchmark, item_id="long", text="string").withColumn("text", F.coalesce("text", F.lit("")))
+    known = known.mapInArrow(_terms, "item_id long, text string, words long, terms array<long>").filter("words > 0")
+    total = known.agg(F.count("*").alias("n"), F.sum("words").alias("words"), F.sum(F.size("terms")).alias("terms")).collect()[0]
+    if not total["n"]:
+        return
+    mean = total["words"] / total["n"]
+    named = known.withColumn("name", F.xxhash64("item_id", "text"))  # repeated items share their terms
+    each = named.select("name", "item_id", "text", "words", F.explode("terms").alias("term"))
+    often = each.groupBy("term").agg(F.count("*").alias("df"), F.count("*").alias("n"))
+    facts = join_hubs(each, often, "term", total["terms"])
+    facts = facts.groupBy("name", "item_id", "text", "words").agg(F.collect_list(F.struct("term", "df")).alias("terms"), (F.count("*") / F.count_distinct("term")).cast("long").alias("copies"))
+    held: dict[int, list] = {}
+    frequency: dict[int, int] = {}
+    n = size = 0
+
+    def out() -> list[Index]:
+        return [Index(items, Corpus(total["n"], mean, frequency)) for _, items in sorted(held.items())]
+
+    for r in facts.orderBy("words", "item_id", "text").toLocalIterator():
+        if n and (n >= ITEMS or size + len(r["text"]) > ITEM_BYTES):
+            yield out()
+            held, frequency, n, size = {}, {}, 0, 0
+        held.setdefault(length_class(r["words"]), []).extend([(r["item_id"], r["text"])] * r["copies"])
+        frequency.update((int(np.int64(t["term"]).view(np.uint64)), t["df"]) for t in r["terms"])
+        n, size = n + r["copies"], size + len(r["text"])
     if held:
-        yield held
+        yield out()
+
+
+def _each(batch: pa.RecordBatch, indexes: list[Index]) -> Iterator[tuple[int, Index, list]]:
+    """First row, index and matches, slice by slice; the words of a slice are found once."""
+    for lo, _, data, offsets in slices(batch.column("text")):
+        w = Words(data, offsets, ALNUM_WORDS, lower=True)
+        h = w.hashes()
+        for index in indexes:
+            yield lo, index, matches(w, h, index)
 
 
-def _find(index: Index):
+def _find(indexes: list[Index]):
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
     names = [c.split()[0] for c in FOUND.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("doc_id")
-            for lo, _, data, offsets in slices(b.column("text")):
-                rows = [(ids[lo + t].as_py(), index.ids[i], *rest) for t, i, *rest in matches(data, offsets, index)]
+            for lo, index, found in _each(b, indexes):
+                rows = [(ids[lo + t].as_py(), index.ids[i], *rest) for t, i, *rest in found]
                 yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], k) for j, k in enumerate(kinds)], names=names)
 
-    return run
+    return slim(run)
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -244,7 +298,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     small_batches(spark)
     docs = pick(documents, doc_id="long", text="string")
-    found = [docs.mapInArrow(_find(Index(items)), FOUND) for items in _blocks(benchmark)]
+    found = [docs.mapInArrow(_find(indexes), FOUND) for indexes in _passes(benchmark)]
     if not found:
         return spark.createDataFrame([], FOUND)
     out = found[0]
@@ -253,21 +307,20 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out
 
 
-def _drop(index: Index):
+def _drop(indexes: list[Index]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = np.ones(b.num_rows, dtype=bool)
-            for lo, _, data, offsets in slices(b.column("text")):
-                for t, *_ in matches(data, offsets, index):
-                    keep[lo + t] = False
+            for lo, _, found in _each(b, indexes):
+                keep[[lo + t for t, *_ in found]] = False
             yield b.filter(pa.array(keep))
 
-    return run
+    return slim(run)
 
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that leak no item, with all their columns."""
     small_batches(documents.sparkSession)
-    for items in _blocks(benchmark):
-        documents = documents.mapInArrow(_drop(Index(items)), documents.schema)
+    for indexes in _passes(benchmark):
+        documents = documents.mapInArrow(_drop(indexes), documents.schema)
     return documents

@@ -80,23 +80,43 @@ def licenses(docs, phrases):
 
 
 def leaks(docs, items):
-    """By scoring every item for every passage."""
-    import numpy as np
-
-    from panelforge.llm import decontamination as d
-
-    index = d.Index(items)
-    weight = [{} for _ in items]
-    for t, (ids, values) in zip(index.terms.tolist(), index.lists, strict=True):
-        for i, v in zip(ids, values, strict=True):
-            weight[i][t] = v
+    """BM25 of every item for every passage, over plain words."""
+    import math
+
+    words = lambda t: ALNUM.findall(lower(t))
+    runs = lambda w, k: {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+    known = [(i, t, words(t)) for i, t in items if words(t)]
+    mean = sum(len(w) for _, _, w in known) / max(1, len(known))
+    df = {}
+    for _, _, w in known:
+        for x in set(w):
+            df[x] = df.get(x, 0) + 1
     out = set()
-    for doc, text in docs:
-        h = d._words(text)[1]
-        for lo in range(0, max(1, len(h)), index.longest):
-            part = h[lo : lo + 2 * index.longest]
-            terms, passage = set(part.tolist()), d.shingles(part)
-            for i, w in enumerate(weight):
-                if w and sum(v for t, v in w.items() if t in terms) >= d.THRESHOLD - 1e-9 and d.overlap(index.question[i], passage) >= d.SHARE and d.overlap(index.answer[i], passage) >= d.SHARE:
-                    out.add((doc, index.ids[i]))
+    for item, text, w in known:
+        weight = {}
+        for x in set(w):
+            f = w.count(x)
+            weight[x] = math.log(1 + (len(known) - df[x] + 0.5) / (df[x] + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(w) / mean))
+        sentences = [words(x) for x in re.split(r"(?<=[.?!])\s+", text) if words(x)]
+        last = max(len(sentences[-1]) if len(sentences) > 1 else 0, min(5, len(w)))
+        question, answer, least = (w[:-last], w[-last:], 1) if len(w) - last >= 5 else (w, w, 2)
+        step = 1
+        while step < len(w):
+            step *= 2
+        for doc, body in docs:
+            h = words(body)
+            for lo in range(0, max(1, len(h) - step), step):
+                part = h[lo : lo + 2 * step]
+                if sum(v for x, v in weight.items() if x in part) / sum(weight.values()) < 0.5 - 1e-9:
+                    continue
+                good = True
+                for side, small in ((question, 2), (answer, least)):
+                    if len(side) < 5:
+                        good &= side == part if not runs(part, 5) else False
+                        continue
+                    size = min(5, max(small, (len(side) + 1) // 6))
+                    of = runs(side, size)
+                    good &= len(of & runs(part, size)) >= 0.8 * len(of)
+                if good:
+                    out.add((doc, item))
     return out
