@@ -24,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import pick, small_batches, written
-from panelforge.llm.tokens import END_ID, default_path, encoder, texts
+from panelforge.llm.common import pick, slim, small_batches, written
+from panelforge.llm.tokens import default_path, encoded, encoder
 
 CAPACITY = 4096
 GROUP_PIECES = 1 << 14
@@ -36,20 +36,24 @@ PIECE_NAMES = [c.split()[0] for c in PIECES.split(", ")]
 
 def _cut(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(path), END_ID.to_bytes(4, "little")
+        enc = encoder(path)
         uid = TaskContext.get().partitionId() << 33
         for b in batches:
-            rows: list[list] = [[] for _ in PIECE_NAMES]
-            for doc, text in zip(b.column("doc_id").to_pylist(), texts(b.column("text")), strict=True):
-                ids = enc.ids(text) + end
-                for piece, lo in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[lo : lo + 4 * capacity]
-                    for column, x in zip(rows, (doc, piece, lo // 4, len(part) // 4, zlib.crc32(part), uid), strict=True):
-                        column.append(x)
-                    uid += 1
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if c == "piece" else pa.int64()) for x, c in zip(rows, PIECE_NAMES, strict=True)], names=PIECE_NAMES)
-
-    return run
+            ids = b.column("doc_id")
+            for lo, flat, begins in encoded(b, enc):
+                flat, size = flat.astype("<u4"), np.diff(begins)
+                pieces = -(-size // capacity)
+                row = np.repeat(np.arange(len(size)), pieces)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(capacity, size[row] - start)
+                at = (begins[row] + start).tolist()
+                crc = [zlib.crc32(flat[i : i + n]) for i, n in zip(at, length.tolist(), strict=True)]
+                columns = [ids.take(pa.array(lo + row)), piece.astype(np.int32), start, length, np.array(crc, dtype=np.int64), uid + np.arange(len(row))]
+                uid += len(row)
+                yield pa.RecordBatch.from_arrays([columns[0], *map(pa.array, columns[1:])], names=PIECE_NAMES)
+
+    return slim(run, keep=True)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
