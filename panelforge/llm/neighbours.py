@@ -8,9 +8,16 @@ of its query in the tile; survivors are computed again in double precision, the
 products summed in order of the components. The tiles' best k are merged by a
 heap per query. So the result is exact, and only the work is pruned.
 
-Ties go to the smaller vec_id. Vectors that are null, zero, of another length
-than the most frequent one, or hold null or non-finite components take no part. Rows that repeat a vec_id are
-candidates each; a query is never its own candidate, by id.
+Blocks travel in the vectors' own type (float: 4 bytes a component), not as int8
+alone: survivors are computed in the tile. Were they looked up afterwards, groups
+of nearly equal vectors would have to be emitted as pairs. Equal vectors are one
+candidate that carries its k + 1 smallest ids; no query can need others.
+
+Ties go to the smaller vec_id. Vectors that are null, zero or hold null or
+non-finite components take no part. A query meets the vectors of its own length.
+Rows that repeat a vec_id are candidates each; a query is never its own
+candidate, by id. The rows of a query's id are one query, with the smallest vector
+of these.
 """
 
 from __future__ import annotations
@@ -20,63 +27,73 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
-from panelforge.llm.common import mix64
+from panelforge.llm.common import mix64, slim, small_batches
 
-
-QUERY_BLOCK = 2048
-CANDIDATE_BLOCK = 4096
-#: Candidates in a cell of the grid, and those a task holds while it forms blocks.
-GROUP = 1 << 15
-LEAST_HELD = 1 << 14
+#: Bytes of vectors in a block of queries and of candidates, and in a candidates' column of the grid.
+QUERY_BYTES, CANDIDATE_BYTES, GROUP_BYTES = 8 << 20, 1 << 20, 8 << 20
+#: Queries of a tile that are compared at once.
+ROWS = 256
+#: int8 products of so many components are exact as sums of 32-bit floats: 1024 * 127**2 < 2**24.
+EXACT_PRODUCTS = 1024
+BLOCK = "g int, dim int, ids binary, counts binary, rows binary"
 TOP_SCHEMA = "query_id long, vec_id long, score double"
+RESULT = "query_id long, rank int, vec_id long, score double"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and embedding as doubles, of the vectors that take part."""
-    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    """vec_id and embedding, as floats or else as doubles, of the vectors that take part."""
+    kind = vectors.schema["embedding"].dataType
+    to = "array<float>" if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else "array<double>"
+    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(to).alias("embedding"))
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return v.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(fine & F.exists("embedding", lambda x: x != 0))
 
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-
+def _pack(size: int, groups: int):
+    """Rows to blocks of about so many bytes of vectors of one length and group.
 
-def _pack(dim: int, size: int, groups: int):
-    """Rows to blocks of at most so many vectors of one group: ids and components as bytes.
-
-    A group is a hash of the id; a task holds less than one block of each
-    group, at most LEAST_HELD vectors in all, before it hands blocks on.
+    A group is a hash of the first id. A task holds less than one block of each
+    group, twice size in all, before it hands blocks on.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
+        held: dict[tuple[int, int], list] = {}
         total = 0
 
-        def out(g):
-            ids, rows = (np.concatenate(x) for x in zip(*held.pop(g), strict=True))
-            for lo in range(0, len(ids), size):
-                yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([ids[lo : lo + size].tobytes()], pa.binary()), pa.array([rows[lo : lo + size].tobytes()], pa.binary())], names=["g", "ids", "rows"])
+        def out() -> Iterator[pa.RecordBatch]:
+            for (g, dim), parts in held.items():
+                ids, counts, rows = (np.concatenate(x) for x in zip(*parts, strict=True))
+                ends, step = np.cumsum(counts), max(1, size // rows[0].nbytes)
+                for lo in range(0, len(rows), step):
+                    hi = min(lo + step, len(rows))
+                    own = ids[ends[lo] - counts[lo] : ends[hi - 1]]
+                    values = [pa.array([x.tobytes()], pa.binary()) for x in (own, counts[lo:hi], rows[lo:hi])]
+                    yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([dim], pa.int32()), *values], names=["g", "dim", "ids", "counts", "rows"])
+            held.clear()
 
         for b in batches:
-            ids, rows = b.column("vec_id").to_numpy(zero_copy_only=False), _matrix(b.column("embedding"), dim)
-            of = (mix64(ids.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
-            for g in np.unique(of).tolist():
-                held.setdefault(g, []).append((ids[of == g], rows[of == g]))
-            total += len(ids)
-            if total >= max(size, LEAST_HELD):
-                for g in list(held):
-                    yield from out(g)
+            vectors, lists = b.column("embedding"), b.column("ids")
+            dims, counts = (x.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) for x in (vectors, lists))
+            flat, ids = (x.flatten().to_numpy(zero_copy_only=False) for x in (vectors, lists))
+            begins, first = np.cumsum(dims) - dims, np.cumsum(counts) - counts
+            of = (mix64(ids[first].astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
+            for g, dim in np.unique(np.column_stack([of, dims]), axis=0).tolist():
+                at = np.flatnonzero((of == g) & (dims == dim))
+                n = counts[at]
+                inner = np.repeat(first[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                rows = flat[begins[at][:, None] + np.arange(dim)]
+                held.setdefault((g, dim), []).append((ids[inner], n, rows))
+                total += rows.nbytes
+            if total >= 2 * size:
+                yield from out()
                 total = 0
-        for g in list(held):
-            yield from out(g)
+        yield from out()
 
-    return run
+    return slim(run)
 
 
 def quantise(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,45 +111,73 @@ def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def tile_top(q_ids, q, c_ids, c, k: int):
-    """The best k candidates of each query in a tile: (query index, candidate index, score)."""
-    dim = q.shape[1]
-    qq, qs = quantise(q)
-    cq, cs = quantise(c)
-    approx = (qq.astype(np.float32) @ cq.T.astype(np.float32)).astype(np.float64)  # exact: below 2^24
-    approx *= qs[:, None] * cs[None, :]
-    slack = qs[:, None] / 2 * np.abs(c).sum(axis=1)[None, :] + cs[None, :] / 2 * np.abs(q).sum(axis=1)[:, None] + qs[:, None] * cs[None, :] * (dim / 4)
-    slack = slack * (1 + 1e-9) + 1e-300
-    low = approx - slack
-    own = q_ids[:, None] == c_ids[None, :]
-    low[own] = -np.inf
-    if c.shape[0] > k:
-        kth = np.partition(low, c.shape[0] - k, axis=1)[:, c.shape[0] - k]
-    else:
-        kth = np.full(len(q_ids), -np.inf)
-    qi, ci = np.nonzero((approx + slack >= kth[:, None]) & ~own)
-    score = np.empty(len(qi))
-    for lo in range(0, len(qi), 1 << 16):
-        s = slice(lo, lo + (1 << 16))
-        score[s] = exact(q[qi[s]], c[ci[s]])
-    order = np.lexsort((c_ids[ci], -score, qi))
-    qi, ci, score = qi[order], ci[order], score[order]
-    rank = np.arange(len(qi)) - np.searchsorted(qi, qi)
-    best = rank < k
-    return qi[best], ci[best], score[best]
-
-
-def _tiles(dim: int, k: int):
+class Candidates:
+    """A block of distinct vectors, each with its smallest ids in order."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, rows: np.ndarray):
+        self.ids, self.counts, self.rows = ids, counts, rows.astype(np.float64)
+        self.first = np.cumsum(counts) - counts
+        codes, self.scale = quantise(self.rows)
+        self.codes = codes.T.astype(np.float32)
+        self.norm = np.abs(self.rows).sum(axis=1)
+
+    def best(self, q_ids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query index, id and score of the best k rows for each query."""
+        dim = q.shape[1]
+        codes, scale = quantise(q)
+        approx = np.zeros((len(q), len(self.rows)))
+        for lo in range(0, dim, EXACT_PRODUCTS):
+            cut = slice(lo, lo + EXACT_PRODUCTS)
+            approx += codes[:, cut].astype(np.float32) @ self.codes[cut]
+        scales = scale[:, None] * self.scale[None, :]
+        approx *= scales
+        slack = scale[:, None] / 2 * self.norm[None, :] + self.scale[None, :] / 2 * np.abs(q).sum(axis=1)[:, None] + scales * (dim / 4)
+        slack = slack * (1 + 1e-9) + np.abs(approx) * 1e-12 + 1e-300
+        low = approx - slack
+        only = self.counts == 1
+        own = (q_ids[:, None] == np.where(only, self.ids[self.first], 0)[None, :]) & only[None, :]  # no other row has that vector
+        low[own] = -np.inf
+        if len(self.rows) > k:
+            kth = np.partition(low, len(self.rows) - k, axis=1)[:, len(self.rows) - k]
+        else:
+            kth = np.full(len(q), -np.inf)
+        qi, ci = np.nonzero((approx + slack >= kth[:, None]) & ~own)
+        score = np.empty(len(qi))
+        for lo in range(0, len(qi), 1 << 15):
+            s = slice(lo, lo + (1 << 15))
+            score[s] = exact(q[qi[s]], self.rows[ci[s]])
+        head = self.ids[self.first[ci]]
+        mine = head == q_ids[qi]  # the smallest id but the query's own; there is another one
+        head = np.where(mine, self.ids[np.minimum(self.first[ci] + 1, len(self.ids) - 1)], head)
+        qi, ci, score = _ranked(qi, ci, score, head, k)
+        n = self.counts[ci]
+        at = np.repeat(self.first[ci] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        qi, score, ids = np.repeat(qi, n), np.repeat(score, n), self.ids[at]
+        other = ids != q_ids[qi]
+        return _ranked(qi[other], ids[other], score[other], ids[other], k)
+
+
+def _ranked(qi: np.ndarray, what: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best k of each query, by score and then the smaller id."""
+    order = np.lexsort((ids, -score, qi))
+    qi, what, score = qi[order], what[order], score[order]
+    best = np.arange(len(qi)) - np.searchsorted(qi, qi) < k
+    return qi[best], what[best], score[best]
+
+
+def _tiles(kind: type, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
-                q_ids, c_ids = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["c_ids"], np.int64)
-                q, c = np.frombuffer(r["q_rows"]).reshape(-1, dim), np.frombuffer(r["c_rows"]).reshape(-1, dim)
-                for lo in range(0, len(q_ids), 256):  # the tile's matrices stay small
-                    qi, ci, score = tile_top(q_ids[lo : lo + 256], q[lo : lo + 256], c_ids, c, k)
-                    yield pa.RecordBatch.from_arrays([pa.array(q_ids[lo : lo + 256][qi]), pa.array(c_ids[ci]), pa.array(score)], names=["query_id", "vec_id", "score"])
+            for at in range(b.num_rows):
+                value = lambda c: b.column(c)[at].as_buffer()  # noqa: E731,B023
+                dim = b.column("dim")[at].as_py()
+                block = Candidates(np.frombuffer(value("ids"), np.int64), np.frombuffer(value("counts"), np.int64), np.frombuffer(value("rows"), kind).reshape(-1, dim))
+                q_ids, q = np.frombuffer(value("q_ids"), np.int64), np.frombuffer(value("q_rows"), kind).reshape(-1, dim)
+                for lo in range(0, len(q_ids), ROWS):  # the tile's matrices stay small
+                    qi, ids, score = block.best(q_ids[lo : lo + ROWS], q[lo : lo + ROWS].astype(np.float64), k)
+                    yield pa.RecordBatch.from_arrays([pa.array(q_ids[lo : lo + ROWS][qi]), pa.array(ids), pa.array(score)], names=["query_id", "vec_id", "score"])
 
-    return run
+    return slim(run)
 
 
 def _merge(k: int):
@@ -147,22 +192,31 @@ def _merge(k: int):
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k nearest of each query among all vectors.
 
-    Queries form groups i of about QUERY_BLOCK vectors and candidates groups j of
-    about GROUP; the cells (i, j) of that grid are joined on (i, j), a block at a
-    time, so that no row is ever paired with a row outside a tile. Repeated rows of a query are one query.
+    Queries form groups i of about QUERY_BYTES and candidates groups j of about
+    GROUP_BYTES; the cells (i, j) of that grid are joined on (i, j), a block at a
+    time, so that no row is ever paired with a row outside a tile. Candidates are
+    copied once per group of queries.
     """
-    vectors, queries = usable(vectors), usable(queries)
     spark = vectors.sparkSession
-    dims = vectors.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
-    if not dims:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, n = dims[0]["d"], dims[0]["n"]
-    vectors, queries = (df.filter(F.size("embedding") == dim) for df in (vectors, queries))
-    queries = queries.dropDuplicates(["vec_id"])
-    across, down = -(-queries.count() // QUERY_BLOCK), max(-(-n // GROUP), min(n // 256 + 1, spark.sparkContext.defaultParallelism))
-    block = "g int, ids binary, rows binary"
-    each = lambda most: F.explode(F.sequence(F.lit(0), F.lit(max(most, 1) - 1)))
-    q = queries.mapInArrow(_pack(dim, QUERY_BLOCK, max(across, 1)), block).select(F.col("g").alias("i"), F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), each(down).alias("j"))
-    c = vectors.mapInArrow(_pack(dim, CANDIDATE_BLOCK, down), block).select(F.col("g").alias("j"), F.col("ids").alias("c_ids"), F.col("rows").alias("c_rows"), each(across).alias("i"))
-    best = c.join(q, ["i", "j"]).mapInArrow(_tiles(dim, k), TOP_SCHEMA)
-    return best.groupBy("query_id").applyInArrow(_merge(k), "query_id long, rank int, vec_id long, score double")
+    small_batches(spark)
+    vectors, queries = usable(vectors), usable(queries)
+    single = all("float" in dict(df.dtypes)["embedding"] for df in (vectors, queries))
+    if not single:
+        vectors, queries = (df.withColumn("embedding", F.col("embedding").cast("array<double>")) for df in (vectors, queries))
+    queries = queries.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    width = 4 if single else 8
+    size = F.coalesce(F.sum(F.size("embedding")), F.lit(0)) * width
+    asked, had = (df.agg(size.alias("b"), F.count("*").alias("n")).collect()[0] for df in (queries, vectors))
+    across = -(-asked["b"] // QUERY_BYTES) or 1
+    down = max(-(-had["b"] // GROUP_BYTES), min(had["n"] // 256 + 1, spark.sparkContext.defaultParallelism))
+    # the k + 1 smallest ids of each vector; Spark limits them before the shuffle too
+    vectors = vectors.withColumn("h", F.xxhash64("embedding"))
+    same = Window.partitionBy("h", "embedding").orderBy("vec_id")
+    vectors = vectors.withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= k + 1)
+    vectors = vectors.groupBy("h", "embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).select("ids", "embedding")
+    queries = queries.select(F.array("vec_id").alias("ids"), "embedding")
+    each = lambda most: F.explode(F.sequence(F.lit(0), F.lit(most - 1)))
+    q = queries.mapInArrow(_pack(QUERY_BYTES, across), BLOCK).select("dim", F.col("g").alias("i"), F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), each(down).alias("j"))
+    c = vectors.mapInArrow(_pack(CANDIDATE_BYTES, down), BLOCK).select("dim", F.col("g").alias("j"), "ids", "counts", "rows", each(across).alias("i"))
+    best = c.join(q, ["dim", "i", "j"]).mapInArrow(_tiles(np.float32 if single else np.float64, k), TOP_SCHEMA)
+    return best.groupBy("query_id").applyInArrow(_merge(k), RESULT)
