@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.llm import decontamination, near, packing, substrings, toxicity
-from panelforge.llm.common import table, written
+from panelforge.llm.common import dropped, shared_dir, table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +46,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents. A stage's table goes once the next one has been written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        path = shared_dir(spark)
+        docs = written(stage(spark, docs, sf_dir), path)
+        if before:
+            dropped(before, spark)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

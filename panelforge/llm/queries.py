@@ -34,7 +34,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of all pages in the shared folder, then what is read back from them."""
     path = common.shared_dir(spark)
     warc.write(table(spark, sf_dir, "pages"), path)
-    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read(spark, common.until_exit(path, spark)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op1_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def op1_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.shared_dir(spark)
     if not tokens.materialise(table(spark, sf_dir, "documents"), path):
         return spark.createDataFrame([], tokens.SHARD_SCHEMA)
-    return tokens.read_shards(spark, path)
+    return tokens.read_shards(spark, common.until_exit(path, spark))
 
 
 def op2_near(spark: SparkSession, sf_dir: str) -> DataFrame:
