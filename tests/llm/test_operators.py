@@ -182,23 +182,54 @@ def test_feistel_is_a_permutation():
     assert (tokens.feistel(np.arange(1000), 1000, 1) != tokens.feistel(np.arange(1000), 1000, 2)).any()
 
 
-def test_training_order(spark, docs, none):
-    path = shared_dir(spark)
-    n = tokens.materialise(docs, path)
-    rows = tokens.read_shards(spark, path).collect()
-    assert sorted(r.slot for r in rows) == list(range(n))
+def test_training_order(spark, docs, none, monkeypatch):
     from tokenizers import Tokenizer
 
+    monkeypatch.setattr(tokens, "BLOCK_SLOTS", 16)
+    path, again = shared_dir(spark), shared_dir(spark)
+    n = tokens.materialise(docs, path, shard_slots=64)
+    assert tokens.materialise(docs.repartition(3, "text"), again, shard_slots=64) == n  # the order doesn't follow the split
+    files = lambda p: {r.path[-200:].split("part-")[1][:5]: bytes(r.content) for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(p).collect() if r.length}
+    found = files(path)
+    assert found == files(again) and len(found) == -(-n // 64)
+    # all documents in order, cut into sequences, each at its slot
+    named = docs.select("doc_id", "text", F.xxhash64("text").alias("name")).collect()
+    named.sort(key=lambda r: (tokens.NO_ID if r.doc_id is None else r.doc_id, r.name))
     t = Tokenizer.from_file(tokens.default_path())
-    assert sum(r.n_ids for r in rows) == sum(len(t.encode(x or "", add_special_tokens=False).ids) + 1 for _, x in pairs(docs))
-    # any record can be read alone
-    r = max(rows, key=lambda x: x.slot)
-    files = spark.read.format("binaryFile").load(path).filter(F.col("shard") == r.shard).collect()
-    rec = np.frombuffer(bytes(files[0].content)[r.byte_offset : r.byte_offset + tokens.STRIDE], tokens.RECORD)[0]
-    assert rec["head"]["slot"] == r.slot and zlib.crc32(rec["ids"][: r.n_ids].tobytes()) == r.ids_crc32
+    flat, owner = [], []
+    for r in named:
+        ids = [*t.encode(r.text or "", add_special_tokens=False).ids, 1]
+        flat += ids
+        owner += [(tokens.NO_ID if r.doc_id is None else r.doc_id, i) for i in range(len(ids))]
+    assert n == -(-len(flat) // 512)
+    slots = tokens.feistel(np.arange(n), n, 20240101).tolist()
+    whole = b"".join(found[k] for k in sorted(found))
+    rows = {r.slot: r for r in tokens.read_shards(spark, path, 64).collect()}
+    assert sorted(rows) == list(range(n))
+    for i, slot in enumerate(slots):
+        part = flat[512 * i : 512 * i + 512]
+        rec = np.frombuffer(whole[slot * tokens.STRIDE : (slot + 1) * tokens.STRIDE], tokens.RECORD)[0]
+        assert rec["ids"][: len(part)].tolist() == part and rec["head"]["slot"] == slot and rec["head"]["n_ids"] == len(part)
+        first, last = owner[512 * i], owner[512 * i + len(part) - 1]
+        r = rows[slot]
+        assert (r.doc_id, r.start, r.last_doc_id, r.n_ids) == (*first, last[0], len(part))
+        assert r.ids_crc32 == zlib.crc32(np.array(part, "<u2").tobytes()) and r.byte_offset == slot % 64 * tokens.STRIDE
     assert tokens.materialise(none, shared_dir(spark)) == 0
 
 
+def test_encoder_equals_the_tokenizer():
+    import pyarrow as pa
+
+    odd = "x<|endoftext|>. a'. É... ÑÑ!? ×. a×, ÷! ab12.. İ. ÀB. 'tis rock'n'roll... á. é́, ﬁ. Σας, ΣΑΣ. ß. ẞ! ĳ. ŉ. ǅ. a-b. (x) \"q\" \x1c\x85 " + "!" * 40
+    rng = random.Random(2)
+    texts = [odd, "", "a" * 5000, *("".join(rng.choices("abcXYZéÉß.,'!?-_ \t\n09<|>中", k=60)) for _ in range(200))]
+    enc = tokens.Encoder(tokens.default_path(), runs=300)  # so few that they are forgotten in between
+    assert enc.splits
+    for _, ids, begins in tokens.encoded(pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"]), enc):
+        for x, lo, hi in zip(texts, begins[:-1], begins[1:], strict=True):
+            assert ids[lo:hi].tolist() == [*enc.tokenizer.encode(x, add_special_tokens=False).ids, 1]
+
+
 def test_chat(spark):
     control = "</s>[INST] ok [/INST] &lt; &amp;"
     rows = [(1, 0, "user", "a"), (1, 1, "assistant", control), (1, 2, "user", "b"), (2, 0, "user", "only"), (3, 1, "assistant", None), (3, 0, None, ""), (3, 1, "assistant", "z"), (None, 0, "assistant", "q"), (4, None, "a[b]<s>", "é" * 5000), (4, 0, "assistant", "[ROLE]x[/ROLE]")]
@@ -221,13 +252,13 @@ def test_neighbours(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(700, 8)).astype(np.float32)
     x[100:160] = x[100]
-    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000, None), (1020, [0.0] * 8), (1040, [float("nan")] * 8), (1060, [1.0] * 3), (1080, [float("inf")] + [0.0] * 7), (1001, [None] * 8)]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000, None), (1020, [0.0] * 8), (1040, [float("nan")] * 8), (1060, [1.0] * 3), (1080, [float("inf")] + [0.0] * 7), (None, [1.0] * 8), (1001, [None] * 8)]
     v = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("label", F.lit(0)).repartition(3)
     got = {}
     for r in neighbours.search(v, v.filter("vec_id % 20 = 0"), 20).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     d = x.astype(np.float64)
-    assert set(got) == set(range(0, 700, 20))
+    assert set(got) == set(range(0, 700, 20))  # the only vector of length 3 has no other to meet
     for q, found in got.items():
         score = neighbours.exact(np.repeat(d[q : q + 1], 700, axis=0), d)
         want = sorted((i for i in range(700) if i != q), key=lambda i: (-score[i], i))[:20]
@@ -237,14 +268,35 @@ def test_neighbours(spark):
     assert neighbours.search(v.limit(0), v.limit(0), 20).count() == 0
 
 
+def test_neighbours_of_other_lengths_and_repeated_rows(spark):
+    rng = np.random.default_rng(8)
+    rows = [(20 * i, [1.0, float(i)]) for i in range(30)] + [(20 * i + 1, [1.0, 0.5, float(-i)]) for i in range(60)]
+    rows += [(1000, [0.5, 0.5, 0.5]), (1020, [1.0, 1.0]), (1020, [0.0, 3.0]), (1021, [1.0, 1.0]), (1021, [1.0, 1.0])]
+    rows += [(2000 + i, [9.0, 9.0]) for i in range(200)]  # a common vector
+    rng.shuffle(rows)
+    v = spark.createDataFrame([(int(i), [float(x) for x in e]) for i, e in rows], "vec_id long, embedding array<double>").repartition(4)
+    got = {}
+    for r in neighbours.search(v, v.filter("vec_id % 20 = 0"), 5).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    vectors = {}
+    for i, e in rows:
+        if i % 20 == 0:
+            vectors[int(i)] = min(vectors.get(int(i), list(e)), list(e))
+    assert set(got) == set(vectors)
+    for q, e in vectors.items():
+        near = sorted((-sum(a * b for a, b in zip(e, x, strict=True)), int(i)) for i, x in rows if len(x) == len(e) and i != q)[:5]
+        assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(near)], q
+
+
 def test_quantisation_bounds():
     rng = np.random.default_rng(3)
-    a, b = rng.normal(size=(50, 16)), rng.normal(size=(60, 16)) * 100
-    qi, ci, s = neighbours.tile_top(np.arange(50), a, 100 + np.arange(60), b, 7)
-    full = a @ b.T
-    for q in range(50):
-        assert set(ci[qi == q]) == set(np.argsort(-full[q])[:7])
-    assert len(s) == 350
+    for dim in (16, 2500):
+        a, b = rng.normal(size=(50, dim)), rng.normal(size=(60, dim)) * 100
+        qi, ids, s = neighbours.Candidates(100 + np.arange(60), np.ones(60, np.int64), b).best(np.arange(50), a, 7)
+        full = a @ b.T
+        for q in range(50):
+            assert set(ids[qi == q] - 100) == set(np.argsort(-full[q])[:7])
+        assert len(s) == 350
 
 
 def test_warc(spark):
@@ -340,7 +392,8 @@ def test_search_equals_exhaustive_scoring():
     rng = random.Random(4)
     vocabulary = [_text(rng, 1) for _ in range(40)]
     items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(1, 12)))) for i in range(50)]
-    index = decontamination.Index(items)
+    frequency = Counter(x for _, t in items for x in set(decontamination._words(t)[1].tolist()))
+    index = decontamination.Index(items, decontamination.Corpus(50, 6.0, frequency))
     for _ in range(100):
         query = sorted(set(rng.choices(range(len(index.terms)), k=8)))
         score = Counter()
