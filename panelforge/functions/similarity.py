@@ -2,59 +2,67 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+#: Texts up to so many letters are compared as matrices, so many pairs at a time.
+LETTERS, PAIRS = 64, 4096
 
-def _jaro(a: str, b: str) -> float:
-    if a == b:
-        return 1.0
-    if not a or not b:
-        return 0.0
-    reach = max(0, max(len(a), len(b)) // 2 - 1)
-    taken = [False] * len(b)
-    left = []
-    for i, x in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not taken[j] and b[j] == x:
-                taken[j] = True
-                left.append(x)
-                break
-    m = len(left)
-    if not m:
-        return 0.0
-    right = [y for j, y in enumerate(b) if taken[j]]
-    moved = sum(x != y for x, y in zip(left, right, strict=True)) // 2
-    return (m / len(a) + m / len(b) + (m - moved) / m) / 3
 
+def _letters(texts: list[str], width: int) -> np.ndarray:
+    """A row of code points per text, filled up with zeros."""
+    return np.array(texts, dtype=f"<U{width}").view(np.uint32).reshape(len(texts), width)
 
-def jaro_winkler_text(a: str, b: str) -> float:
-    """Jaro similarity, raised by up to four equal first letters where it is above 0.7."""
-    s = _jaro(a, b)
-    if s <= 0.7:
-        return s
-    same = 0
-    for x, y in zip(a[:4], b[:4], strict=False):
-        if x != y:
-            break
-        same += 1
-    return s + same * 0.1 * (1 - s)
+
+def _in_front(matrix: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The chosen entries of each row, in order, before the others."""
+    return np.take_along_axis(matrix, np.argsort(~chosen, axis=1, kind="stable"), axis=1)
+
+
+def jaro_winkler_texts(left: list[str], right: list[str]) -> np.ndarray:
+    """Jaro similarity of each pair, raised by up to four equal first letters where it is above 0.7."""
+    n_left, n_right = (np.array([len(x) for x in side], dtype=np.int64) for side in (left, right))
+    width = max(1, int(n_left.max(initial=0)), int(n_right.max(initial=0)))
+    a, b = _letters(left, width), _letters(right, width)
+    place = np.arange(width)
+    reach = np.maximum(np.maximum(n_left, n_right) // 2 - 1, 0)
+    free = place < n_right[:, None]
+    paired = np.zeros_like(free)
+    for i in range(int(n_left.max(initial=0))):
+        here = free & (b == a[:, i : i + 1]) & (np.abs(place - i) <= reach[:, None]) & (i < n_left)[:, None]
+        rows = np.flatnonzero(here.any(axis=1))
+        free[rows, here[rows].argmax(axis=1)] = False
+        paired[rows, i] = True
+    used = ~free & (place < n_right[:, None])
+    m = paired.sum(axis=1)
+    swapped = ((_in_front(a, paired) != _in_front(b, used)) & (place < m[:, None])).sum(axis=1) // 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        jaro = np.where(m > 0, (m / n_left + m / n_right + (m - swapped) / m) / 3, 0.0)
+    first = (a[:, :4] == b[:, :4]) & (place[:4] < np.minimum(n_left, n_right)[:, None])
+    raised = jaro + first.cumprod(axis=1).sum(axis=1) * 0.1 * (1 - jaro)
+    same = np.array([x == y for x, y in zip(left, right, strict=True)], dtype=bool)
+    return np.where(same, 1.0, np.where(jaro > 0.7, raised, jaro))
 
 
 @F.pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    known: dict[tuple[str, str], float] = {}
-    out = []
-    for x, y in zip(a, b, strict=True):
-        if x is None or y is None:
-            out.append(None)
-            continue
-        if (x, y) not in known:
-            known[x, y] = jaro_winkler_text(x, y)
-        out.append(known[x, y])
-    return pd.Series(out, dtype="float64")
+    out = np.full(len(a), np.nan)
+    known = a.notna().to_numpy() & b.notna().to_numpy()
+    pairs = pd.DataFrame({"a": a[known].to_numpy(dtype=object), "b": b[known].to_numpy(dtype=object)})
+    code = pairs.groupby(["a", "b"], sort=False).ngroup().to_numpy()
+    first = np.unique(code, return_index=True)[1]
+    left, right = pairs["a"].to_numpy()[first], pairs["b"].to_numpy()[first]
+    size = np.array([max(len(x), len(y)) for x, y in zip(left, right, strict=True)], dtype=np.int64)
+    scores = np.empty(len(first))
+    short = np.flatnonzero(size <= LETTERS)
+    for at in [*np.array_split(short, -(-len(short) // PAIRS) or 1), *[[i] for i in np.flatnonzero(size > LETTERS)]]:
+        if len(at):
+            scores[at] = jaro_winkler_texts([left[i] for i in at], [right[i] for i in at])
+    out[known] = scores[code]
+    return pd.Series(out).astype(object).where(known, None)
 
 
 def one_edit(a: Column, b: Column) -> Column:
