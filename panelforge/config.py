@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import dataclasses
+import json
 from dataclasses import dataclass, field
+from pathlib import Path
 
 from panelforge.functions.text import fold_header_text
 
@@ -117,9 +120,29 @@ RULES = (
 )
 
 
+# Exact passes, in order: name, keys, keys that must not be blank.
+EXACT_PASSES = (
+    ("DET_EXACT_LRN", ("school_id", "lrn_clean"), ("lrn_clean",)),
+    ("DET_NAME_DOB_SEX", ("school_id", "student_name_clean", "birthday_str", "sex"), ("student_name_clean", "birthday_str", "sex")),
+    ("DET_NAME_DOB_SEX_CROSS_SCHOOL", ("student_name_clean", "birthday_str", "sex"), ("student_name_clean", "birthday_str", "sex")),
+)
+# Blocking and training rules as lists of SQL expressions that must agree.
+BLOCKING = (
+    ("lrn_clean",),
+    ("student_name_clean",),
+    ("birthday_str",),
+    ("school_id", "first_letter_name"),
+    ("school_id", "substr(birthday_str, 1, 4)", "sex"),
+)
+TRAINING = (("lrn_clean",), ("birthday_str", "sex"), ("student_name_clean", "sex"))
+# Similarities from which names agree, from the closest level down.
+NAME_LEVELS = (0.95, 0.90, 0.82, 0.70)
 @dataclass(frozen=True)
 class Settings:
-    """Thresholds and windows; the defaults are the policy's."""
+    """Thresholds, windows, rules and linkage settings; the defaults, which are fixed values, are the policy's.
+
+    headers: more headers by dataset and field, beside the known ones.
+    """
 
     height_cm: tuple[float, float] = (80.0, 200.0)
     weight_kg: tuple[float, float] = (10.0, 100.0)
@@ -138,25 +161,66 @@ class Settings:
     sweep: tuple[float, ...] = (0.10, 0.15, 0.20, 0.30, 0.40, 0.50, 0.60, 0.70, 0.90)
     seed: int = 42
     sample_pairs: int = 200_000
-    extra: dict[str, str] = field(default_factory=dict)
+    rules: tuple = RULES
+    passes: tuple = EXACT_PASSES
+    blocking: tuple = BLOCKING
+    training: tuple = TRAINING
+    headers: dict[str, dict[str, list[str]]] = field(default_factory=dict)
+
+    def datasets(self) -> tuple[Dataset, ...]:
+        """The datasets with the additional headers."""
+        strange = [f"{d}.{f}" for d, fields in self.headers.items() for f in fields if d not in DATASET or f not in DATASET[d].fields]
+        if strange:
+            raise ValueError(f"headers for unknown fields: {strange}")
+        more = lambda d: {f: (c, (*known, *self.headers.get(d.name, {}).get(f, ()))) for f, (c, known) in d.fields.items()}
+        return tuple(dataclasses.replace(d, fields=more(d)) for d in DATASETS)
+
+    def threshold(self, name: str):
+        """A value by its name; unknown names fail and tell the known ones."""
+        known = {f.name: getattr(self, f.name) for f in dataclasses.fields(self)}
+        if name not in known:
+            raise KeyError(f"no threshold {name!r}; there are {sorted(known)}")
+        return known[name]
+
+
+def load_settings(path: str) -> Settings:
+    """Settings from a file of JSON, TOML or YAML, which the driver reads; what it doesn't name keeps its default.
+
+    rules names severities and scopes to change: {rule_id: {severity: ..., scope: ...}}.
+    Unknown names fail.
+    """
+    text, kind = Path(path).read_text(encoding="utf-8"), Path(path).suffix.lower()
+    if kind == ".toml":
+        import tomllib
+
+        told = tomllib.loads(text)
+    elif kind in (".yml", ".yaml"):
+        try:
+            import yaml
+        except ModuleNotFoundError as e:
+            raise ValueError("settings in YAML need the package yaml; JSON and TOML need none") from e
+        told = yaml.safe_load(text) or {}
+    else:
+        told = json.loads(text)
+    fields = {f.name for f in dataclasses.fields(Settings)}
+    if strange := sorted(set(told) - fields):
+        raise ValueError(f"unknown settings {strange}; there are {sorted(fields)}")
+    fixed = lambda x: tuple(map(fixed, x)) if isinstance(x, list) else x
+    out = {k: v if k == "headers" else fixed(v) for k, v in told.items()}
+    if isinstance(told.get("rules"), dict):
+        changes = told["rules"]
+        if strange := sorted(set(changes) - {r[0] for r in RULES}):
+            raise ValueError(f"unknown rules {strange}")
+        out["rules"] = tuple((r, changes.get(r, {}).get("severity", severity), changes.get(r, {}).get("scope", scope), d) for r, severity, scope, d in RULES)
+    found = Settings(**out)
+    if bad := sorted({r[1] for r in found.rules} - set(SEVERITIES)) or sorted({r[2] for r in found.rules} - set(SCOPES)):
+        raise ValueError(f"unknown severities or scopes {bad}")
+    found.datasets()
+    return found
+
+
 
 
-# Exact passes, in order: name, keys, keys that must not be blank.
-EXACT_PASSES = (
-    ("DET_EXACT_LRN", ("school_id", "lrn_clean"), ("lrn_clean",)),
-    ("DET_NAME_DOB_SEX", ("school_id", "student_name_clean", "birthday_str", "sex"), ("student_name_clean", "birthday_str", "sex")),
-    ("DET_NAME_DOB_SEX_CROSS_SCHOOL", ("student_name_clean", "birthday_str", "sex"), ("student_name_clean", "birthday_str", "sex")),
-)
-# Blocking and training rules as lists of SQL expressions that must agree.
-BLOCKING = (
-    ("lrn_clean",),
-    ("student_name_clean",),
-    ("birthday_str",),
-    ("school_id", "first_letter_name"),
-    ("school_id", "substr(birthday_str, 1, 4)", "sex"),
-)
-TRAINING = (("lrn_clean",), ("birthday_str", "sex"), ("student_name_clean", "sex"))
-NAME_LEVELS = (0.95, 0.90, 0.82, 0.70)
 # No gold table or export may have one of these columns.
 FORBIDDEN = ("student_name_clean", "child_name_raw", "true_name", "true_lrn", "lrn_clean", "raw_payload_json")
 
@@ -168,3 +232,29 @@ def unmapped_defects(rules=RULES) -> list[str]:
         for d in defects:
             seen[d] = seen.get(d, 0) + 1
     return sorted(d for d, n in seen.items() if n != 1)
+
+
+# What columns of the tables may hold.
+SEVERITIES = ("LOW", "MEDIUM", "HIGH", "CRITICAL")
+SCOPES = ("record", "child", "school", "school_period", "file")
+PERIODS = ("baseline", "endline")
+DECISIONS = ("accepted", "review", "rejected")
+#: What to do about a finding, by the middle part of its rule's name, or by its whole name where that says more.
+ACTIONS = {
+    "SCHEMA": "Ask the school for a file with all required columns, or add the header to the known ones.",
+    "COMPLETENESS": "Ask the school to fill in the missing value.",
+    "VALIDITY": "Check the reference number against the school register.",
+    "DATE": "Compare with the paper form and send the date as year-month-day.",
+    "DUPLICATE": "Confirm which row is right and remove the other from the next submission.",
+    "RANGE": "Measure again, or correct the unit or the decimal point.",
+    "CONSISTENCY": "Compare both waves with the register and correct the wrong one.",
+    "MEASUREMENT": "Visit the school with calibrated equipment and train those who measure.",
+    "REFERENCE": "Use the name of the school as it is listed.",
+    "TIMELINESS": "Note the reason for the delay and agree on a date with the school.",
+    "PROGRAM": "Review the allocation against the present enrolment.",
+    "DQA_CONSISTENCY_HEIGHT_DECREASE": "Measure the child again; check that both records belong to the same child.",
+}
+
+
+def action(rule_id: str) -> str:
+    return ACTIONS.get(rule_id) or ACTIONS[rule_id.split("_")[1]]

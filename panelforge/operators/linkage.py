@@ -11,10 +11,10 @@ import math
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelforge.config import BLOCKING, EXACT_PASSES, NAME_LEVELS, TRAINING, Settings
+from panelforge.config import BLOCKING, EXACT_PASSES, NAME_LEVELS, Settings
 from panelforge.functions.ids import stable_id
 from panelforge.functions.similarity import jaro_winkler, one_edit
 from panelforge.functions.text import present, twelve_digits
@@ -75,13 +75,11 @@ def with_records(pairs: DataFrame, baseline: DataFrame, endline: DataFrame, colu
 def levels(pairs: DataFrame) -> DataFrame:
     """pairs with a level per field: -1 null, 0 disagreement, more for more agreement.
 
-    Names are compared once per distinct pair of names.
+    Names are compared a batch at a time, once per distinct pair in the batch.
     """
     null = lambda c: F.col(f"b_{c}").isNull() | F.col(f"e_{c}").isNull()
     same = lambda c: F.col(f"b_{c}") == F.col(f"e_{c}")
-    names = pairs.filter(~null("student_name_clean") & ~same("student_name_clean")).select("b_student_name_clean", "e_student_name_clean").distinct()
-    names = names.withColumn("_jw", jaro_winkler("b_student_name_clean", "e_student_name_clean"))
-    df = pairs.join(names, ["b_student_name_clean", "e_student_name_clean"], "left")
+    df = pairs.withColumn("_jw", jaro_winkler("b_student_name_clean", "e_student_name_clean"))
     name = F.when(null("student_name_clean"), -1).when(same("student_name_clean"), len(NAME_LEVELS) + 1)
     for i, cut in enumerate(NAME_LEVELS):
         name = name.when(F.col("_jw") >= cut, len(NAME_LEVELS) - i)
@@ -157,9 +155,23 @@ def estimate(u_rows: list, sessions: list[tuple[tuple[str, ...], list]], start:
     return {"prior": start, "m": m, "u": u}
 
 
-def train(baseline: DataFrame, endline: DataFrame, settings: Settings | None = None, training=TRAINING) -> dict:
+def check_settings(s: Settings) -> None:
+    """Settings that linkage can't work with fail before any job."""
+    if not s.training or not s.blocking:
+        raise ValueError("at least one training rule and one blocking rule are needed")
+    if not 0 <= s.floor <= s.accept <= 1:
+        raise ValueError("thresholds must be 0 <= floor <= accept <= 1")
+    if s.margin < 0 or s.sample_pairs < 1:
+        raise ValueError("the margin can't be negative and sample_pairs must be positive")
+    if any(x.strip().lower() in ("", "1=1", "true") for rule in (*s.training, *s.blocking) for x in rule):
+        raise ValueError("a rule without a key would pair everything")
+
+
+def train(baseline: DataFrame, endline: DataFrame, settings: Settings | None = None, training=None) -> dict:
     """The model: only pattern counts come to the driver."""
     s = settings or Settings()
+    training = s.training if training is None else training
+    check_settings(s)
     nb, ne = baseline.count(), endline.count()
     if not nb or not ne:
         raise ValueError("both waves need records")
@@ -171,14 +183,16 @@ def train(baseline: DataFrame, endline: DataFrame, settings: Settings | None = N
     return estimate(u_rows, sessions, prior(nb, ne))
 
 
-def save(model: dict, path: str) -> None:
-    with open(path, "w") as f:
-        json.dump(model, f, indent=1, sort_keys=True)
+def save(spark: SparkSession, model: dict, path: str) -> None:
+    """The model as one line of JSON, in any file system that Spark writes to."""
+    spark.createDataFrame([(json.dumps(model, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
-def load(path: str) -> dict:
-    with open(path) as f:
-        return json.load(f)
+def load(spark: SparkSession, path: str) -> dict:
+    model = json.loads("\n".join(r["value"] for r in spark.read.text(path).collect()))
+    if set(model) != {"prior", "m", "u"} or any(len(model[x].get(g, ())) != HEIGHTS[g] for x in "mu" for g in GAMMAS):
+        raise ValueError(f"{path} holds no model of these levels")
+    return model
 
 
 def weights(model: dict) -> dict[str, list[float]]:
@@ -197,6 +211,17 @@ def scored(leveled: DataFrame, model: dict) -> DataFrame:
     return df.withColumn("match_probability", odds / (1 + odds)).filter(~F.isnan("match_weight"))
 
 
+def block_sizes(baseline: DataFrame, endline: DataFrame, rules=BLOCKING) -> DataFrame:
+    """rule, key and pairs of each block that two waves share, largest first: what blocking will cost, before it is done."""
+    found = []
+    for number, rule in enumerate(rules):
+        keys = [f"k{i}" for i in range(len(rule))]
+        n = lambda df, c: _keyed(df, rule).groupBy(*keys).agg(F.count("*").alias(c))  # noqa: B023,E731
+        both = n(baseline, "n_b").join(n(endline, "n_e"), keys)
+        found.append(both.select(F.lit(number).alias("rule"), F.concat_ws("|", *keys).alias("key"), (F.col("n_b") * F.col("n_e")).alias("pairs")))
+    return reduce(DataFrame.unionByName, found).orderBy(F.desc("pairs"), "rule", "key")
+
+
 def probabilistic_candidates(baseline: DataFrame, endline: DataFrame, model: dict, rules=BLOCKING) -> DataFrame:
     """All blocked pairs with their scores; ambiguous where the shared reference number isn't unique in its wave."""
     pairs = levels(with_records(blocked_pairs(baseline, endline, rules), baseline, endline))

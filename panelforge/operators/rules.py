@@ -16,8 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.config import DATASET, RULES, Settings
-from panelforge.functions.dates import date_shape, first_cell, raw_cells, raw_or_canonical, strip
+from panelforge.config import DATASET, RULES, Settings, action
+from panelforge.functions.dates import first_cell, raw_cells, raw_or_canonical, strip, with_date_shape
 from panelforge.functions.ids import stable_id
 from panelforge.functions.text import blank, present, twelve_digits
 
@@ -75,7 +75,7 @@ def row_rule(rule_id: str, frame: str, *needs: str):
 
 
 def _rows_of(frames: Frames, name: str) -> DataFrame:
-    return shapes(frames) if name == "shapes" else frames[name]
+    return {"shapes": shapes, "waves": both_waves}[name](frames) if name in ("shapes", "waves") else frames[name]
 
 
 def _in_one_scan(df: DataFrame, found: list[tuple[str, str, str, tuple[Column, Column, Column, Column]]]) -> DataFrame:
@@ -156,7 +156,7 @@ def shapes(f: Frames) -> DataFrame:
         F.struct(F.lit("measurement_date").alias("field"), first_cell(cells, known("measurement_date"), F.col("_measured")).alias("cell")),
     )
     rows = both.select("child_record_id", "school_id", "period", "source_file_id", F.explode(each).alias("x"))
-    return rows.select("child_record_id", "school_id", "period", "source_file_id", "x.field", "x.cell").withColumn("shape", date_shape(F.col("cell")))
+    return rows.select("child_record_id", "school_id", "period", "source_file_id", "x.field", "x.cell").transform(with_date_shape, "cell", "shape")
 
 
 @row_rule("DQA_DATE_AMBIGUOUS_FORMAT", "shapes", "child_records")
@@ -202,39 +202,56 @@ def name_variants(f: Frames, s: Settings) -> DataFrame:
 
 
 def pair_waves(child_records: DataFrame) -> DataFrame:
-    """lrn_clean with the columns of its baseline and endline record (b_, e_), where each wave has it once."""
-    c = child_records.filter(twelve_digits(F.col("lrn_clean")))
-    once = c.withColumn("_n", F.count("*").over(Window.partitionBy("lrn_clean", "period"))).filter("_n = 1").drop("_n")
-    side = lambda p, x: once.filter(F.col("period") == p).select("lrn_clean", *[F.col(k).alias(f"{x}_{k}") for k in once.columns if k not in ("lrn_clean", "period")])
-    return side("baseline", "b").join(side("endline", "e"), "lrn_clean")
-
+    """lrn_clean with the columns of its baseline and endline record (b_, e_), where each wave has it once.
 
-def _on_endline(df: DataFrame, **more) -> DataFrame:
-    return findings(df, record="e_child_record_id", school="e_school_id", period=F.lit("endline"), file="e_source_file_id", **more)
+    One aggregation: the records of a wave are counted, and one is kept, before the shuffle.
+    """
+    c = child_records.filter(twelve_digits(F.col("lrn_clean")))
+    columns = [k for k in c.columns if k not in ("lrn_clean", "period")]
+    record = F.struct(*[F.col(f"`{k}`") for k in columns])
+    waves = {"b": F.col("period") == "baseline", "e": F.col("period") == "endline"}
+    each = [x for w, here in waves.items() for x in (F.count_if(here).alias(f"n_{w}"), F.first(F.when(here, record), ignorenulls=True).alias(w))]
+    once = c.groupBy("lrn_clean").agg(*each).filter("n_b = 1 and n_e = 1")
+    return once.select("lrn_clean", *[F.col(f"{w}.`{k}`").alias(f"{w}_{k}") for w in waves for k in columns])
+
+
+def both_waves(f: Frames) -> DataFrame:
+    """The endline record of each pair of waves, with sex, height and raw birth date of both; one scan for all rules across waves."""
+    c = f["child_records"].withColumn("cell", _birth_cell(f["child_records"])).select("child_record_id", "school_id", "period", "lrn_clean", "source_file_id", "sex", "cell")
+    h = F.lit(None).cast("double")
+    if "measurements" in f:
+        of = f["measurements"].filter("height_cm is not null").groupBy("child_record_id").agg(F.min_by("height_cm", "measurement_id").alias("h"))
+        c, h = c.join(of, "child_record_id", "left"), F.col("h")
+    p = pair_waves(c.withColumn("h", h))
+    p = p.select(
+        F.col("e_child_record_id").alias("child_record_id"), F.col("e_school_id").alias("school_id"), F.lit("endline").alias("period"), F.col("e_source_file_id").alias("source_file_id"),
+        "b_sex", "e_sex", "b_h", "e_h", "b_cell", "e_cell",
+    )
+    return p.transform(with_date_shape, "b_cell", "b_shape").transform(with_date_shape, "e_cell", "e_shape")
+
+
+def _birth_cell(c: DataFrame) -> Column:
+    known = tuple(h for h, name in DATASET["school_submission"].headers().items() if name == "birth_date")
+    payload = F.col("raw_payload_json") if "raw_payload_json" in c.columns else F.lit(None).cast("string")
+    return raw_or_canonical(payload, known, F.col("birthday_str"))
 
 
-@rule("DQA_CONSISTENCY_HEIGHT_DECREASE", "child_records", "measurements")
-def shrunk(f: Frames, s: Settings) -> DataFrame:
-    h = f["measurements"].filter("height_cm is not null").groupBy("child_record_id").agg(F.min_by("height_cm", "measurement_id").alias("h"))
-    p = pair_waves(f["child_records"])
-    p = p.join(h.select(F.col("child_record_id").alias("b_child_record_id"), F.col("h").alias("b_h")), "b_child_record_id").join(h.select(F.col("child_record_id").alias("e_child_record_id"), F.col("h").alias("e_h")), "e_child_record_id")
-    return _on_endline(p.filter(F.col("b_h") - F.col("e_h") > s.height_tolerance), field="height_cm", observed=F.col("e_h"), message="height is below the first wave's")
+@row_rule("DQA_CONSISTENCY_HEIGHT_DECREASE", "waves", "child_records", "measurements")
+def shrunk(s: Settings):
+    return F.col("b_h") - F.col("e_h") > s.height_tolerance, F.lit("height_cm"), F.col("e_h"), F.lit("height is below the first wave's")
 
 
-@rule("DQA_CONSISTENCY_SEX_ACROSS_WAVES", "child_records")
-def sex_changed(f: Frames, s: Settings) -> DataFrame:
-    return _on_endline(pair_waves(f["child_records"]).filter("b_sex <> e_sex"), field="sex", observed=F.col("e_sex"), message="sex differs between waves")
+@row_rule("DQA_CONSISTENCY_SEX_ACROSS_WAVES", "waves", "child_records")
+def sex_changed(s: Settings):
+    return F.col("b_sex") != F.col("e_sex"), F.lit("sex"), F.col("e_sex"), F.lit("sex differs between waves")
 
 
-@rule("DQA_CONSISTENCY_BIRTHDATE_ACROSS_WAVES", "child_records")
-def birth_changed(f: Frames, s: Settings) -> DataFrame:
-    cell = shapes(f if "shapes" in f else {"child_records": f["child_records"]}).filter("field = 'birthday_str'").select("child_record_id", "cell", "shape")
-    p = pair_waves(f["child_records"].select("child_record_id", "school_id", "period", "lrn_clean", "source_file_id"))
-    for x in ("b", "e"):
-        p = p.join(cell.select(F.col("child_record_id").alias(f"{x}_child_record_id"), F.col("cell").alias(f"{x}_cell"), F.col("shape").alias(f"{x}_shape")), f"{x}_child_record_id")
+@row_rule("DQA_CONSISTENCY_BIRTHDATE_ACROSS_WAVES", "waves", "child_records")
+def birth_changed(s: Settings):
     read = (F.size("b_shape.readings") > 0) & (F.size("e_shape.readings") > 0)
     differs = F.when(read, ~F.arrays_overlap("b_shape.readings", "e_shape.readings")).otherwise(strip(F.col("b_cell")) != strip(F.col("e_cell")))
-    return _on_endline(p.filter("not b_shape.blank and not e_shape.blank").filter(differs), field="birthday_str", observed=F.col("e_cell"), message="no common reading of the two waves' birth dates")
+    there = ~F.col("b_shape.blank") & ~F.col("e_shape.blank")
+    return there & differs, F.lit("birthday_str"), F.col("e_cell"), F.lit("no common reading of the two waves' birth dates")
 
 
 # Aggregates
@@ -294,10 +311,11 @@ def check_policy(rules=RULES) -> None:
         raise ValueError(f"rules and policy differ: {sorted(named ^ set(REGISTRY))}")
 
 
-def evaluate(frames: Frames, settings: Settings | None = None, run_id: str = "run", detected_at: Column | None = None, rules=RULES) -> DataFrame:
-    """All findings of all rules whose frames are there, with severity, scope and a stable issue_id."""
-    check_policy(rules)
+def evaluate(frames: Frames, settings: Settings | None = None, run_id: str = "run", detected_at: Column | None = None, rules=None) -> DataFrame:
+    """All findings of all rules whose frames are there, with severity, scope, a suggested action and a stable issue_id."""
     settings = settings or Settings()
+    rules = rules or settings.rules
+    check_policy(rules)
     frames = dict(frames)
     if "child_records" in frames:
         frames["shapes"] = shapes(frames)
@@ -317,4 +335,6 @@ def evaluate(frames: Frames, settings: Settings | None = None, run_id: str = "ru
     nth = F.row_number().over(Window.partitionBy(*same).orderBy("observed_value", "message"))
     at = detected_at if detected_at is not None else F.current_timestamp().cast("timestamp_ntz")
     out = out.withColumn("_nth", nth).withColumn("run_id", F.lit(run_id)).withColumn("detected_at", at).withColumn("resolved_status", F.lit("unresolved"))
+    actions = F.create_map(*[F.lit(x) for r in rules for x in (r[0], action(r[0]))])
+    out = out.withColumn("suggested_action", F.element_at(actions, F.col("rule_id")))
     return out.withColumn("issue_id", stable_id(F.col("run_id"), *[F.col(c) for c in same], F.col("_nth"))).drop("_nth")

@@ -50,7 +50,11 @@ def relative_to(root: str) -> Column:
 
 def discover(spark: SparkSession, root: str) -> DataFrame:
     """A row per file below root: id, relative path, hash, sizes, guesses and the bytes. Hidden and lock files are left out."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{csv,xlsx,CSV,XLSX}").load(root)
+    return described(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{csv,xlsx,CSV,XLSX}").load(root), root)
+
+
+def described(files: DataFrame, root: str) -> DataFrame:
+    """The same of files that are already read (path, modificationTime, length, content)."""
     relative = relative_to(root)
     name = F.substring_index(relative, "/", -1)
     rows = files.withColumn("source_file_path", relative).filter(~name.startswith("~$") & ~name.startswith("."))

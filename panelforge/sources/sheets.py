@@ -108,9 +108,9 @@ def read_xlsx(data: bytes) -> list[tuple[str, list[list[object]]]]:
     return out
 
 
-def header_row(rows: list[list[str]]) -> int | None:
+def header_row(rows: list[list[str]], known: frozenset[str] = _KNOWN) -> int | None:
     """The row of the first HEADER_ROWS with most known headers; the earliest wins, else the first that isn't blank."""
-    score = [sum(fold_header_text(c) in _KNOWN for c in r) for r in rows[:HEADER_ROWS]]
+    score = [sum(fold_header_text(c) in known for c in r) for r in rows[:HEADER_ROWS]]
     if score and max(score):
         return score.index(max(score))
     return next((i for i, r in enumerate(rows) if any(r)), None)
@@ -126,12 +126,12 @@ def named(cells: list[str]) -> list[str]:
     return out
 
 
-def parse(path: str, data: bytes) -> Iterator[tuple[str, int, int, list[str], list[str]]]:
+def parse(path: str, data: bytes, known: frozenset[str] = _KNOWN) -> Iterator[tuple[str, int, int, list[str], list[str]]]:
     """Sheet, header row (from 1), row number, headers and cells. Numbers go on across sheets; blank rows have none."""
     number = 0
     for sheet, raw in read_xlsx(data) if path.lower().endswith(".xlsx") else read_csv(data):
         rows = [[cell_text(c) for c in r] for r in raw]
-        head = header_row(rows)
+        head = header_row(rows, known)
         if head is None:
             continue
         cells = rows[head]
@@ -147,22 +147,27 @@ def parse(path: str, data: bytes) -> Iterator[tuple[str, int, int, list[str], li
             yield sheet, head + 1, 0, names, []
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rows(known: frozenset[str]):
     kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.string()]
     columns = [c.split()[0] for c in SCHEMA.split(", ")]
-    for b in batches:
-        for file_id, path, content in zip(*(b.column(c).to_pylist() for c in ("source_file_id", "source_file_path", "content")), strict=True):
-            try:
-                rows = [(file_id, *r, None) for r in parse(path, content)]
-                if not rows:
-                    rows = [(file_id, None, None, None, None, None, "no rows")]
-            except Exception as e:  # any damage is a finding about the file
-                rows = [(file_id, None, None, None, None, None, f"{type(e).__name__}: {e}"[:500])]
-            for lo in range(0, len(rows), 4096):
-                part = rows[lo : lo + 4096]
-                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in part], k) for j, k in enumerate(kinds)], names=columns)
-
-
-def rows(files: DataFrame) -> DataFrame:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for file_id, path, content in zip(*(b.column(c).to_pylist() for c in ("source_file_id", "source_file_path", "content")), strict=True):
+                try:
+                    rows = [(file_id, *r, None) for r in parse(path, content, known)]
+                    if not rows:
+                        rows = [(file_id, None, None, None, None, None, "no rows")]
+                except Exception as e:  # any damage is a finding about the file
+                    rows = [(file_id, None, None, None, None, None, f"{type(e).__name__}: {e}"[:500])]
+                for lo in range(0, len(rows), 4096):
+                    part = rows[lo : lo + 4096]
+                    yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in part], k) for j, k in enumerate(kinds)], names=columns)
+
+    return run
+
+
+def rows(files: DataFrame, datasets=DATASETS) -> DataFrame:
     """The rows of files (source_file_id, source_file_path, content)."""
-    return files.select("source_file_id", "source_file_path", "content").mapInArrow(_rows, SCHEMA)
+    known = frozenset(h for d in datasets for h in d.headers())
+    return files.select("source_file_id", "source_file_path", "content").mapInArrow(_rows(known), SCHEMA)
