@@ -23,6 +23,12 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     return at.withColumn("bin", inside.cast("int")).withColumn("edge", edge).groupBy("bin", "edge").agg(F.count("*").alias("n"))
 
 
+def flows(df: DataFrame, source: str, target: str, value: str | None = None) -> DataFrame:
+    """source, target and their summed value, or number of rows: what an arc chart draws."""
+    total = F.count("*") if value is None else F.sum(value)
+    return df.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(total.alias("value"))
+
+
 def missing_rates(df: DataFrame, pattern: str = ".*") -> DataFrame:
     """The share of nulls in each column whose name fits, in one aggregation."""
     names = [c for c in df.columns if re.search(pattern, c)]
@@ -49,18 +55,19 @@ def pii_scan(df: DataFrame, id_: str, text: str) -> DataFrame:
     return df.select(F.col(id_).alias("row_id"), n(NUMBER).alias("numbers"), n(EMAIL).alias("emails")).filter("numbers > 0 or emails > 0")
 
 
-def scan_files(spark: SparkSession, root: str, skip: tuple[str, ...] = ("tests",)) -> DataFrame:
+def scan_files(spark: SparkSession, root: str, skip: tuple[str, ...] = ("tests",), longest: int = LONGEST_FILE) -> DataFrame:
     """path and finding of files below root with telling names or likely personal data; folders named in skip are left out.
 
-    Names come from the listing alone; only text files of at most LONGEST_FILE bytes are opened.
+    Names come from the listing alone; text files of over longest bytes are not opened, which is a finding too.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     parts = F.split(F.col("path"), "/")
     files = files.filter(~F.arrays_overlap(F.slice(parts, len(root.rstrip("/").split("://")[-1].strip("/").split("/")) + 1, F.size(parts)), F.array(*[F.lit(x) for x in skip])) if skip else F.lit(True))
     named = files.select("path").filter(F.substring_index("path", "/", -1).rlike(ROSTER)).withColumn("finding", F.lit("file name"))
-    texts = files.filter((F.col("length") <= LONGEST_FILE) & F.col("path").rlike(TEXT_FILES)).select("path", F.col("content").cast("string").alias("text"))
+    long = files.filter((F.col("length") > longest) & F.col("path").rlike(TEXT_FILES)).select("path").withColumn("finding", F.lit("too long to be read"))
+    texts = files.filter((F.col("length") <= longest) & F.col("path").rlike(TEXT_FILES)).select("path", F.col("content").cast("string").alias("text"))
     held = F.array_compact(F.array(F.when(F.col("text").rlike(NUMBER), "number of 12 digits"), F.when(F.col("text").rlike(EMAIL), "e-mail address")))
-    return named.unionByName(texts.select("path", F.explode(held).alias("finding")))
+    return named.unionByName(long).unionByName(texts.select("path", F.explode(held).alias("finding")))
 
 
 def violations(df: DataFrame, table: str, not_null: tuple[str, ...] = (), unique: tuple[str, ...] = (), accepted: dict[str, tuple] | None = None, between: dict[str, tuple] | None = None, refers: dict[str, tuple[DataFrame, str]] | None = None) -> DataFrame:

@@ -28,6 +28,13 @@ def rule_scorecard(defects: DataFrame, issues: DataFrame, rules=RULES) -> DataFr
     return df.withColumn("missed", F.col("injected") - F.col("detected")).withColumn("sensitivity", ratio(F.col("detected"), F.col("injected"))).withColumn("precision", ratio(F.col("detected"), F.col("detected") + F.col("false_positives")))
 
 
+def rule_totals(card: DataFrame) -> DataFrame:
+    """One row: the sums of a rule scorecard and the ratios of the sums."""
+    names = ("injected", "detected", "missed", "false_positives")
+    one = card.agg(F.count("*").alias("rules"), F.count_if(F.col("injected") > 0).alias("rules_with_defects"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+    return one.withColumn("sensitivity", ratio(F.col("detected"), F.col("injected"))).withColumn("precision", ratio(F.col("detected"), F.col("detected") + F.col("false_positives")))
+
+
 def pair_outcomes(links: DataFrame, truth_links: DataFrame) -> DataFrame:
     """Each pair that was accepted or is true, as tp, fp or fn."""
     got = links.filter("decision = 'accepted'").select(*PAIR).distinct().withColumn("_got", F.lit(True))
@@ -44,8 +51,14 @@ def link_scorecard(candidates: DataFrame, truth_links: DataFrame, n_children: in
     s = settings or Settings()
     spark = candidates.sparkSession
     sweep = spark.createDataFrame([(t,) for t in s.sweep], "threshold double")
-    swept = collapse(candidates.filter("method = 'probabilistic'")).join(F.broadcast(sweep))
-    probable = decide(swept, F.col("threshold"), F.least(F.col("threshold"), F.lit(s.floor)), s.margin, keys=("threshold",))
+    # only pairs from a threshold on compete; those between the floor and it are for review whatever the others do
+    best = collapse(candidates.filter("method = 'probabilistic'"))
+    p, floor = F.col("match_probability"), F.least(F.col("threshold"), F.lit(s.floor))
+    swept = best.filter(p >= min(*s.sweep, s.floor)).join(F.broadcast(sweep), p >= floor)
+    above = (p >= F.col("threshold")) & ~F.isnan(p)
+    probable = decide(swept.filter(above), F.col("threshold"), floor, s.margin, keys=("threshold",))
+    below = swept.filter(~above).withColumn("decision", F.lit("review"))
+    probable = probable.select(*best.columns, "threshold", "decision").unionByName(below)
     exact = exact_policy(candidates.filter("method = 'deterministic'"), sweep)
     columns = ["threshold", *PAIR, "decision"]
     both = probable.filter("decision <> 'rejected'").select(F.lit("probabilistic").alias("method"), *columns).unionByName(exact.select(F.lit("deterministic").alias("method"), *columns))
