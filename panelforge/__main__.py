@@ -1,56 +1,50 @@
-"""Command line: python -m panelforge STEP --raw DIR --lake DIR [--truth DIR] [--out DIR]."""
+"""Command line: python -m panelforge STEP --raw DIR --lake DIR [--truth DIR] [--out DIR] [--settings FILE]."""
 
 from __future__ import annotations
 
 import argparse
 import sys
-from pathlib import Path
 
-from panelforge.config import unmapped_defects
-
-STEPS = ("doctor", "generate-demo-data", "ingest", "build-silver", "run-dqa", "run-linkage", "build-gold", "score", "export", "full-refresh")
+from panelforge.config import Settings, load_settings, unmapped_defects
 
 
 def main(argv: list[str] | None = None) -> int:
+    from panelforge.plans import ingest, lakehouse, synth
+
     p = argparse.ArgumentParser(prog="panelforge")
-    p.add_argument("step", choices=STEPS)
+    p.add_argument("step", choices=("doctor", "generate-demo-data", *lakehouse.STEPS, "full-refresh"))
     for name, default in (("raw", "data/raw"), ("lake", "data/lake"), ("truth", "data/truth"), ("out", "data/exports")):
         p.add_argument(f"--{name}", default=default)
+    p.add_argument("--settings", help="a file of JSON, TOML or YAML with what differs from the policy")
+    p.add_argument("--only", nargs="+", help="of full-refresh, these steps")
+    p.add_argument("--upstream", action="store_true", help="with --only, also what they need")
+    p.add_argument("--model", help="link with this saved model instead of training one")
     p.add_argument("--profile", default="tiny", choices=("tiny", "demo", "large"))
     p.add_argument("--seed", type=int, default=2026)
     p.add_argument("--force", action="store_true", help="load files again that were loaded before")
     a = p.parse_args(argv)
     from panelforge import session
+    from panelforge.operators import linkage
     from panelforge.operators.rules import check_policy
-    from panelforge.plans import ingest, lakehouse, synth
 
+    settings = load_settings(a.settings) if a.settings else Settings()
     if a.step == "doctor":
-        check_policy()
-        bad = unmapped_defects()
+        check_policy(settings.rules)
+        linkage.check_settings(settings)
+        bad = unmapped_defects(settings.rules)
         print("defects without one rule:", bad or "none")
         return int(bool(bad))
     spark = session.build()
     if a.step == "generate-demo-data":
         synth.generate(spark, a.raw, a.truth, a.profile, a.seed)
     elif a.step == "ingest":
-        print(ingest.run(spark, a.raw, a.lake, force=a.force))
-    elif a.step == "build-silver":
-        lakehouse.build_silver(spark, a.lake)
-    elif a.step == "run-dqa":
-        lakehouse.run_dqa(spark, a.lake)
-    elif a.step == "run-linkage":
-        lakehouse.run_linkage(spark, a.lake)
-    elif a.step == "build-gold":
-        lakehouse.build_gold(spark, a.lake)
-    elif a.step == "score":
-        out = Path(a.out)
-        out.mkdir(parents=True, exist_ok=True)
-        for name, df in zip(("dqa_scorecard", "linkage_scorecard"), lakehouse.score(spark, a.lake, a.truth), strict=True):
-            (out / f"{name}.html").write_text(lakehouse.report(df, name))
-    elif a.step == "export":
-        lakehouse.export(spark, a.lake, a.out)
+        print(ingest.run(spark, a.raw, a.lake, settings, force=a.force))
+    elif a.step == "run-linkage" and a.model:
+        lakehouse.run_linkage(spark, a.lake, settings, linkage.load(spark, a.model))
     else:
-        print(*lakehouse.full_refresh(spark, a.raw, a.lake, a.truth, a.out), sep="\n")
+        only = tuple(a.only) if a.only else None
+        steps = only if a.step == "full-refresh" else (a.step,)
+        print(*lakehouse.full_refresh(spark, a.raw, a.lake, a.truth, a.out, settings, steps, a.upstream and a.step == "full-refresh"), sep="\n")
     return 0
 
 

@@ -17,7 +17,7 @@ from panelforge.config import DATASETS, VALUES, Settings
 from panelforge.functions.dates import parse_date
 from panelforge.functions.ids import stable_id
 from panelforge.functions.text import lookup
-from panelforge.operators.versions import manifest_snapshot, unseen
+from panelforge.operators.versions import latest, manifest_snapshot, unseen
 from panelforge.sources import files as sources
 from panelforge.sources import headers, sheets
 
@@ -40,11 +40,15 @@ class Result:
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """A table of the lake, or None if nothing was written yet."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")  # ids of digits stay texts
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")  # ids of digits stay texts
     try:
         return spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException:
         return None
+    finally:
+        spark.conf.set(key, before)
 
 
 def _history(spark: SparkSession, lake: str) -> DataFrame:
@@ -80,20 +84,21 @@ def run(spark: SparkSession, raw: str, lake: str, settings: Settings | None = No
     good = history.filter("status = 'ingested'")
     new = found if force else unseen(found, good)
     facts = new.drop("content")
-    parsed = sheets.rows(new).persist()  # parsed once, used by each dataset and the logs
+    datasets = s.datasets()
+    parsed = sheets.rows(new, datasets).persist()  # parsed once, used by each dataset and the logs
     try:
         heads = parsed.filter("headers is not null").select("source_file_id", "source_sheet_name", "headers").distinct()
         sheet_id = F.concat_ws("\x00", "source_file_id", F.coalesce("source_sheet_name", F.lit("")))
-        voted = headers.vote(heads.select(sheet_id.alias("source_file_id"), "headers")).withColumnRenamed("source_file_id", "sheet_id")
+        voted = headers.vote(heads.select(sheet_id.alias("source_file_id"), "headers"), datasets).withColumnRenamed("source_file_id", "sheet_id")
         sheet = heads.withColumn("sheet_id", sheet_id).join(voted, "sheet_id", "left").join(facts.select("source_file_id", "dataset_guess"), "source_file_id")
         sheet = sheet.withColumn("dataset", F.coalesce("dataset_guess", "dataset")).drop("dataset_guess")
-        gone = headers.drift(sheet.filter("dataset is not null").select(F.col("sheet_id").alias("source_file_id"), "dataset", "headers"))
+        gone = headers.drift(sheet.filter("dataset is not null").select(F.col("sheet_id").alias("source_file_id"), "dataset", "headers"), datasets)
         gone = gone.withColumnRenamed("source_file_id", "sheet_id").withColumn("source_file_id", F.substring_index("sheet_id", "\x00", 1)).persist()
         unfit = gone.filter("drift_type = 'missing_viable'").select("sheet_id").distinct()
         fit = sheet.filter("dataset is not null").join(unfit, "sheet_id", "left_anti")
         rows = parsed.filter("source_row_number > 0").withColumn("sheet_id", sheet_id).join(fit.select("sheet_id", "dataset"), "sheet_id").drop("sheet_id")
         rows = rows.join(facts.select("source_file_id", "source_file_path", "file_hash", "period_guess", "school_id_guess"), "source_file_id")
-        for d in DATASETS:
+        for d in datasets:
             part = _canonical(rows.filter(F.col("dataset") == d.name), d, s, run_id, at)
             part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("source_file_id", "file_hash").parquet(f"{lake}/{TABLES[d.name]}")
         counts = rows.groupBy("source_file_id").agg(F.count("*").alias("n"), F.min("dataset").alias("dataset"))
@@ -107,12 +112,24 @@ def run(spark: SparkSession, raw: str, lake: str, settings: Settings | None = No
         gone.drop("sheet_id").withColumns({"run_id": F.lit(run_id), "detected_at": at}).dropDuplicates(["source_file_id", "column_name_raw", "drift_type"]).write.mode("append").parquet(f"{lake}/schema_drift")
         damaged = parsed.filter("error is not null").select("source_file_id", F.col("error").alias("message")).unionByName(unfit.select(F.substring_index("sheet_id", "\x00", 1).alias("source_file_id"), F.lit("sheet isn't viable").alias("message")))
         damaged.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(f"{lake}/ingestion_errors")
-        entry.write.mode("append").parquet(f"{lake}/manifest")
+        entry.unionByName(_skipped(found.drop("content"), new.select("source_file_id"), good, at, run_id)).write.mode("append").parquet(f"{lake}/manifest")
+        gone.unpersist()
         return Result(total, tally["ok"], total - tally["n"], tally["n"] - tally["ok"], tally["again"], tally["rows"] or 0)
     finally:
         parsed.unpersist()
 
 
+def _skipped(found: DataFrame, new: DataFrame, good: DataFrame, at: Column, run_id: str) -> DataFrame:
+    """Manifest rows of files that were loaded before, with the dataset and the count of that load of the same bytes."""
+    key = ["source_file_id", "file_hash"]
+    known = latest(good, key, ["ingested_at", "run_id"]).select(*key, "dataset", "row_count")
+    old = found.join(new, "source_file_id", "left_anti").join(known, key)
+    return old.select(
+        "source_file_id", "source_file_path", "file_hash", "dataset", F.lit("skipped").alias("status"), "row_count", "period_guess", "school_id_guess",
+        "modified_at", at.alias("ingested_at"), F.lit(run_id).alias("run_id"),
+    )
+
+
 def current(spark: SparkSession, lake: str, dataset: str) -> DataFrame | None:
     """The rows of the last good version of each file."""
     rows = read_or_none(spark, f"{lake}/{TABLES[dataset]}")

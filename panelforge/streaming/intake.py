@@ -20,10 +20,8 @@ def start(spark: SparkSession, raw: str, lake: str, checkpoint: str, settings: S
     """Loads what arrives below raw; once: all that is there now, then stops."""
 
     def load(batch: DataFrame, number: int) -> None:
-        paths = batch.select("path")
-        found = files.discover(batch.sparkSession, raw)
-        arrived = found.join(paths.select(files.relative_to(raw).alias("source_file_path")), "source_file_path", "left_semi")
-        ingest.run(batch.sparkSession, raw, lake, settings, run_id=f"stream-{number}", discovered=arrived)
+        # the batch's own rows; nothing else below raw is listed or read
+        ingest.run(batch.sparkSession, raw, lake, settings, run_id=f"stream-{number}", discovered=files.described(batch, raw))
 
     stream = spark.readStream.format("binaryFile").schema(BINARY).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{csv,xlsx,CSV,XLSX}").load(raw)
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

@@ -77,6 +77,9 @@ def test_a_second_load_adds_nothing_and_changed_bytes_replace(spark, lake):
     raw, out = f"{root}/raw", f"{root}/lake"
     again = ingest.run(spark, raw, out, run_id="second")
     assert (again.ingested, again.skipped, again.rows) == (0, 11, 0)
+    seen = {(r.source_file_id, r.status): (r.row_count, r.dataset) for r in spark.read.parquet(f"{out}/manifest").collect()}
+    files = {f for f, _ in seen}
+    assert all(seen[f, "skipped"] == seen[f, "ingested"] for f in files) and len(files) == 11
     path = next(Path(raw, "baseline").glob("*.csv"))
     good, lines = path.read_bytes(), path.read_text().splitlines()
     before = ingest.current(spark, out, "school_submission").count()
@@ -101,6 +104,42 @@ def test_report_escapes(spark):
     assert "&lt;b&gt;" in lakehouse.report(spark.createDataFrame([("<b>",)], "x string"), "t")
 
 
+def test_steps_and_reports(spark, lake):
+    root, _ = lake
+    assert lakehouse.select(("build-gold",), upstream=True) == ["ingest", "build-silver", "run-dqa", "run-linkage", "build-gold"]
+    with pytest.raises(ValueError):
+        lakehouse.select(("build-lead",))
+    found = lakehouse.reports(spark, f"{root}/lake")
+    card = spark.read.parquet(f"{root}/lake/dqa_scorecard")
+    total = card.agg(F.sum("injected"), F.sum("detected")).collect()[0]
+    assert set(found) == {"dqa_scorecard", "linkage_scorecard", "summary"} and f"{total[1]} of {total[0]} injected" in found["summary"]
+    assert all(r.rule_id in found["dqa_scorecard"] for r in card.collect())
+    assert "<h1>Summary</h1>" in "".join(r.value for r in spark.read.text(f"{root}/out/reports/summary.html").collect())
+    issues = spark.read.parquet(f"{root}/lake/dqa_issues")
+    assert issues.filter("suggested_action is null or message is null").count() == 0
+    assert spark.read.parquet(f"{root}/lake/contract_violations").filter("n > 0").count() == 0
+
+
+def test_saved_model_gives_the_same_links(spark, lake):
+    from panelforge.operators import linkage
+
+    root, _ = lake
+    before = {tuple(r) for r in spark.read.parquet(f"{root}/lake/linkage_results").select("link_id", "decision").collect()}
+    again = lakehouse.run_linkage(spark, f"{root}/lake", model=linkage.load(spark, f"{root}/lake/linkage_model"))
+    assert {tuple(r) for r in again.select("link_id", "decision").collect()} == before
+
+
+def test_command_line(spark, lake, tmp_path, capsys):
+    from panelforge.__main__ import main
+
+    root, _ = lake
+    (tmp_path / "s.json").write_text('{"grace_days": 7}')
+    assert main(["doctor", "--settings", f"{tmp_path}/s.json"]) == 0
+    where = ["--raw", f"{root}/raw", "--lake", f"{root}/lake", "--truth", f"{root}/truth", "--out", f"{tmp_path}/out"]
+    assert main(["full-refresh", "--only", "verify", "export", *where]) == 0
+    assert capsys.readouterr().out.split()[-2:] == ["verify", "export"]
+
+
 def test_streaming_intake(spark, tmp_path):
     from panelforge.streaming import intake
 

@@ -138,16 +138,47 @@ def test_linkage_survives_noise(spark):
 
 def test_model_is_kept_as_text(spark, tmp_path):
     model = {"prior": 0.01, "m": {g: [0.5] * linkage.HEIGHTS[g] for g in linkage.GAMMAS}, "u": {g: [0.25] * linkage.HEIGHTS[g] for g in linkage.GAMMAS}}
-    linkage.save(model, str(tmp_path / "m.json"))
-    assert linkage.load(str(tmp_path / "m.json")) == model
+    linkage.save(spark, model, str(tmp_path / "m"))
+    assert linkage.load(spark, str(tmp_path / "m")) == model
+    linkage.save(spark, {"prior": 0.1, "m": {}, "u": {}}, str(tmp_path / "m"))
+    with pytest.raises(ValueError):
+        linkage.load(spark, str(tmp_path / "m"))
     with pytest.raises(ValueError):
         linkage.train(spark.createDataFrame([], CHILD), spark.createDataFrame([], CHILD))
 
 
+def jaro_winkler(a, b):
+    """The definition, letter by letter."""
+    if a == b:
+        return 1.0
+    reach = max(0, max(len(a), len(b)) // 2 - 1)
+    partner = {}
+    for i, x in enumerate(a):
+        free = [j for j in range(max(0, i - reach), min(len(b), i + reach + 1)) if b[j] == x and j not in partner.values()]
+        if free:
+            partner[i] = free[0]
+    m = len(partner)
+    if not m:
+        return 0.0
+    swapped = sum(a[i] != b[j] for i, j in zip(partner, sorted(partner.values()), strict=True)) // 2
+    s = (m / len(a) + m / len(b) + (m - swapped) / m) / 3
+    same = next((k for k in range(4) if k >= min(len(a), len(b)) or a[k] != b[k]), 4)
+    return s + same * 0.1 * (1 - s) if s > 0.7 else s
+
+
 def test_similarity(spark):
-    assert similarity.jaro_winkler_text("MARTHA", "MARHTA") == pytest.approx(0.9611, abs=1e-4)
-    assert similarity.jaro_winkler_text("DIXON", "DICKSONX") == pytest.approx(0.8133, abs=1e-4)
-    assert similarity.jaro_winkler_text("A", "") == 0
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("ABCÑ 中", k=rng.choice([0, 1, 2, 3, 5, 9, 20, 100])))
+    pairs = [("MARTHA", "MARHTA"), ("DIXON", "DICKSONX"), ("A", ""), ("", ""), (None, "A"), ("A", None), *((word(), word()) for _ in range(400))]
+    for _ in range(200):
+        a = list(word())
+        b = a[:]
+        rng.shuffle(b) if rng.random() < 0.3 else b.reverse() if rng.random() < 0.2 else b.insert(len(b) // 2, "X")
+        pairs.append(("".join(a), "".join(b)))
+    got = spark.createDataFrame(pairs, "a string, b string").select("a", "b", similarity.jaro_winkler("a", "b").alias("s")).collect()
+    for r in got:
+        assert r.s is None if r.a is None or r.b is None else r.s == pytest.approx(jaro_winkler(r.a, r.b), abs=1e-12), (r.a, r.b)
+    assert got[0].s == pytest.approx(0.9611, abs=1e-4) and got[1].s == pytest.approx(0.8133, abs=1e-4)
     cases = [("2015-01-02", "2015-01-02", True), ("2015-01-02", "2015-01-20", True), ("2015-01-02", "2015-10-02", True), ("2015-01-02", "2015-01-03", True), ("2015-01-02", "2015-02-03", False), ("ab", "ba", True), ("abc", "cba", False), (None, "a", None)]
     df = spark.createDataFrame(cases, "a string, b string, want boolean")
     assert all(r.want == r.got for r in df.select("want", similarity.one_edit(F.col("a"), F.col("b")).alias("got")).collect())
@@ -213,3 +244,46 @@ def test_pair_outcomes(spark):
     links = spark.createDataFrame([("b1", "e1", "accepted"), ("b2", "e3", "accepted"), ("b3", "e3", "review")], "baseline_record_id string, endline_record_id string, decision string")
     truth = spark.createDataFrame([("b1", "e1"), ("b3", "e3")], "baseline_record_id string, endline_record_id string")
     assert {tuple(r) for r in scorecards.pair_outcomes(links, truth).collect()} == {("b1", "e1", "tp"), ("b2", "e3", "fp"), ("b3", "e3", "fn")}
+
+
+def test_settings_files(tmp_path):
+    from panelforge import config
+
+    (tmp_path / "s.json").write_text('{"height_cm": [70, 210], "rules": {"DQA_DATE_IMPOSSIBLE": {"severity": "LOW"}}, "headers": {"school_submission": {"sex": ["Seks"]}}, "training": [["lrn_clean"]]}')
+    s = config.load_settings(str(tmp_path / "s.json"))
+    assert s.height_cm == (70, 210) and s.weight_kg == config.Settings().weight_kg and s.training == (("lrn_clean",),)
+    assert {r[0]: r[1] for r in s.rules}["DQA_DATE_IMPOSSIBLE"] == "LOW" and len(s.rules) == len(config.RULES)
+    assert s.datasets()[0].headers()["seks"] == "sex" and "seks" not in config.DATASETS[0].headers()
+    (tmp_path / "s.toml").write_text('floor = 0.2\naccept = 0.3\nsweep = [0.3, 0.6]\n')
+    assert config.load_settings(str(tmp_path / "s.toml")).sweep == (0.3, 0.6)
+    assert s.threshold("margin") == 1.0
+    with pytest.raises(KeyError):
+        s.threshold("margn")
+    for text in ('{"hight_cm": 1}', '{"rules": {"NO_RULE": {}}}', '{"rules": {"DQA_DATE_IMPOSSIBLE": {"severity": "BAD"}}}', '{"headers": {"school_submission": {"no_field": []}}}'):
+        (tmp_path / "bad.json").write_text(text)
+        with pytest.raises(ValueError):
+            config.load_settings(str(tmp_path / "bad.json"))
+    for bad in (config.Settings(training=()), config.Settings(accept=0.1, floor=0.2), config.Settings(blocking=(("true",),)), config.Settings(margin=-1)):
+        with pytest.raises(ValueError):
+            linkage.check_settings(bad)
+    assert all(config.action(r[0]) for r in config.RULES)
+
+
+def test_contracts(spark):
+    from panelforge.operators import contracts
+
+    schools = spark.createDataFrame([("S1", "a", 1), ("S1", None, 2)], "school_id string, school_name string, treatment_status long")
+    got = {(r.table_name, r.check_name, r.column_name): r.n for r in contracts.check({"schools": schools, "allocations": spark.createDataFrame([("S9",)], "school_id string")}).collect() if r.n}
+    assert got == {("schools", "not_null", "school_name"): 1, ("schools", "unique", "school_id"): 1, ("schools", "accepted", "treatment_status"): 1, ("allocations", "exists", "school_year"): 1, ("allocations", "refers", "school_id"): 1}
+    m = spark.createDataFrame([("a",), ("b",), ("b",)], "child_record_id string")
+    assert {(r.child_record_id, r.n) for r in contracts.reconcile(spark.createDataFrame([("a",), ("b",), ("c",)], "child_record_id string"), m).collect()} == {("b", 2), ("c", 0)}
+
+
+def test_flows_totals_and_blocks(spark):
+    df = spark.createDataFrame([("a", "x", 2), ("a", "x", 3), ("b", "x", 1)], "f string, t string, v long")
+    assert {tuple(r) for r in profile.flows(df, "f", "t", "v").collect()} == {("a", "x", 5), ("b", "x", 1)}
+    assert {tuple(r) for r in profile.flows(df, "f", "t").collect()} == {("a", "x", 2), ("b", "x", 1)}
+    card = spark.createDataFrame([("r1", 4, 3, 1, 1), ("r2", 0, 0, 0, 2)], "rule_id string, injected long, detected long, missed long, false_positives long")
+    assert tuple(scorecards.rule_totals(card).collect()[0]) == (2, 1, 4, 3, 1, 3, 0.75, 0.5)
+    b = spark.createDataFrame([(f"b{i}", "2015-01-01") for i in range(3)] + [("b9", None)], "child_record_id string, birthday_str string")
+    assert [tuple(r) for r in linkage.block_sizes(b, b, (("birthday_str",),)).collect()] == [(0, "2015-01-01", 9)]
