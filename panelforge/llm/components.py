@@ -5,7 +5,7 @@ smallest id that the node knows, first the larger neighbours, then the smaller
 ones, until each component is a star around its smallest id. Minima are combined
 before they are shuffled, and return to the edges by join_hubs(), so that the
 edges of a node with very many of them stay where they are. Each round is
-written to the shared folder; the last one's table goes when the driver ends.
+written to the shared folder, in two halves; the last one's table goes when the driver ends.
 """
 
 from __future__ import annotations
@@ -50,10 +50,12 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n"))
         large = join_hubs(both, least, "u", 2 * was["n"]).filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large, large_path = put(large)  # so that the plan of the second half doesn't hold the first one several times
         least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         small = join_hubs(large, least, "u", 2 * was["n"]).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         new, new_path = put(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         dropped(path, spark)
+        dropped(large_path, spark)
         got = sign(new)
         now, path, same, was = new, new_path, got == was, got
         if same:

@@ -299,12 +299,12 @@ def test_quantisation_bounds():
         assert len(s) == 350
 
 
-def test_warc(spark):
-    trap = "x" * 100 + "\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:99>\r\nWARC-Payload-Digest: sha256:0\r\nX-Payload-Length: 1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
-    rows = [(3, "u\r\nWARC/1.1", trap), (1, None, trap), (2, "u", None), (4, "u", ""), (5, "u", "short"), (6, "u", "short"), (None, "u", trap), (8, "u", "é" * 50), (7, "u", "é" * 50), (7, "u", "é" * 50), (9, "u", "WARC/1.1\r\n" * 30), (10, "u", "z" * 500_000)]
-    path = shared_dir(spark)
-    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("payload_digest", F.lit(1)), path)
-    got = Counter(tuple(r)[:5] for r in warc.read(spark, path).collect())
+def _pages(traps):
+    rows = [(3, "u\r\nWARC/1.1", traps[0]), (1, None, traps[0]), (2, "u", None), (4, "u", ""), (5, "u", "short"), (6, "u", "short"), (None, "u", traps[0]), (8, "u", "é" * 50), (7, "u", "é" * 50), (7, "u", "é" * 50), (9, "u", "WARC/1.1\r\n" * 30), (10, "a b\x7f", "z" * 500_000)]
+    return rows + [(20 + i, f"t{i}", x) for i, x in enumerate(traps[1:])]
+
+
+def _expected(rows):
     first = {}
     for p, _, h in rows:
         if p is not None:
@@ -314,15 +314,88 @@ def test_warc(spark):
         data = (h or "").encode()
         again = len(data) >= 100 and first[h or ""] != p
         want[p, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", first[h or ""] if again else None] += 1
-    assert got == want
+    return want
+
+
+FIVE = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def test_warc(spark):
+    import gzip
+
+    rng = random.Random(3)
+    traps = ["x" * 100 + "\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"]
+    traps += ["".join(rng.choices("abcdefgh \n", k=rng.randint(0, 3000))) for _ in range(60)]
+    rows = _pages(traps)
+    path = shared_dir(spark)
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("payload_digest", F.lit(1)).repartition(2), path)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in (before["spark.sql.files.maxPartitionBytes"], "900b"):  # files whole, and cut into many splits
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            got = warc.read(spark, path).collect()
+            assert Counter(tuple(r[c] for c in FIVE) for r in got) == _expected(rows), size
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.url for r in got} >= {"u%0D%0AWARC/1.1", "a%20b%7F", ""}
+    # a record can be read at its offset alone, and the archive by any tool that reads gzip
+    files = {r.path: bytes(r.content) for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()}
+    r = next(x for x in got if x.page_id == 10)
+    data = next(v for k, v in files.items() if k.split("/")[-1] == r.file.split("/")[-1])
+    assert warc.parsed(data[r.record_offset : r.record_offset + warc.claimed(data[r.record_offset :])])[0] == 10
+    assert gzip.decompress(data).count(warc.MAGIC + b"WARC-Type") >= 1
+    none = shared_dir(spark)
+    warc.write(spark.createDataFrame([], "page_id long, url string, html string"), none)
+    assert warc.read(spark, none).count() == 0
+
+
+def test_warc_rejects_what_only_looks_like_records(spark):
+    """Archives whose payloads, stored without compression, hold separators and whole members."""
+
+    def stored(record):
+        deflate = warc.zlib.compressobj(0, warc.zlib.DEFLATED, -15)
+        body = deflate.compress(record) + deflate.flush()
+        head = warc._EXTRA + warc._FIELD + warc.struct.pack("<Q", warc._HEAD + len(body) + 8)
+        return head + body + warc.struct.pack("<II", zlib.crc32(record), len(record))
+
+    def record(page, payload):
+        h = [b"WARC-Type: response", b"WARC-Record-ID: <urn:page:%d>" % page, b"WARC-Target-URI: u", b"WARC-Payload-Digest: sha256:" + hashlib.sha256(payload).hexdigest().encode(), b"X-Payload-Length: 0", b"Content-Length: %d" % len(payload)]
+        return warc.MAGIC + b"\r\n".join(h) + b"\r\n\r\n" + payload + b"\r\n\r\n"
+
+    fake = warc.EMPTY + warc.member(record(99, b"never")) + warc.EMPTY
+    rng = random.Random(5)
+    payloads = [rng.randbytes(rng.randint(0, 400)) + (fake * rng.randint(1, 3) if i % 3 else b"") + rng.randbytes(rng.randint(0, 300)) for i in range(30)]
+    payloads[7] = warc.EMPTY * 40 + b"tail"  # over several splits
+    path = shared_dir(spark)
+    rows = [(0, i, stored(record(i, x)) if i % 2 else warc.member(record(i, x))) for i, x in enumerate(payloads)]
+    spark.createDataFrame(rows, "f int, i int, value binary").coalesce(1).sortWithinPartitions("i").select(F.col("value").cast("string").alias("value")).write.options(**warc._TEXT).text(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        for size in ("128m", "300b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            got = warc.read(spark, path).collect()
+            assert sorted((r.page_id, r.payload_bytes, r.payload_digest) for r in got) == [(i, len(x), hashlib.sha256(x).hexdigest()) for i, x in enumerate(payloads)], size
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    broken = shared_dir(spark)
+    spark.createDataFrame([(warc.member(record(1, b"a")) + b"rubbish",)], "value binary").select(F.col("value").cast("string").alias("value")).write.options(**warc._TEXT).text(broken)
+    with pytest.raises(Exception, match="chain|record"):
+        warc.read(spark, broken).count()
 
 
 def test_pointer_jumping():
-    offsets, succ = np.array([0, 5, 10, 30, 12]), np.array([10, 7, 30, 40, 30])
-    assert warc.reachable(offsets, succ, 40).tolist() == [True, False, True, True, False]
-    with pytest.raises(ValueError):
-        warc.reachable(offsets, succ, 41)
-    assert warc.reachable(np.zeros(0, int), np.zeros(0, int), 0).tolist() == []
+    place, after = np.array([0, 5, 10, 12, 30]), np.array([10, 7, 30, 30, 45])
+    assert warc.leaving(place, after, 40).tolist() == [45, -1, 45, 45, 45]
+    assert warc.on_chain(place, after, 0).tolist() == [True, False, True, False, True]
+    assert warc.on_chain(place, after, 12).tolist() == [False, False, False, True, True]
+    assert warc.leaving(np.zeros(0, int), np.zeros(0, int), 0).tolist() == []
+    n = 1000
+    line = np.arange(n) * 7
+    assert (warc.leaving(line, line + 7, 7 * n) == 7 * n).all() and warc.on_chain(line, line + 7, 0).all()
 
 
 def test_toxicity(spark, docs, none):
