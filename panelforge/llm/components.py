@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import dropped, shared_dir, until_exit
+from panelforge.llm.common import Scratch, dropped, shared_dir, until_exit
 
 #: Keys that can have over one in so many of all rows: no more than that, so they fit a broadcast.
 HUBS = 4096
@@ -34,8 +34,11 @@ def join_hubs(rows: DataFrame, facts: DataFrame, key: str, total: int) -> DataFr
     return rows.join(hubs, key).unionByName(rest)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """edges (a, b: long) to (node, component), for every node with an edge; component is the smallest node reachable."""
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """edges (a, b: long) to (node, component), for every node with an edge; component is the smallest node reachable.
+
+    The result reads a table that goes with scratch, or else when the driver ends.
+    """
     spark = edges.sparkSession
 
     def put(df: DataFrame) -> tuple[DataFrame, str]:
@@ -60,4 +63,6 @@ def components(edges: DataFrame) -> DataFrame:
         now, path, same, was = new, new_path, got == was, got
         if same:
             break
+    if scratch is not None:
+        scratch.paths.append(path)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -1,12 +1,13 @@
 """License scans by diagonal voting.
 
 Templates are the base phrases, found wherever their words stand one after the
-other, and license texts of our own, found also where words differ. All rolling
+other, and, found also where words differ, single sentences of our choice and
+the published texts of license_texts. All rolling
 hashes of k words of the documents are joined with the templates' positions
 (k is the phrase's length, GRAM words for the texts). Matches are summed by
 diagonal, the offset between document and template. Neighbouring diagonals, as
-an added or a lost word makes them, merge if they are at most DRIFT apart and
-their places meet. A merged span is verified by the share of the template's
+an added or a lost word makes them, merge if they are at most DRIFT, or one word
+in DRIFT_SHARE of the template, apart and their places meet. A merged span is verified by the share of the template's
 grams it holds (LEAST) and by its length.
 
 Rolling hashes that no template has are dropped before they leave the worker,
@@ -25,12 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import ALNUM_WORDS, Words, pick, slices, small_batches
+from panelforge.llm.common import ALNUM_WORDS, Words, pick, slices, slim, small_batches
+from panelforge.llm.license_texts import PUBLISHED
 
 #: Phrases and labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
-#: License texts of our own choice, as words after lower-casing.
-TEXTS = (
+#: Sentences of our own choice, as words after lower-casing.
+SENTENCES = (
     ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "mit"),
     ("released under the mit license", "mit"),
     ("licensed under the mit license", "mit"),
@@ -47,8 +49,9 @@ TEXTS = (
     ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "isc"),
 )
 GRAM = 3
+TEXTS = SENTENCES + tuple((text.lower(), label) for label, text in PUBLISHED)
 LEAST = 0.7
-DRIFT = 2
+DRIFT, DRIFT_SHARE = 2, 20
 
 HITS = "uid long, doc_id long, n_words long, hits array<struct<pos: long, gram: long>>"
 
@@ -70,6 +73,7 @@ def _grams() -> list[tuple[int, int, int, int, int, int, str]]:
     return rows
 
 
+@slim
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     grams = _grams()
     base = {}
@@ -115,13 +119,14 @@ def scan(documents: DataFrame) -> DataFrame:
     templates = spark.createDataFrame(_grams(), "gram long, template int, place int, k int, words int, grams int, label string")
     found = pick(documents, doc_id="long", text="string").mapInArrow(_scan, HITS)
     each = found.select("uid", "doc_id", "n_words", F.explode_outer("hits").alias("hit")).select("uid", "doc_id", "n_words", F.col("hit.pos").alias("pos"), F.col("hit.gram").alias("gram"))
-    votes = each.join(F.broadcast(templates), "gram", "left")  # a few hundred rows
+    votes = each.join(F.broadcast(templates), "gram", "left")  # a row per place of the templates, some thousands
     doc = ["uid", "doc_id", "n_words"]
     which = ["template", "words", "grams", "label"]
     lines = votes.repartition("uid").groupBy(*doc, *which, (F.col("pos") - F.col("place")).alias("diagonal")).agg(F.count("pos").alias("votes"), F.min("pos").alias("lo"), F.max(F.col("pos") + F.col("k")).alias("hi"))
     at = Window.partitionBy("uid", "template").orderBy("diagonal")
     before = lambda c: F.lag(c).over(at)
-    meets = (F.col("diagonal") - before("diagonal") <= DRIFT) & (F.col("lo") <= before("hi") + F.col("words")) & (before("lo") <= F.col("hi") + F.col("words")) & (F.col("template") >= 0)
+    drift = F.greatest(F.lit(DRIFT), F.ceil(F.col("words") / DRIFT_SHARE))
+    meets = (F.col("diagonal") - before("diagonal") <= drift) & (F.col("lo") <= before("hi") + F.col("words")) & (before("lo") <= F.col("hi") + F.col("words")) & (F.col("template") >= 0)
     spans = lines.withColumn("new", F.when(meets, 0).otherwise(1)).withColumn("span", F.sum("new").over(at))
     spans = spans.groupBy(*doc, *which, "span").agg(F.sum("votes").alias("votes"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     share = F.least(F.col("votes") / F.col("grams"), F.lit(1.0))

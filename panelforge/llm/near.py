@@ -294,7 +294,7 @@ def near(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame
     buckets = banded.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("most"), F.count("*").alias("n"))
     buckets = buckets.filter("pivot < most").drop("most")
     ties = join_hubs(banded, buckets, "band", banded.count()).filter("node <> pivot")
-    groups = scratch.put(components(ties.select(F.col("node").alias("a"), F.col("pivot").alias("b"))).withColumnRenamed("component", "grp"))
+    groups = scratch.put(components(ties.select(F.col("node").alias("a"), F.col("pivot").alias("b")), scratch).withColumnRenamed("component", "grp"))
 
     # blocks: one for a group of at most BLOCK documents with BLOCK_SHINGLES shingles
     placed = groups.join(classes, "node")
@@ -331,7 +331,7 @@ def near(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame
     met = asking.unionByName(others).groupBy("grp", "ask", "block").applyInArrow(_meet(shingle, percent), EDGES)
 
     links = found.filter("a is not null").select("a", "b").unionByName(met.select("a", "b"))
-    labels = components(links).select("node", F.col("component").alias("c"))
+    labels = components(links, scratch).select("node", F.col("component").alias("c"))
     known = classes.join(labels, "node", "left").select("fp1", "fp2", F.coalesce("c", "node").alias("c"))
     has_set = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     out = (

@@ -204,11 +204,11 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 3, rate: f
 
 def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pooled adjacent violators: scores and the calibrated values at them, to be interpolated."""
-    order = np.argsort(score, kind="stable")
+    level, of = np.unique(score, return_inverse=True)
     blocks: list[list[float]] = []  # sum of labels, weight, smallest and largest score
-    for s, v in zip(score[order].tolist(), y[order].tolist(), strict=True):
-        blocks.append([v, 1.0, s, s])
-        while len(blocks) > 1 and (blocks[-2][3] == blocks[-1][2] or blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]):
+    for s, v, n in zip(level.tolist(), np.bincount(of, y, len(level)).tolist(), np.bincount(of, minlength=len(level)).tolist(), strict=True):
+        blocks.append([v, n, s, s])  # rows of one score are together from the start
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
             b = blocks.pop()
             blocks[-1] = [blocks[-1][0] + b[0], blocks[-1][1] + b[1], blocks[-1][2], b[3]]
     xs = np.array([x for b in blocks for x in (b[2], b[3])])

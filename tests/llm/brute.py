@@ -31,11 +31,11 @@ def substrings(docs, size=13):
     return out
 
 
-def near(docs, share=80):
+def near(docs, share=80, size=2):
     sets = []
     for _, t in docs:
         w = SPACE.findall(lower(t))
-        sets.append({tuple(w[i : i + 2]) for i in range(len(w) - 1)} if len(w) > 1 else {tuple(w)} if w else set())
+        sets.append({tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set())
     ids = [d for d, _ in docs]
     label = list(range(len(docs)))
 
