@@ -12,6 +12,7 @@ import ctypes
 import functools
 import gc
 import hashlib
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -213,9 +214,10 @@ class Scratch:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets the driver find out which shuffles no frame refers to any longer: their files are deleted."""
+    """Lets the driver find out which shuffles no frame refers to any longer: their files are deleted, at once or a little later."""
     gc.collect()
     spark._jvm.System.gc()
+    time.sleep(0.5)
 
 
 #: What a worker keeps from task to task, until a task of another kind runs in it.

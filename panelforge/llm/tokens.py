@@ -46,7 +46,7 @@ from panelforge.llm.common import KEPT, SPACE_WORDS, Scratch, Words, give_back,
 END_ID = 1
 CACHE_RUNS = 1 << 20
 SEQUENCE = 512
-SHARD_SLOTS = 1 << 15
+SHARD_SLOTS = 1 << 14
 BLOCK_SLOTS = 1 << 10
 GROUP_BYTES = 1 << 24
 #: Sequences of a row between the jobs.
@@ -402,7 +402,8 @@ def materialise(documents: DataFrame, path: str, key: int = 20240101, tokenizer:
     grp = F.pmod(F.xxhash64("doc_id", "text"), F.lit(-(-size // GROUP_BYTES) or 1)).cast("int")
     dealt = docs.select(grp.alias("grp"), F.xxhash64("text").alias("name"), "doc_id", "text").mapInArrow(_encode(tokenizer or default_path()), "grp int, ids binary")
     sequences = scratch.put(dealt.groupBy("grp").applyInArrow(_cut, SEQUENCES))
-    release(spark)  # the texts' ids have been shuffled for the last time
+    del dealt
+    release(spark)  # the documents' ids have been shuffled for the last time
     counts = sequences.groupBy("grp").agg(F.sum("n").alias("n")).toArrow().sort_by("grp")
     n = int(np.sum(counts.column("n").to_numpy()))
     if n:
