@@ -65,8 +65,8 @@ def row_rule(rule_id: str, frame: str, *needs: str):
         ROWS[rule_id] = (frame, f)
 
         def run(frames: Frames, s: Settings) -> DataFrame:
-            cond, field, observed, message = f(s)
-            return findings(_rows_of(frames, frame).filter(cond), field=field, observed=observed, message=message)
+            # not as a filter, which would be pushed below the projections that compute its parts, and repeat them
+            return _in_one_scan(_rows_of(frames, frame), [(rule_id, "", "", f(s))]).select(*FINDING)
 
         rule(rule_id, *(needs or (frame,)))(run)
         return f

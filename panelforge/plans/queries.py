@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +93,23 @@ def date_parse(spark, sf_dir):
     return x.select("o_orderkey", F.col("p.date").alias("parsed"), "p.rule", "p.confidence", "p.flag")
 
 
+@query("date_parse_odd_cells", """
+with o as (select o_orderkey as k, cast(o_orderdate as date) as d, year(o_orderdate) as y, month(o_orderdate) as m, day(o_orderdate) as dd from orders),
+x as (select *, k % 6 in (2, 3) and dd <= 12 as swap from o),
+r as (select *, case when k % 6 = 3 and swap then make_date(y, dd, m) else d end as day,
+  case k % 6 when 2 then 'mdy_slash_yy' when 3 then case when swap then 'mdy_dash_yy' else 'dmy_dash_yy' end when 4 then 'month_name' when 5 then 'ymd_dot' else 'blank' end as rule from x)
+select k as o_orderkey, rule, case when k % 6 in (0, 1) or year(day) not between 1993 and 1996 then null else day end as parsed,
+  case when k % 6 in (0, 1) or year(day) not between 1993 and 1996 then 0.0 when swap and dd <> m then 0.5 else 1.0 end::double as confidence,
+  case when k % 6 in (0, 1) then 'missing' when year(day) not between 1993 and 1996 then 'out_of_range' when swap and dd <> m then 'ambiguous_dmy' end as flag
+from r""")
+def odd_dates(spark, sf_dir):
+    """Blanks, two-digit years, month names and years outside the window."""
+    d, f, k = F.col("o_orderdate"), F.date_format, F.col("o_orderkey") % 6
+    cell = F.when(k == 0, " ").when(k == 1, "N/A").when(k == 2, f(d, "M/d/yy")).when(k == 3, f(d, "dd-MM-yy")).when(k == 4, f(d, "MMM d, yyyy")).otherwise(f(d, "yyyy.M.d"))
+    x = table(spark, sf_dir, "orders").select("o_orderkey", dates.parse_date(cell, years=(1993, 1996)).alias("p"))
+    return x.select("o_orderkey", F.col("p.date").alias("parsed"), "p.rule", "p.confidence", "p.flag")
+
+
 @query("date_shape_readings", """
 with o as (select o_orderkey as k, cast(o_orderdate as date) as d, year(o_orderdate) as y, month(o_orderdate) as m, day(o_orderdate) as dd from orders),
 x as (select *, k % 8 in (1, 2) and dd <= 12 and dd <> m as swap from o)
@@ -123,18 +141,6 @@ def latest_version(spark, sf_dir):
     return versions.latest(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "ts", "event_type")
 
 
-@query("schema_drift_log", """
-select * from (values ('F0', 'unmapped', 'Remarks', null), ('F0', 'missing_optional', 'grade', 'grade'), ('F0', 'missing_optional', 'height_cm', 'height_cm'), ('F0', 'missing_optional', 'measurement_date', 'measurement_date'),
-  ('F0', 'missing_optional', 'weight_kg', 'weight_kg'), ('F0', 'unmapped', 'Pangalan', null), ('F0', 'missing_optional', 'school_id', 'school_id'),
-  ('F1', 'missing_required', 'birth_date', 'birthday_str'), ('F1', 'missing_required', 'sex', 'sex'), ('F1', 'missing_required', 'student_name', 'student_name_clean'),
-  ('F1', 'missing_viable', 'student_name', 'student_name_clean'), ('F1', 'missing_optional', 'grade', 'grade'), ('F1', 'missing_optional', 'height_cm', 'height_cm'), ('F1', 'missing_optional', 'lrn', 'lrn_clean'),
-  ('F1', 'missing_optional', 'measurement_date', 'measurement_date'), ('F1', 'missing_optional', 'school_id', 'school_id'), ('F1', 'missing_optional', 'weight_kg', 'weight_kg')
-) t(source_file_id, drift_type, column_name_raw, mapped_to)""")
-def schema_drift(spark, sf_dir):
-    heads = spark.createDataFrame([("F0", ["School", "LRN No.", "NAME OF LEARNER", "DOB", "Gender", "Remarks", "Pangalan"]), ("F1", ["Paaralan"])], "source_file_id string, headers array<string>")
-    return drift(heads.withColumn("dataset", F.lit("school_submission"))).select("source_file_id", "drift_type", "column_name_raw", "mapped_to")
-
-
 @query("path_facts", """
 select c_custkey, case c_custkey % 4 when 0 then 'school_submission' when 1 then 'school_masterlist' when 2 then 'enrollment_snapshot' end as dataset,
   case c_custkey % 4 when 0 then 'baseline' when 1 then 'endline' end as period, case c_custkey % 4 when 0 then 'SCH_' || c_custkey when 2 then 'AB_' || lpad(cast(c_custkey as varchar), 8, '0') end as school
@@ -166,6 +172,26 @@ def header_map(spark, sf_dir):
     return mapped(_heads(spark, sf_dir).withColumn("dataset", F.lit("school_submission"))).select("source_file_id", "pos", "header_raw", "field")
 
 
+_LOST = {0: ("student_name", "birth_date", "sex"), 1: ("school_name", "student_name", "sex"), 2: ("birth_date", "sex"), 3: ("student_name", "birth_date", "sex"), 4: ("student_name", "birth_date", "sex")}
+_OPTIONAL = {k: tuple(f for f in ("school_id", "lrn", "grade", "height_cm", "weight_kg", "measurement_date") if (k, f) != (1, "lrn")) for k in range(5)}
+_STRANGE = {0: ("SY", "Total Enrolment"), 1: (), 2: ("Name of School", "Remarks"), 3: ("SY", "ALLOCATED", "Tranches"), 4: ()}
+_CANONICAL = {"student_name": "student_name_clean", "birth_date": "birthday_str", "lrn": "lrn_clean"}
+
+
+def _drift_values() -> str:
+    """What each of the five header lists lacks or has too many, as rows of SQL."""
+    rows = [(k, "unmapped", h, None) for k, heads in _STRANGE.items() for h in heads]
+    rows += [(k, kind, f, _CANONICAL.get(f, f)) for kind, lost in (("missing_required", _LOST), ("missing_optional", _OPTIONAL)) for k, fields in lost.items() for f in fields]
+    rows += [(k, "missing_viable", f, _CANONICAL.get(f, f)) for k, fields in _LOST.items() for f in fields if f in ("school_name", "student_name")]
+    text = lambda x: "null" if x is None else f"'{x}'"
+    return ", ".join(f"({k}, {text(kind)}, {text(name)}, {text(to)})" for k, kind, name, to in rows)
+
+
+@query("schema_drift_log", f"select cast(s_suppkey as varchar) as source_file_id, drift_type, column_name_raw, mapped_to from supplier join (values {_drift_values()}) t(k, drift_type, column_name_raw, mapped_to) on s_suppkey % 5 = k")
+def schema_drift(spark, sf_dir):
+    return drift(_heads(spark, sf_dir).withColumn("dataset", F.lit("school_submission"))).select("source_file_id", "drift_type", "column_name_raw", "mapped_to")
+
+
 @query("hash_skip_incremental", "with h as (select doc_id, sha256(text) as file_hash, doc_id % 7 as source_file_id from documents) select doc_id, file_hash from h where not exists (select 1 from h l where l.doc_id % 2 = 0 and l.source_file_id = h.source_file_id and l.file_hash = h.file_hash)")
 def hash_skip(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("file_hash"), (F.col("doc_id") % 7).alias("source_file_id"))
@@ -349,6 +375,43 @@ def issue_registry(spark, sf_dir):
     return issues(spark, sf_dir).select("rule_id", "severity", "scope", "record_id", "school_id", "period", "source_file_id", "field_name", "observed_value", "resolved_status")
 
 
+@query("issue_ids", _ISSUES + """, n as (select *, row_number() over (partition by rule_id, record_id, source_file_id, school_id, period, field_name order by observed_value) as nth from issues)
+select rule_id, record_id, 'run' as run_id, substr(sha256('run|' || rule_id || '|' || coalesce(record_id, '') || '|' || coalesce(source_file_id, '') || '|' || coalesce(school_id, '') || '|' || coalesce(period, '') || '|' || coalesce(field_name, '') || '|' || nth), 1, 16) as issue_id from n""")
+def issue_ids(spark, sf_dir):
+    return issues(spark, sf_dir).select("rule_id", "record_id", "run_id", "issue_id")
+
+
+_SAYS = {
+    "DQA_RANGE_IMPLAUSIBLE_HEIGHT": ("", "select child_record_id as id, printf('%.1f is outside 80 to 200', height_cm) as message from measurements where height_cm < 80 or height_cm > 200"),
+    "DQA_RANGE_IMPLAUSIBLE_WEIGHT": ("", "select child_record_id as id, printf('%.1f is outside 10 to 100', weight_kg) as message from measurements where weight_kg < 10 or weight_kg > 100"),
+    "DQA_TIMELINESS_LATE_SUBMISSION": (_RULE_SQL["DQA_TIMELINESS_LATE_SUBMISSION"][0], "select source_file_id as id, printf('submitted %d days after the window', n) as message from (select source_file_id, date_diff('day', case when p = 'baseline' then date '2024-09-30' else date '2025-04-30' end, cast(modified_at as date)) as n from late) where n > 14"),
+    "DQA_DATE_AMBIGUOUS_FORMAT": ("", "select child_record_id as id, 'day and month may be swapped' as message from shapes where ambiguous"),
+}
+
+
+@query("finding_messages", CTES + _CELLS + "".join(more for more, _ in _SAYS.values()) + "\n" + "\nunion all\n".join(f"select '{r}' as rule_id, id, message from ({body})" for r, (_, body) in _SAYS.items()))
+def finding_messages(spark, sf_dir):
+    f = frames(spark, sf_dir)
+    each = [rules.REGISTRY[r][0](f, SETTINGS).select(F.lit(r).alias("rule_id"), F.coalesce("record_id", "source_file_id").alias("id"), "message") for r in _SAYS]
+    return reduce(DataFrame.unionByName, each)
+
+
+_AGAIN = ", again as (select *, 0 as copy from child_records union all select *, 1 from child_records where cast(substr(child_record_id, 2) as bigint) % 11 = 0 union all select *, 2 from child_records where cast(substr(child_record_id, 2) as bigint) % 44 = 0)"
+
+
+@query("duplicate_rows_found", CTES + _AGAIN + " select child_record_id || '-' || copy as record_id, source_file_id from again where copy > 0")
+def duplicate_rows(spark, sf_dir):
+    """Rows that stand in their file twice or three times; the later ones are found."""
+    c = load(spark, sf_dir, "child_records")["child_records"]
+    k = F.substring("child_record_id", 2, 20).cast("bigint")
+    copies = F.when(k % 44 == 0, F.array(F.lit(0), F.lit(1), F.lit(2))).when(k % 11 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    c = c.withColumn("copy", F.explode(copies)).withColumn("source_row_number", F.col("source_row_number") + 100_000 * F.col("copy"))
+    c = c.withColumn("child_record_id", F.concat("child_record_id", F.lit("-"), "copy")).drop("copy")
+    # a key of the file, else orders of one customer could be equal rows as well
+    c = c.withColumn("raw_payload_json", F.concat("raw_payload_json", F.substring_index("child_record_id", "-", 1)))
+    return rules.REGISTRY["DQA_DUPLICATE_EXACT_ROW"][0]({"child_records": c}, SETTINGS).select("record_id", "source_file_id")
+
+
 @query("dqa_command_center", _ISSUES + " select coalesce(school_id, 'UNASSIGNED') as school_id, coalesce(period, 'all') as period, rule_id, severity, resolved_status, count(*) as issue_count, count(distinct record_id) as affected_record_count, timestamp '2025-01-01' as last_detected_at from issues group by all")
 def command_center(spark, sf_dir):
     return marts.command_center(issues(spark, sf_dir))
@@ -639,13 +702,8 @@ def pii_conversations(spark, sf_dir):
     return profile.pii_scan(c, "_id", "text").select("row_id.conv_id", "row_id.turn", "numbers", "emails")
 
 
-@query("unpivot_metrics", "select l_orderkey, l_linenumber, l_partkey, l_suppkey, metric, value from (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax from lineitem where l_quantity < 10) unpivot (value for metric in (l_quantity, l_discount, l_tax))")
+@query("unpivot_metrics", "select l_orderkey, l_linenumber, l_partkey, l_suppkey, metric, value from (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax from lineitem) unpivot (value for metric in (l_quantity, l_discount, l_tax))")
 def unpivot(spark, sf_dir):
-    return profile.long_form(table(spark, sf_dir, "lineitem").filter("l_quantity < 10"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], ["l_quantity", "l_discount", "l_tax"])
-
-
-@query("unpivot_metrics_all", "select l_orderkey, l_linenumber, l_partkey, l_suppkey, metric, value from (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax from lineitem) unpivot (value for metric in (l_quantity, l_discount, l_tax))")
-def unpivot_all(spark, sf_dir):
     return profile.long_form(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], ["l_quantity", "l_discount", "l_tax"])
 
 
@@ -672,9 +730,29 @@ def contracts(spark, sf_dir):
     return profile.violations(f["child_records"], "child_records", ("lrn_clean",), ("child_record_id",), {"sex": ("Male",)}, {"source_row_number": (0, 900)}, {"school_id": (f["schools"].filter("treatment_status = 1"), "school_id")})
 
 
-@query("data_dictionary", None)
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+@query("data_dictionary", f"""
+select table_name, column_name, case data_type when 'VARCHAR' then 'string' when 'INTEGER' then 'int' when 'FLOAT[]' then 'array<float>' when 'TIMESTAMP' then 'timestamp_ntz' else lower(data_type) end as data_type, true as is_nullable, ordinal_position::int as ordinal_position
+from information_schema.columns where table_name in {TABLES}""")
 def dictionary(spark, sf_dir):
-    return marts.dictionary({t: table(spark, sf_dir, t) for t in ("region", "nation", "customer", "orders")})
+    return marts.dictionary({t: table(spark, sf_dir, t) for t in TABLES})
+
+
+@query("flow_sums", "select n_name as source, c_mktsegment as target, sum(c_acctbal) as value from customer join nation on c_nationkey = n_nationkey group by all")
+def flow_sums(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 rows
+    return profile.flows(c, "n_name", "c_mktsegment", "c_acctbal")
+
+
+@query("block_sizes", CTES + """, blocks as (
+  select 0 as rule, b.lrn_clean as key, 1 as one from wave_b b join wave_e e on b.lrn_clean = e.lrn_clean
+  union all select 1, b.birthday_str, 1 from wave_b b join wave_e e on b.birthday_str = e.birthday_str)
+select rule, key, count(*) as pairs from blocks group by all""")
+def block_sizes(spark, sf_dir):
+    f = load(spark, sf_dir, "wave_b", "wave_e")
+    return linkage.block_sizes(f["wave_b"], f["wave_e"], (("lrn_clean",), ("birthday_str",)))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ def rows(spark, name, *tables, sf_dir=SF_DIR):
 
 
 def test_all_of_lineitem_is_melted(spark):
-    got, expected = rows(spark, "unpivot_metrics_all", "lineitem")
+    got, expected = rows(spark, "unpivot_metrics", "lineitem")
     assert got == expected
     assert got.total() == 3 * spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
 
