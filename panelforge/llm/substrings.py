@@ -7,7 +7,8 @@ with a smaller doc_id. Windows are judged on the input.
 some k < 7 has (i + k) % 7 and (j + k) % 7 both in the cover. So two equal
 windows of 13 words share an anchor, 7 words at a cover position, that begins
 at the same k in both. Only anchors are hashed and compared first (3 of 7
-positions); where an anchor occurs in another document, the match is extended:
+positions), to so many bits that about one in 2**SPARE_BITS meets another one by
+chance, which costs work only; where an anchor occurs in another document, the match is extended:
 the windows around it are compared by 96 bits from two independent word hashes.
 
 Documents are dealt to segments of about SEGMENT_BYTES by a hash of their
@@ -44,6 +45,7 @@ PERIOD = 7
 ANCHOR = 7
 COVER = (1, 2, 4)
 SEGMENT_BYTES = 1 << 21
+SPARE_BITS = 8
 
 _U = np.uint64
 
@@ -107,13 +109,22 @@ def _unique(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys[first], np.minimum.reduceat(ids, first), np.maximum.reduceat(ids, first)
 
 
-def _send_anchors(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-    """Each anchor of the segment once, and whether two of its documents have it."""
-    s = Segment(t)
-    at, keys = s.anchors()
-    keys, low, high = _unique(keys, s.ids[s.words.owner[at]])
-    give_back()
-    return pa.table({"key": pa.array(keys.view(np.int64)), "seg": pa.array(np.full(len(keys), key[0].as_py(), np.int32)), "local": pa.array(low < high)})
+def _bits(text_bytes: int) -> int:
+    """Bits of an anchor's hash for so much text, which has an anchor in 14 / 3 bytes at most."""
+    return min(64, (text_bytes * 3 // 14).bit_length() + SPARE_BITS)
+
+
+def _send_anchors(bits: int):
+    """Each anchor of a segment once, and whether two of its documents have it."""
+
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        s = Segment(t)
+        at, keys = s.anchors()
+        keys, low, high = _unique(keys >> _U(64 - bits), s.ids[s.words.owner[at]])
+        give_back()
+        return pa.table({"key": pa.array(keys.view(np.int64)), "seg": pa.array(np.full(len(keys), key[0].as_py(), np.int32)), "local": pa.array(low < high)})
+
+    return run
 
 
 def _told(answers: pa.Table) -> tuple[np.ndarray, np.ndarray | None]:
@@ -137,26 +148,31 @@ def _among_both(keys: np.ndarray, more: np.ndarray, known: np.ndarray, known_mor
     return out
 
 
-def _send_windows(key: tuple[pa.Scalar, ...], t: pa.Table, answers: pa.Table) -> pa.Table:
+def _send_windows(bits: int):
     """Extends the shared anchors: each window over one, once, with its smallest document."""
-    if not t.num_rows or not answers.num_rows:
-        return _empty(WINDOWS)
-    s = Segment(t)
-    at, keys = s.anchors()
-    hit = at[_among(keys, _told(answers)[0])]
-    near = np.zeros(len(s.words) + 1, dtype=bool)
-    for k in range(PERIOD):
-        near[np.maximum(hit - k, 0)] = True
-    at, keys, more = s.windows()
-    keep = near[at]
-    keys, more, ids = keys[keep], more[keep], s.ids[s.words.owner[at[keep]]]
-    order = np.lexsort((ids, more, keys))
-    keys, more, ids = keys[order], more[order], ids[order]
-    first = _firsts(keys, more)
-    keys, more, ids = keys[first], more[first], ids[first]
-    give_back()
-    seg = np.full(len(keys), t.column("seg")[0].as_py(), np.int32)
-    return pa.table({"key": pa.array(keys.view(np.int64)), "more": pa.array(more.view(np.int32)), "seg": pa.array(seg), "id": pa.array(ids)})
+
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table, answers: pa.Table) -> pa.Table:
+        if not t.num_rows or not answers.num_rows:
+            return _empty(WINDOWS)
+        s = Segment(t)
+        at, keys = s.anchors()
+        hit = at[_among(keys >> _U(64 - bits), _told(answers)[0])]
+        near = np.zeros(len(s.words) + 1, dtype=bool)
+        for k in range(PERIOD):
+            near[np.maximum(hit - k, 0)] = True
+        at, keys, more = s.windows()
+        keep = near[at]
+        keys, more, ids = keys[keep], more[keep], s.ids[s.words.owner[at[keep]]]
+        order = np.lexsort((ids, more, keys))
+        keys, more, ids = keys[order], more[order], ids[order]
+        first = _firsts(keys, more)
+        order = np.flatnonzero(first)[np.argsort(ids[first], kind="stable")]  # runs of one document, which compress
+        keys, more, ids = keys[order], more[order], ids[order]
+        give_back()
+        seg = np.full(len(keys), t.column("seg")[0].as_py(), np.int32)
+        return pa.table({"key": pa.array(keys.view(np.int64)), "more": pa.array(more.view(np.int32)), "seg": pa.array(seg), "id": pa.array(ids)})
+
+    return run
 
 
 def _firsts(keys: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -226,11 +242,12 @@ def deduplicate(documents: DataFrame, digest: bool = False, carry: tuple[str, ..
     dealt = docs.withColumn("seg", F.pmod(F.xxhash64("doc_id", "text", place), F.lit(segments)).cast("int"))
     dealt = dealt.mapInArrow(_compress, _schema("seg int, doc_id long, packed binary", kinds))
     whole = dealt.groupBy("seg")
-    anchors = whole.applyInArrow(_send_anchors, ANCHORS)
+    bits = _bits(total["b"] or 0)
+    anchors = whole.applyInArrow(_send_anchors(bits), ANCHORS)
     of_key = Window.partitionBy("key")
     shared = anchors.withColumn("others", F.min("seg").over(of_key) < F.max("seg").over(of_key))
     shared = shared.filter("others or local")
-    windows = whole.cogroup(shared.select("key", "seg").groupBy("seg")).applyInArrow(_send_windows, WINDOWS)
+    windows = whole.cogroup(shared.select("key", "seg").groupBy("seg")).applyInArrow(_send_windows(bits), WINDOWS)
     earlier = windows.withColumn("least", F.min("id").over(Window.partitionBy("key", "more"))).filter("least < id")
     removed = whole.cogroup(earlier.select("key", "more", "seg").groupBy("seg"))
     out = removed.applyInArrow(_remove(digest, list(columns)), _schema(RESULT, kinds))

@@ -92,10 +92,20 @@ def test_rows_that_travel_grow_with_the_input(spark):
     for size in (50, 200):
         docs = spark.createDataFrame([(i, " ".join(words_of(rng, 100))) for i in range(size)], "doc_id long, text string")
         data = docs.select(F.lit(0).alias("seg"), "doc_id", "text").mapInArrow(substrings._compress, "seg int, doc_id long, packed binary")
-        n[size] = data.withColumn("seg", (F.col("doc_id") % (size // 5)).cast("int")).groupBy("seg").applyInArrow(substrings._send_anchors, substrings.ANCHORS).count()
+        n[size] = data.withColumn("seg", (F.col("doc_id") % (size // 5)).cast("int")).groupBy("seg").applyInArrow(substrings._send_anchors(64), substrings.ANCHORS).count()
     assert n[200] == pytest.approx(4 * n[50], rel=0.02)
 
 
+def test_short_anchors_cost_work_only(spark, monkeypatch):
+    rng = random.Random(7)
+    passage = words_of(rng, 40)
+    rows = [(i, " ".join([*words_of(rng, 60), *passage[: rng.randint(5, 40)], *words_of(rng, 10)])) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for spare in (-6, 8):  # most anchors meet by chance, or hardly any
+        monkeypatch.setattr(substrings, "SPARE_BITS", spare)
+        assert sorted(map(tuple, substrings.deduplicate(docs, digest=True).collect())) == sorted(brute.substrings(rows))
+
+
 # Decontamination
 
 
