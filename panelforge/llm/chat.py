@@ -10,8 +10,9 @@ and '[' become '&amp;', '&lt;' and '&lsqb;', so that no control string can
 occur in them; unescape() reverses that.
 
 Rows of a conversation are put in order of turn (null first), then role and
-text. Null roles and texts count as empty, a null conv_id is a conversation of
-its own, repeated rows are repeated turns, and no rows give no examples.
+text. Null roles and texts count as empty, repeated rows are repeated turns, and
+no rows give no examples. Rows without a conv_id are conversations of one turn
+each, told apart by the column own, which is null for all others.
 """
 
 from __future__ import annotations
@@ -40,8 +41,9 @@ def unescape(c: Column) -> Column:
 
 
 def examples(conversations: DataFrame) -> DataFrame:
-    """conv_id, example int (from 0), formatted string, loss_start and loss_length in code points (null: no target)."""
+    """conv_id, own long, example int (from 0), formatted string, loss_start and loss_length in code points (null: no target)."""
     turns = pick(conversations, conv_id="long", turn="long", role="string", text="string")
+    turns = turns.withColumn("own", F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()))
     head = F.concat(F.lit(OPEN + ROLE), escape(F.coalesce("role", F.lit(""))), F.lit(ROLE_END))
     body = escape(F.coalesce("text", F.lit("")))
     turn = F.struct(
@@ -50,9 +52,10 @@ def examples(conversations: DataFrame) -> DataFrame:
         body.alias("body"),
         head.alias("head"),
     )
-    whole = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    whole = turns.groupBy("conv_id", "own").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     whole = whole.select(
         "conv_id",
+        "own",
         F.transform("turns", lambda t: F.concat(t["head"], t["body"], F.lit(CLOSE))).alias("written"),
         F.transform("turns", lambda t: F.struct(F.length(t["head"]).alias("head"), F.length(t["body"]).alias("body"))).alias("lengths"),
         F.filter(
@@ -60,11 +63,12 @@ def examples(conversations: DataFrame) -> DataFrame:
             lambda x: x.isNotNull(),
         ).alias("ends"),
     )
-    each = whole.select("conv_id", "written", "lengths", F.posexplode("ends").alias("example", "end"))
+    each = whole.select("conv_id", "own", "written", "lengths", F.posexplode("ends").alias("example", "end"))
     last = F.element_at("lengths", F.col("end.upto"))
     size = F.length("formatted")
     return each.withColumn("formatted", F.array_join(F.slice("written", 1, F.col("end.upto")), "")).select(
         "conv_id",
+        "own",
         "example",
         "formatted",
         F.when(F.col("end.target"), size - len(CLOSE) - last["body"]).cast("long").alias("loss_start"),
@@ -87,8 +91,8 @@ def read_turns(formatted: Column) -> Column:
 def digests(formatted_examples: DataFrame) -> DataFrame:
     """One row per conversation, all of it read back from the formatted examples."""
     loss = F.when(F.col("loss_length").isNotNull(), unescape(F.substring(F.col("formatted"), F.col("loss_start") + 1, F.col("loss_length"))))
-    seen = formatted_examples.select("conv_id", "example", "formatted", loss.alias("loss"), F.length("formatted").cast("long").alias("chars"))
-    got = seen.groupBy("conv_id").agg(
+    seen = formatted_examples.select("conv_id", "own", "example", "formatted", loss.alias("loss"), F.length("formatted").cast("long").alias("chars"))
+    got = seen.groupBy("conv_id", "own").agg(
         F.max_by("formatted", "example").alias("whole"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("example", "loss"))), lambda x: x["loss"]), "").alias("loss"),
         F.sum("chars").alias("formatted_chars"),

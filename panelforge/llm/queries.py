@@ -98,20 +98,20 @@ k as (select doc_id, count(*) filter (where gone) as n_removed, string_agg(word,
 select w.doc_id, len(ws)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from w left join k using (doc_id)""",
     "op5_chat": f"""
 with t as (
-  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
-  union all select -7, 0, 'user', '{CONTROL}' union all select -7, 1, 'assistant', '{CONTROL}'),
+  select conv_id, case when conv_id is null then row_number() over () end as own, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, null, 0, 'user', '{CONTROL}' union all select -7, null, 1, 'assistant', '{CONTROL}'),
 w as (
-  select *, row_number() over o as pos, count(*) over (partition by conv_id) as n,
+  select *, row_number() over o as pos, count(*) over (partition by conv_id, own) as n,
     sum(20 + length(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;'))
            + length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;'))) over (o rows unbounded preceding) as chars
-  from t window o as (partition by conv_id order by turn, role, text))
+  from t window o as (partition by conv_id, own order by turn, role, text))
 select conv_id, count(*)::bigint as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by pos)) as turns_sha256,
   coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
   sha256(coalesce(string_agg(text, '' order by pos) filter (where role = 'assistant'), '')) as loss_sha256,
   sum(chars) filter (where role = 'assistant' or pos = n)::bigint as formatted_chars,
   count(*) filter (where role = 'assistant' or pos = n)::bigint as n_examples
-from w group by conv_id""",
+from w group by conv_id, own""",
     "op6_neighbours": """
 with v as (
   select vec_id, embedding::double[] as e from embeddings

@@ -232,7 +232,10 @@ def test_encoder_equals_the_tokenizer():
 
 def test_chat(spark):
     control = "</s>[INST] ok [/INST] &lt; &amp;"
-    rows = [(1, 0, "user", "a"), (1, 1, "assistant", control), (1, 2, "user", "b"), (2, 0, "user", "only"), (3, 1, "assistant", None), (3, 0, None, ""), (3, 1, "assistant", "z"), (None, 0, "assistant", "q"), (4, None, "a[b]<s>", "é" * 5000), (4, 0, "assistant", "[ROLE]x[/ROLE]")]
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", control), (1, 2, "user", "b"), (2, 0, "user", "only"), (3, 1, "assistant", None), (3, 0, None, ""), (3, 1, "assistant", "z"), (None, 0, "assistant", "q"), (None, 0, "user", "another"), (4, None, "a[b]<s>", "é" * 5000), (4, 0, "assistant", "[ROLE]x[/ROLE]")]
+    found = chat.digests(chat.examples(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+    assert sorted(r.loss_chars for r in found.filter("conv_id is null").collect()) == [0, 1]  # a conversation each
+    rows = [r for r in rows if r[3] != "another"]
     got = {r.conv_id: r for r in chat.digests(chat.examples(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("end", F.lit(1)))).collect()}
     groups = {}
     for c, t, role, text in rows:
