@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from panelforge.config import Settings, load_settings, unmapped_defects
+from panelforge.config import Settings, ambiguous_headers, load_settings, unmapped_defects
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -32,8 +32,10 @@ def main(argv: list[str] | None = None) -> int:
         check_policy(settings.rules)
         linkage.check_settings(settings)
         bad = unmapped_defects(settings.rules)
+        twice = ambiguous_headers(settings.datasets())
         print("defects without one rule:", bad or "none")
-        return int(bool(bad))
+        print("headers that two fields claim:", twice or "none")
+        return int(bool(bad or twice))
     spark = session.build()
     if a.step == "generate-demo-data":
         synth.generate(spark, a.raw, a.truth, a.profile, a.seed)

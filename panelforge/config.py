@@ -225,6 +225,18 @@ def load_settings(path: str) -> Settings:
 FORBIDDEN = ("student_name_clean", "child_name_raw", "true_name", "true_lrn", "lrn_clean", "raw_payload_json")
 
 
+def ambiguous_headers(datasets: tuple[Dataset, ...] = DATASETS) -> list[str]:
+    """Headers that two fields of a dataset claim, after folding; the first field would get them."""
+    out = []
+    for d in datasets:
+        claims: dict[str, set[str]] = {}
+        for name, (canonical, known) in d.fields.items():
+            for h in (*known, name, canonical):
+                claims.setdefault(fold_header_text(h), set()).add(name)
+        out += [f"{d.name}: {h!r} for {sorted(names)}" for h, names in sorted(claims.items()) if len(names) > 1]
+    return out
+
+
 def unmapped_defects(rules=RULES) -> list[str]:
     """Defects that more than one rule claims."""
     seen: dict[str, int] = {}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelforge.config import Settings
 from panelforge.operators import contracts, linkage, marts, resolver, rules, scorecards
-from panelforge.plans import ingest
+from panelforge.plans import catalog, ingest
 
 MARTS = ("evaluation_child_panel", "school_monitoring_mart", "dqa_command_center", "linkage_review_mart", "program_exposure_mart", "public_dashboard_metrics")
 
@@ -37,7 +37,7 @@ def build_silver(spark: SparkSession, lake: str, settings: Settings | None = Non
 
 
 def run_dqa(spark: SparkSession, lake: str, settings: Settings | None = None, run_id: str = "run") -> DataFrame:
-    frames = {n: read(spark, lake, n) for n in ("schools", "child_records", "measurements", "allocations", "schema_drift")}
+    frames = catalog.load(spark, lake, ("child_records",), ("schools", "measurements", "allocations", "schema_drift"))
     frames["file_manifest"] = ingest.manifest(spark, lake)
     return save(rules.evaluate(frames, settings, run_id), lake, "dqa_issues")
 

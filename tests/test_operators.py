@@ -287,3 +287,29 @@ def test_flows_totals_and_blocks(spark):
     assert tuple(scorecards.rule_totals(card).collect()[0]) == (2, 1, 4, 3, 1, 3, 0.75, 0.5)
     b = spark.createDataFrame([(f"b{i}", "2015-01-01") for i in range(3)] + [("b9", None)], "child_record_id string, birthday_str string")
     assert [tuple(r) for r in linkage.block_sizes(b, b, (("birthday_str",),)).collect()] == [(0, "2015-01-01", 9)]
+
+
+def test_tables_as_folders_and_as_files(spark, tmp_path):
+    from panelforge.plans import catalog
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    spark.createDataFrame([(1, "a")], "x int, y string").write.parquet(f"{tmp_path}/one")
+    spark.createDataFrame([(2, "b")], "x int, y string").write.partitionBy("y").parquet(f"{tmp_path}/bronze_two")
+    for name in ("one", "three"):
+        pq.write_table(pa.table({"x": pa.array([3], pa.int32())}), tmp_path / f"{name}.parquet")
+    found = catalog.load(spark, str(tmp_path), ("one", "two"), ("three", "four"))
+    assert set(found) == {"one", "two", "three"}
+    assert sorted((r.x, r.y) for r in found["one"].collect()) == [(1, "a"), (3, None)]
+    assert [tuple(r) for r in found["two"].collect()] == [(2, "b")]
+    with pytest.raises(FileNotFoundError, match="four"):
+        catalog.load(spark, str(tmp_path), ("one", "four"))
+
+
+def test_policy_is_sound():
+    from panelforge import config
+
+    assert not config.unmapped_defects() and not config.ambiguous_headers()
+    twice = config.Settings(headers={"school_submission": {"sex": ["DOB"]}}).datasets()
+    assert config.ambiguous_headers(twice) == ["school_submission: 'dob' for ['birth_date', 'sex']"]
