@@ -8,11 +8,10 @@ its own), so a worker's memory does not depend on the batch size.
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
-import gc
 import hashlib
-import time
 import uuid
 from collections.abc import Iterator
 
@@ -190,11 +189,27 @@ def until_exit(path: str, spark: SparkSession) -> str:
     return path
 
 
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark deletes a query's shuffle files when it ends, not when the driver happens to collect its garbage.
+
+    For queries whose result is a table: nothing reads the shuffles again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, path: str | None = None) -> DataFrame:
     """The rows as a table in the shared folder: it cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = path or shared_dir(spark)
-    df.write.option("compression", "zstd").parquet(path)
+    with freed_shuffles(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(until_exit(path, spark))
 
 
@@ -213,13 +228,6 @@ class Scratch:
             dropped(self.paths.pop(), self.spark)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets the driver find out which shuffles no frame refers to any longer: their files are deleted, at once or a little later."""
-    gc.collect()
-    spark._jvm.System.gc()
-    time.sleep(0.5)
-
-
 #: What a worker keeps from task to task, until a task of another kind runs in it.
 KEPT: dict[str, object] = {}
 

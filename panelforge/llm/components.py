@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import Scratch, dropped, shared_dir, until_exit
+from panelforge.llm.common import Scratch, dropped, freed_shuffles, shared_dir, until_exit
 
 #: Keys that can have over one in so many of all rows: no more than that, so they fit a broadcast.
 HUBS = 4096
@@ -43,7 +43,8 @@ def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
 
     def put(df: DataFrame) -> tuple[DataFrame, str]:
         path = shared_dir(spark)
-        df.write.parquet(path)
+        with freed_shuffles(spark):
+            df.write.parquet(path)
         return spark.read.schema("u long, v long").parquet(until_exit(path, spark)), path
 
     now, path = put(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())

@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import KEPT, SPACE_WORDS, Scratch, Words, give_back, mix64, pick, release, slices, slim, small_batches, span_hashes
+from panelforge.llm.common import KEPT, SPACE_WORDS, Scratch, Words, freed_shuffles, give_back, mix64, pick, slices, slim, small_batches, span_hashes
 
 END_ID = 1
 CACHE_RUNS = 1 << 20
@@ -402,8 +402,6 @@ def materialise(documents: DataFrame, path: str, key: int = 20240101, tokenizer:
     grp = F.pmod(F.xxhash64("doc_id", "text"), F.lit(-(-size // GROUP_BYTES) or 1)).cast("int")
     dealt = docs.select(grp.alias("grp"), F.xxhash64("text").alias("name"), "doc_id", "text").mapInArrow(_encode(tokenizer or default_path()), "grp int, ids binary")
     sequences = scratch.put(dealt.groupBy("grp").applyInArrow(_cut, SEQUENCES))
-    del dealt
-    release(spark)  # the documents' ids have been shuffled for the last time
     counts = sequences.groupBy("grp").agg(F.sum("n").alias("n")).toArrow().sort_by("grp")
     n = int(np.sum(counts.column("n").to_numpy()))
     if n:
@@ -413,7 +411,8 @@ def materialise(documents: DataFrame, path: str, key: int = 20240101, tokenizer:
         slots = numbered.mapInArrow(_to_slots(n, key, shard_slots), "shard int, block long, records binary")
         shards = slots.repartitionById(-(-n // shard_slots), F.col("shard")).sortWithinPartitions("block")
         rows = shards.select("block", "records").mapInArrow(_in_order, "value binary")
-        rows.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
+        with freed_shuffles(spark):
+            rows.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
     scratch.clear()
     return n
 

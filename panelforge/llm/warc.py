@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import Scratch, give_back, pick, slim, small_batches, written
+from panelforge.llm.common import Scratch, freed_shuffles, give_back, pick, slim, small_batches, written
 
 MAGIC = b"WARC/1.1\r\n"
 LEAST_BYTES = 100
@@ -118,7 +118,8 @@ def write(pages: DataFrame, path: str) -> None:
     """Archives in path, one record per row of pages. Files follow the partitions of the join, which AQE keeps even."""
     small_batches(pages.sparkSession)
     rows = plan_records(pages).mapInArrow(_members, "value binary")
-    rows.select(F.col("value").cast("string").alias("value")).write.options(**_TEXT).text(path)
+    with freed_shuffles(pages.sparkSession):
+        rows.select(F.col("value").cast("string").alias("value")).write.options(**_TEXT).text(path)
 
 
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
