@@ -303,7 +303,7 @@ SEQUENCES = "grp int, place long, n int, records binary"
 
 def _cut(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
     """A group's documents, in order, to its sequences: ROW_SEQUENCES records a row."""
-    pack, unpack = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+    pack, unpack = zstandard.ZstdCompressor(level=6), zstandard.ZstdDecompressor()
     heads, ids = [], []
     for x in t.column("ids").to_pylist():
         x = unpack.decompress(x)
