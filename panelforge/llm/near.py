@@ -257,6 +257,7 @@ def _solve(shingle: int, percent: int):
         edges: list[tuple[int, int]] = []
         for part in np.split(order, np.flatnonzero(np.diff(grp[order])) + 1):
             edges += g.join(part, part, percent)
+        give_back()
         if not pivot.any():  # whole groups are here
             return _rows(g, edges, np.zeros(0, np.int64))
         first = g.root(int(np.flatnonzero(pivot)[np.argmin(g.ids[pivot])]))
@@ -273,7 +274,9 @@ def _meet(shingle: int, percent: int):
         t = t.sort_by([("node", "ascending"), ("asks", "descending")])
         g = Group(t, shingle)
         asks = t.column("asks").to_numpy(zero_copy_only=False)[g.at].astype(bool)
-        return _rows(g, g.join(np.flatnonzero(asks), np.arange(len(g.ids)), percent), np.zeros(0, np.int64))
+        edges = g.join(np.flatnonzero(asks), np.arange(len(g.ids)), percent)
+        give_back()
+        return _rows(g, edges, np.zeros(0, np.int64))
 
     return run
 

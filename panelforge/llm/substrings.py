@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from panelforge.llm.common import SPACE_WORDS, Words, buffers, fresh, give_back, mix64, pick, slim, small_batches
+from panelforge.llm.common import SPACE_WORDS, Words, buffers, fresh, give_back, slim, small_batches
 
 WINDOW = 13
 PERIOD = 7
