@@ -35,8 +35,8 @@ from panelforge.llm.common import mix64, slim, small_batches
 
 #: Bytes of vectors in a block of queries and of candidates, and in a candidates' column of the grid.
 QUERY_BYTES, CANDIDATE_BYTES, GROUP_BYTES = 8 << 20, 1 << 20, 8 << 20
-#: Queries of a tile that are compared at once.
-ROWS = 256
+#: Queries of a tile that are compared at once, and whose best candidates a task holds.
+ROWS, HELD_QUERIES = 256, 1 << 16
 #: int8 products of so many components are exact as sums of 32-bit floats: 1024 * 127**2 < 2**24.
 EXACT_PRODUCTS = 1024
 BLOCK = "g int, dim int, ids binary, counts binary, rows binary"
@@ -166,16 +166,32 @@ def _ranked(qi: np.ndarray, what: np.ndarray, score: np.ndarray, ids: np.ndarray
 
 
 def _tiles(kind: type, k: int):
+    """Tiles to the best k of each query over all tiles that the task sees, of at most HELD_QUERIES queries at a time."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}  # by the ids of a block of queries
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for key, (qi, ids, score) in held.items():
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(key, np.int64)[qi]), pa.array(ids), pa.array(score)], names=["query_id", "vec_id", "score"])
+            held.clear()
+
         for b in batches:
             for at in range(b.num_rows):
                 value = lambda c: b.column(c)[at].as_buffer()  # noqa: E731,B023
                 dim = b.column("dim")[at].as_py()
                 block = Candidates(np.frombuffer(value("ids"), np.int64), np.frombuffer(value("counts"), np.int64), np.frombuffer(value("rows"), kind).reshape(-1, dim))
-                q_ids, q = np.frombuffer(value("q_ids"), np.int64), np.frombuffer(value("q_rows"), kind).reshape(-1, dim)
+                key = value("q_ids").to_pybytes()
+                q_ids, q = np.frombuffer(key, np.int64), np.frombuffer(value("q_rows"), kind).reshape(-1, dim)
+                if key not in held and 8 * HELD_QUERIES < len(key) + sum(map(len, held)):
+                    yield from out()
+                parts = [held[key]] if key in held else []
                 for lo in range(0, len(q_ids), ROWS):  # the tile's matrices stay small
                     qi, ids, score = block.best(q_ids[lo : lo + ROWS], q[lo : lo + ROWS].astype(np.float64), k)
-                    yield pa.RecordBatch.from_arrays([pa.array(q_ids[lo : lo + ROWS][qi]), pa.array(ids), pa.array(score)], names=["query_id", "vec_id", "score"])
+                    parts.append((lo + qi, ids, score))
+                qi, ids, score = (np.concatenate(x) for x in zip(*parts, strict=True))
+                held[key] = _ranked(qi, ids, score, ids, k)
+        yield from out()
 
     return slim(run)
 
