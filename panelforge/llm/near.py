@@ -18,11 +18,14 @@ around it as sharply as for independent places.
    AGREE places (six standard deviations below 0.8) are no link; other pairs,
    most alike first, are compared exactly on the full sets unless they are
    connected already. Groups of more than BLOCK documents are cut into blocks
-   that are solved alone together with PIVOTS documents of the group; what isn't
-   tied to the block's first pivot then is the query set that meets all other
-   blocks. A pair is compared by hashes of its shingles first, and becomes a link
-   if the shingles' words themselves confirm it. Pairs are never emitted, only
-   the edges of a forest.
+   that are solved alone together with PIVOTS documents of the group. What isn't
+   tied to the block's first pivot then asks the whole group, by rare shingles:
+   with a group's shingles in order of their number in it, linked sets share one
+   of their first size - ceil(0.8 size) + 1. Lines that many texts have are late
+   in that order, so texts that share no more than such lines don't meet. A pair
+   is compared by hashes of its shingles first, and becomes a link if the
+   shingles' words themselves confirm it. Only these last pairs are emitted;
+   else it is the edges of a forest.
 4. Components of these edges, spread over the classes.
 
 Null and empty texts, and texts without words, have an empty set and are linked
@@ -38,8 +41,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import SPACE_WORDS, Scratch, Words, buffers, fresh, give_back, mix64, pick, slices, slim, small_batches, written
@@ -163,7 +167,7 @@ def _shingles(text: bytes, size: int) -> set[bytes]:
 class Group:
     """Documents of one group: their sets and sketches. Rows of the same number with another set are left out."""
 
-    def __init__(self, t: pa.Table, shingle: int):
+    def __init__(self, t: pa.Table, shingle: int, sketched: bool = True):
         unpack = zstandard.ZstdDecompressor()
         self.packed, self.shingle = t.column("packed").to_pylist(), shingle
         ids, prints = t.column("node").to_numpy(), t.column("fp1").to_numpy()
@@ -177,7 +181,8 @@ class Group:
             hi = lo + len(texts)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
             s = Sets(np.frombuffer(b"".join(texts), np.uint8), offsets, shingle)
-            one, sk = s.prints()[0], s.sketches()
+            one = s.prints()[0]
+            sk = s.sketches() if sketched else np.zeros((hi - lo, 0), np.uint64)
             for i in range(hi - lo):
                 if one[i] == prints[lo + i] and ids[lo + i] not in seen:
                     seen.add(ids[lo + i])
@@ -267,14 +272,58 @@ def _solve(shingle: int, percent: int):
     return run
 
 
-def _meet(shingle: int, percent: int):
-    """Loose documents of a group with a block of the others."""
+KEYS = "key long, node long, size long, asks boolean"
+
+
+def _keys(shingle: int):
+    """A row per distinct shingle of each document of a large group; keys of different groups don't meet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        for b in batches:
+            prints, grp = b.column("fp1").to_numpy(), b.column("grp").to_numpy().astype(np.uint64)
+            node, asks = b.column("node").to_numpy(), b.column("asks").to_numpy(zero_copy_only=False).astype(bool)
+            texts = pa.array([unpack.decompress(x) for x in b.column("packed").to_pylist()], pa.binary())
+            for lo, _, data, offsets in slices(texts, 1 << 19):
+                s = Sets(data, offsets, shingle)
+                own = s.prints()[0] == prints[lo : lo + len(s.counts)]  # rows of the same number with another set are left out
+                at = s.owner[own[s.owner]] + lo
+                keys = mix64(s.keys[own[s.owner]] ^ mix64(grp[at])).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(node[at]), pa.array(s.counts[at - lo].astype(np.int64)), pa.array(asks[at])], names=["key", "node", "size", "asks"])
+
+    return slim(run)
+
+
+def _rare(keys: DataFrame, percent: int) -> DataFrame:
+    """a, b, size: pairs of a document that asks and another one that may be linked, by shingles that are rare in their group.
+
+    A pair goes on if what it can still share after a common shingle is enough.
+    """
+    counts = keys.groupBy("key").agg(F.count("*").alias("n")).withColumn("often", F.col("n"))
+    # repeated rows of a document have one place
+    place = F.dense_rank().over(Window.partitionBy("node").orderBy("often", "key"))
+    first = join_hubs(keys, counts, "key", keys.count()).withColumn("place", place)
+    first = first.filter(F.col("place") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1).drop("often")
+    a, b = (first.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "size", "asks", "place")]) for x in "ab")
+    shared = F.least("a_place", "b_place") + F.least(F.expr("a_size - a_place"), F.expr("b_size - b_place"))
+    enough = 100 * shared >= percent * (F.col("a_size") + F.col("b_size") - shared)
+    once = F.when(F.col("b_asks"), F.col("a_node") < F.col("b_node")).otherwise(F.col("a_node") != F.col("b_node"))
+    return a.filter("a_asks").join(b, "key").filter(once & enough).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), F.col("b_size").alias("size")).distinct()
+
+
+def _ask(shingle: int, percent: int):
+    """Documents, each with the one that asks for it, or with none if it asks itself."""
 
     def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        t = t.sort_by([("node", "ascending"), ("asks", "descending")])
-        g = Group(t, shingle)
-        asks = t.column("asks").to_numpy(zero_copy_only=False)[g.at].astype(bool)
-        edges = g.join(np.flatnonzero(asks), np.arange(len(g.ids)), percent)
+        asked = t.select(["node", "asker"]).filter(pc.is_valid(t.column("asker"))).sort_by([("asker", "ascending"), ("node", "ascending")])
+        g = Group(t, shingle, sketched=False)
+        at = {x: i for i, x in enumerate(g.ids.tolist())}
+        edges = []
+        for x, y in zip(asked.column("asker").to_pylist(), asked.column("node").to_pylist(), strict=True):
+            i, j = at.get(x), at.get(y)
+            if i is not None and j is not None and (ri := g.root(i)) != (rj := g.root(j)) and g.linked(i, j, percent):
+                g.parent[max(ri, rj)] = min(ri, rj)
+                edges.append((i, j))
         give_back()
         return _rows(g, edges, np.zeros(0, np.int64))
 
@@ -324,14 +373,16 @@ def near(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame
     both = both.withColumn("k2", F.when(small, F.lit(-1)).otherwise(F.col("block"))).drop("blocks", "block")
     found = scratch.put(both.groupBy("k1", "k2").applyInArrow(_solve(shingle, percent), EDGES))
 
-    # what no pivot ties meets every other block of its group
-    loose = found.filter("loose is not null").select(F.col("loose").alias("node")).distinct()
-    asking = many.join(loose, "node")
-    asked = asking.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("askers"))
-    ask = F.pmod(F.xxhash64("node", F.lit(5)), F.col("askers")).cast("int")
-    asking = asking.join(asked, "grp").select("node", "grp", "fp1", "packed", ask.alias("ask"), every("blocks").alias("block")).withColumn("asks", F.lit(True))
-    others = many.join(asked, "grp").select("node", "grp", "fp1", "packed", every("askers").alias("ask"), "block").withColumn("asks", F.lit(False))
-    met = asking.unionByName(others).groupBy("grp", "ask", "block").applyInArrow(_meet(shingle, percent), EDGES)
+    # what no pivot ties asks its group
+    loose = found.filter("loose is not null").select(F.col("loose").alias("node")).distinct().withColumn("asks", F.lit(True))
+    here = many.select("node", "grp", "fp1", "packed").join(loose, "node", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
+    here = here.join(many.join(loose, "node").select("grp").distinct(), "grp")
+    pairs = scratch.put(_rare(scratch.put(here.select("node", "grp", "fp1", "packed", "asks").mapInArrow(_keys(shingle), KEYS)), percent))
+    total = pairs.agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()[0]
+    bins = max(1, -(-total["n"] // BLOCK), -(-(total["size"] or 0) // BIN_SHINGLES))
+    askers = pairs.select(F.col("a").alias("node"), F.lit(None).cast("long").alias("asker")).distinct()
+    both = pairs.select(F.col("b").alias("node"), F.col("a").alias("asker")).unionByName(askers).join(many.select("node", "fp1", "packed"), "node")
+    met = both.groupBy(F.pmod(F.xxhash64(F.coalesce("asker", "node")), F.lit(bins)).alias("bin")).applyInArrow(_ask(shingle, percent), EDGES)
 
     links = found.filter("a is not null").select("a", "b").unionByName(met.select("a", "b"))
     labels = components(links, scratch).select("node", F.col("component").alias("c"))

@@ -99,6 +99,22 @@ def test_large_groups_are_cut_into_blocks(spark, monkeypatch):
     assert got == Counter(brute.near(rows))
 
 
+def test_texts_that_share_only_a_common_line_do_not_meet(spark, monkeypatch):
+    rng = random.Random(8)
+    line = _text(rng, 14)
+    own = [_text(rng, 9) for _ in range(120)]
+    rows = [(i, f"{line} {x}") for i, x in enumerate(own)]
+    rows += [(1000 + i, f"{line} {x[:-1]}") for i, x in enumerate(own[:20])]  # links, in other blocks too
+    monkeypatch.setattr(near, "BLOCK", 16)
+    monkeypatch.setattr(near, "PIVOTS", 2)
+    met, rare = [], near._rare
+    monkeypatch.setattr(near, "_rare", lambda *a: met.append(out := rare(*a).cache()) or out)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near.near(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2).collect())
+    assert got == Counter(brute.near(rows)) and sum(not k[3] for k in got) >= 20
+    pairs = met[0].count()
+    assert 10 <= pairs <= 2 * len(rows)  # every document was handed to every block before: 140 * 9 and more
+
+
 def test_repeated_numbers_with_other_texts_may_lose_links(spark):
     rng = random.Random(21)
     a, b = _text(rng, 120).split(), _text(rng, 120).split()
