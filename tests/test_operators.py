@@ -313,3 +313,73 @@ def test_policy_is_sound():
     assert not config.unmapped_defects() and not config.ambiguous_headers()
     twice = config.Settings(headers={"school_submission": {"sex": ["DOB"]}}).datasets()
     assert config.ambiguous_headers(twice) == ["school_submission: 'dob' for ['birth_date', 'sex']"]
+
+
+def _two_waves(spark, n=60):
+    """Waves with repeated ids, reference numbers, names and dates, and with nulls."""
+    rng = random.Random(11)
+    rows = {}
+    for wave in ("baseline", "endline"):
+        some = lambda i: {"period": wave, "child_record_id": None if i == 5 else f"{wave[0]}{i % (n - 3)}", "school_id": f"S{rng.randrange(4)}", "lrn_clean": rng.choice([None, f"{100000000000 + rng.randrange(40)}"]), "student_name_clean": rng.choice([None, "ANA CRUZ", "ANNA CRUZ", "BEN REYES", f"NAME {rng.randrange(9)}"]), "first_letter_name": rng.choice("ABN"), "birthday_str": rng.choice([None, "2015-03-04", "2015-04-03", "2015-03-05", "2016-03-04"]), "sex": rng.choice([None, "Male", "Female"])}  # noqa: B023,E731
+        rows[wave] = spark.createDataFrame([child(i, **some(i)) for i in range(n)], CHILD).localCheckpoint()
+    return rows["baseline"], rows["endline"]
+
+
+def test_blocked_pairs_are_told_apart_without_being_gathered(spark):
+    from panelforge.config import BLOCKING
+
+    b, e = _two_waves(spark)
+    keys = [[[F.expr(x).alias(f"r{i}_{j}") for j, x in enumerate(rule)] for i, rule in enumerate(BLOCKING)] for _ in "be"]
+    left, right = (df.select("child_record_id", *[x for rule in k for x in rule]).collect() for df, k in zip((b, e), keys, strict=True))
+    want = {}
+    for x in left:
+        for y in right:
+            met = [i for i, rule in enumerate(BLOCKING) if all(x[f"r{i}_{j}"] is not None and x[f"r{i}_{j}"] == y[f"r{i}_{j}"] for j in range(len(rule)))]
+            if met:
+                k = (x.child_record_id, y.child_record_id)
+                want[k] = min(met[0], want.get(k, 9))
+    got = linkage.blocked_pairs(b, e).collect()
+    assert len(got) == len(want) and {(r.baseline_record_id, r.endline_record_id): r.match_key for r in got} == want
+    named = linkage.blocked_pairs(b, e, columns=linkage.FIELDS)
+    old = linkage.with_records(linkage.blocked_pairs(b, e), b, e)
+    assert sorted(map(str, named.select(*old.columns).collect())) == sorted(map(str, old.collect()))
+    once = [df.dropDuplicates(["child_record_id"]) for df in (b, e)]
+    plan = linkage.blocked_pairs(*[df.localCheckpoint() for df in once])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan  # all pairs went through a shuffle before
+
+
+def test_pairs_that_cannot_reach_a_threshold_are_the_rest(spark):
+    from panelforge.plans.queries import FIXED_MODEL
+
+    b, e = (df.filter("child_record_id is not null").dropDuplicates(["child_record_id"]).localCheckpoint() for df in _two_waves(spark))
+    every = linkage.probabilistic_candidates(b, e, FIXED_MODEL).localCheckpoint()
+    some, rest = (linkage.probabilistic_candidates(b, e, FIXED_MODEL, least=0.1, rest=x).localCheckpoint() for x in (False, True))
+    assert sorted(map(str, some.unionByName(rest).collect())) == sorted(map(str, every.collect()))
+    assert rest.count() and rest.filter("match_probability >= 0.1").count() == 0 and some.filter("match_probability >= 0.1").count()
+    whole, parts = resolver.resolve(every), resolver.resolve(some, unique=True, rest=rest)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, parts.select(*whole.columns).collect()))
+
+
+def test_only_pairs_above_the_threshold_enter_windows(spark):
+    from panelforge.plans.queries import FIXED_MODEL
+
+    b, e = (df.filter("child_record_id is not null").dropDuplicates(["child_record_id"]).localCheckpoint() for df in _two_waves(spark))
+    plan = resolver.resolve(linkage.probabilistic_candidates(b, e, FIXED_MODEL), unique=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and "rank(" in plan and "rank(" not in plan[plan.rindex("\n+- ") :]  # all pairs did before
+
+
+def test_one_edit_is_that_of_all_short_texts(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("ab1") for _ in range(rng.randrange(0, 9))) for _ in range(60)]
+
+    def near(x, y):
+        if abs(len(x) - len(y)) > 1:
+            return False
+        cut = [x[:i] + x[i + 1 :] for i in range(len(x))]
+        swap = [x[:i] + x[i + 1] + x[i] + x[i + 2 :] for i in range(len(x) - 1)]
+        change = [x[:i] + y[i] + x[i + 1 :] for i in range(len(x))] if len(x) == len(y) else []
+        return x == y or y in cut or y in swap or y in change or x in [y[:i] + y[i + 1 :] for i in range(len(y))]
+
+    df = spark.createDataFrame([(x, y) for x in words for y in words], "a string, b string")
+    got = df.select("a", "b", similarity.one_edit(F.col("a"), F.col("b")).alias("n")).collect()
+    assert [r.n for r in got] == [near(r.a, r.b) for r in got]
