@@ -6,10 +6,12 @@ ones, until each component is a star around its smallest id. Minima are combined
 before they are shuffled, and return to the edges by join_hubs(), so that the
 edges of a node with very many of them stay where they are. Each round is
 written to the shared folder, in two halves; the last one's table goes when the driver ends.
+At most FEW edges are solved by the driver, as a round takes many jobs however few they are.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,23 @@ from panelforge.llm.common import Scratch, dropped, freed_shuffles, shared_dir,
 #: Keys that can have over one in so many of all rows: no more than that, so they fit a broadcast.
 HUBS = 4096
 LEAST_HUB = 1000
+#: Edges, some 2 MB, that come to the driver at most.
+FEW = 1 << 17
+
+
+def _stars(edges: pa.Table) -> pa.Table:
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    for u, v in zip(edges.column("u").to_pylist(), edges.column("v").to_pylist(), strict=True):
+        a, b = root(u), root(v)
+        parent[max(a, b)] = min(a, b)
+    nodes = list(parent)
+    return pa.table({"node": pa.array(nodes, pa.int64()), "component": pa.array([root(x) for x in nodes], pa.int64())})
 
 
 def join_hubs(rows: DataFrame, facts: DataFrame, key: str, total: int) -> DataFrame:
@@ -50,6 +69,10 @@ def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     now, path = put(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     sign = lambda df: df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).collect()[0]
     was = sign(now)
+    if was["n"] <= FEW:
+        out = spark.createDataFrame(_stars(now.toArrow()), "node long, component long")
+        dropped(path, spark)
+        return out
     while was["n"]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n"))

@@ -22,10 +22,12 @@ around it as sharply as for independent places.
    tied to the block's first pivot then asks the whole group, by rare shingles:
    with a group's shingles in order of their number in it, linked sets share one
    of their first size - ceil(0.8 size) + 1. Lines that many texts have are late
-   in that order, so texts that share no more than such lines don't meet. A pair
+   in that order, so texts that share no more than such lines don't meet. Where
+   at most ASKERS documents ask by a shingle, they are paired with all that have
+   it; the shingles of more tie their documents to sets, in which a block of
+   askers meets a block of documents in a task, so that no pairs are made. A pair
    is compared by hashes of its shingles first, and becomes a link if the
-   shingles' words themselves confirm it. Only these last pairs are emitted;
-   else it is the edges of a forest.
+   shingles' words themselves confirm it. Only the edges of a forest are emitted.
 4. Components of these edges, spread over the classes.
 
 Null and empty texts, and texts without words, have an empty set and are linked
@@ -54,7 +56,9 @@ COORDINATES = ROWS * BANDS
 #: Documents of a block at most, about, and shingles of all of them.
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 22
 PIVOTS = 16
-#: The same of the small groups that are solved at once.
+#: Documents that ask by a shingle, up to which they are paired with all that have it.
+ASKERS = 4
+#: Documents and shingles, as in a block, of the small groups that are solved at once.
 BIN, BIN_SHINGLES = 256, 1 << 19
 #: Places of COORDINATES that agree at 0.8, less six standard deviations.
 AGREE = int(COORDINATES * 0.8 - 6 * (COORDINATES * 0.16) ** 0.5)
@@ -294,21 +298,73 @@ def _keys(shingle: int):
     return slim(run)
 
 
-def _rare(keys: DataFrame, percent: int) -> DataFrame:
-    """a, b, size: pairs of a document that asks and another one that may be linked, by shingles that are rare in their group.
-
-    A pair goes on if what it can still share after a common shingle is enough.
-    """
+def _prefixes(keys: DataFrame, percent: int) -> DataFrame:
+    """key, node, size, asks, place: the shingles by which documents may be linked, from the one that is rarest in their group."""
     counts = keys.groupBy("key").agg(F.count("*").alias("n")).withColumn("often", F.col("n"))
     # repeated rows of a document have one place
     place = F.dense_rank().over(Window.partitionBy("node").orderBy("often", "key"))
     first = join_hubs(keys, counts, "key", keys.count()).withColumn("place", place)
-    first = first.filter(F.col("place") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1).drop("often")
-    a, b = (first.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "size", "asks", "place")]) for x in "ab")
-    shared = F.least("a_place", "b_place") + F.least(F.expr("a_size - a_place"), F.expr("b_size - b_place"))
-    enough = 100 * shared >= percent * (F.col("a_size") + F.col("b_size") - shared)
+    return first.filter(F.col("place") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1).drop("often").distinct()
+
+
+def _crowds(first: DataFrame, shared: DataFrame, scratch: Scratch) -> DataFrame:
+    """node, crowd, size, asks: the sets of documents that hang together by shingles with over ASKERS askers."""
+    often = shared.filter(F.col("asked") > ASKERS).select("key", "least", "n")
+    ties = join_hubs(first, often, "key", first.count()).filter("node <> least")
+    found = components(ties.select(F.col("node").alias("a"), F.col("least").alias("b")), scratch).withColumnRenamed("component", "crowd")
+    return scratch.put(found.join(first.select("node", "size", "asks").distinct(), "node"))
+
+
+def _rare(first: DataFrame, shared: DataFrame, crowds: DataFrame, percent: int) -> DataFrame:
+    """a, b, size: pairs of a document that asks and another one that may be linked, but for those of one crowd.
+
+    A pair goes on if what it can still share after a common shingle is enough.
+    """
+    few = shared.filter(F.col("asked").between(1, ASKERS) & (F.col("n") > 1)).select("key")
+    first = first.join(few, "key").join(crowds.select("node", "crowd"), "node", "left")
+    a, b = (first.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "size", "asks", "place", "crowd")]) for x in "ab")
+    common = F.least("a_place", "b_place") + F.least(F.expr("a_size - a_place"), F.expr("b_size - b_place"))
+    enough = 100 * common >= percent * (F.col("a_size") + F.col("b_size") - common)
     once = F.when(F.col("b_asks"), F.col("a_node") < F.col("b_node")).otherwise(F.col("a_node") != F.col("b_node"))
-    return a.filter("a_asks").join(b, "key").filter(once & enough).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), F.col("b_size").alias("size")).distinct()
+    apart = F.coalesce(F.col("a_crowd") != F.col("b_crowd"), F.lit(True))
+    return a.filter("a_asks").join(b, "key").filter(once & enough & apart).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), F.col("b_size").alias("size")).distinct()
+
+
+def _dealt(crowds: DataFrame) -> DataFrame:
+    """node, crowd, k1, k2, asker, met: each crowd's blocks of askers with each of its blocks of documents; small crowds share a bin."""
+    cut = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    sizes = crowds.groupBy("crowd").agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.count_if("asks").alias("an"), F.sum(F.when(F.col("asks"), F.col("size")).otherwise(0)).alias("asize"))
+    total = sizes.agg(F.sum("n").alias("n"), F.sum("size").alias("size")).collect()[0]
+    bins = max(1, -(-(total["n"] or 0) // BIN), -(-(total["size"] or 0) // BIN_SHINGLES))
+    placed = crowds.join(sizes.select("crowd", cut(F.col("n"), F.col("size")).alias("there"), cut(F.col("an"), F.col("asize")).alias("here")), "crowd")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
+    met = placed.select("node", "crowd", "here", "there", every("here").alias("i"), own("there", 5).alias("j"), F.lit(False).alias("asker"))
+    asking = placed.filter("asks").select("node", "crowd", "here", "there", own("here", 6).alias("i"), every("there").alias("j"), F.lit(True).alias("asker"))
+    small = F.col("here") * F.col("there") == 1
+    k1 = F.when(small, F.pmod(F.xxhash64("crowd"), F.lit(bins))).otherwise(F.col("crowd"))
+    k2 = F.when(small, F.lit(-1).cast("long")).otherwise(F.col("i").cast("long") * F.col("there") + F.col("j"))
+    return met.unionByName(asking).select("node", "crowd", k1.alias("k1"), k2.alias("k2"), "asker")
+
+
+def _meet(shingle: int, percent: int):
+    """Askers of crowds with the documents that they meet. A document that does both is there twice."""
+
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        asker = t.column("asker").to_numpy(zero_copy_only=False).astype(bool)
+        node = t.column("node").to_numpy()
+        asks, here = node[asker], node[~asker]
+        g = Group(t, shingle)
+        asks, here = np.isin(g.ids, asks), np.isin(g.ids, here)
+        crowd = t.column("crowd").to_numpy()[g.at]
+        order = np.argsort(crowd, kind="stable")
+        edges: list[tuple[int, int]] = []
+        for part in np.split(order, np.flatnonzero(np.diff(crowd[order])) + 1):
+            edges += g.join(part[asks[part]], part[here[part]], percent)
+        give_back()
+        return _rows(g, edges, np.zeros(0, np.int64))
+
+    return run
 
 
 def _ask(shingle: int, percent: int):
@@ -377,16 +433,20 @@ def near(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame
     loose = found.filter("loose is not null").select(F.col("loose").alias("node")).distinct().withColumn("asks", F.lit(True))
     here = many.select("node", "grp", "fp1", "packed").join(loose, "node", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
     here = here.join(many.join(loose, "node").select("grp").distinct(), "grp")
-    pairs = scratch.put(_rare(scratch.put(here.select("node", "grp", "fp1", "packed", "asks").mapInArrow(_keys(shingle), KEYS)), percent))
+    first = scratch.put(_prefixes(scratch.put(here.select("node", "grp", "fp1", "packed", "asks").mapInArrow(_keys(shingle), KEYS)), percent))
+    shared = first.groupBy("key").agg(F.count_if("asks").alias("asked"), F.min("node").alias("least"), F.count("*").alias("n"))
+    crowds = _crowds(first, shared, scratch)
+    pairs = scratch.put(_rare(first, shared, crowds, percent))
     total = pairs.agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()[0]
     bins = max(1, -(-total["n"] // BLOCK), -(-(total["size"] or 0) // BIN_SHINGLES))
     askers = pairs.select(F.col("a").alias("node"), F.lit(None).cast("long").alias("asker")).distinct()
     both = pairs.select(F.col("b").alias("node"), F.col("a").alias("asker")).unionByName(askers).join(many.select("node", "fp1", "packed"), "node")
     met = both.groupBy(F.pmod(F.xxhash64(F.coalesce("asker", "node")), F.lit(bins)).alias("bin")).applyInArrow(_ask(shingle, percent), EDGES)
+    crowded = _dealt(crowds).join(many.select("node", "fp1", "packed"), "node").groupBy("k1", "k2").applyInArrow(_meet(shingle, percent), EDGES)
 
-    links = found.filter("a is not null").select("a", "b").unionByName(met.select("a", "b"))
+    links = found.filter("a is not null").select("a", "b").unionByName(met.select("a", "b")).unionByName(crowded.select("a", "b"))
     labels = components(links, scratch).select("node", F.col("component").alias("c"))
-    known = classes.join(labels, "node", "left").select("fp1", "fp2", F.coalesce("c", "node").alias("c"))
+    known = scratch.put(classes.join(labels, "node", "left").select("fp1", "fp2", F.coalesce("c", "node").alias("c")))  # a table, so that Spark can split the rows of a large class
     has_set = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     out = (
         sketched.select("doc_id", "text_hash", "n_shingles", F.when(has_set, F.col("fp1")).alias("fp1"), "fp2")

@@ -115,6 +115,25 @@ def test_texts_that_share_only_a_common_line_do_not_meet(spark, monkeypatch):
     assert 10 <= pairs <= 2 * len(rows)  # every document was handed to every block before: 140 * 9 and more
 
 
+def test_many_texts_that_are_nearly_copies_are_not_paired(spark, monkeypatch):
+    rng = random.Random(31)
+    base = _text(rng, 40).split()
+    rows = []
+    for i in range(150):  # below 0.8 to each other, but for some
+        words = list(base)
+        for k in rng.sample(range(40), 4):
+            words[k] = f"w{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, f"{t} end{i}") for i, t in rows[:30]]
+    monkeypatch.setattr(near, "BLOCK", 16)
+    monkeypatch.setattr(near, "PIVOTS", 1)
+    met, rare = [], near._rare
+    monkeypatch.setattr(near, "_rare", lambda *a: met.append(out := rare(*a).cache()) or out)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near.near(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2).collect())
+    assert got == Counter(brute.near(rows)) and sum(not k[3] for k in got) >= 30
+    assert met[0].count() <= 2 * len(rows)  # pairs grew with the square of their number before
+
+
 def test_repeated_numbers_with_other_texts_may_lose_links(spark):
     rng = random.Random(21)
     a, b = _text(rng, 120).split(), _text(rng, 120).split()
@@ -154,6 +173,14 @@ def test_components(spark):
     assert got == {x: root(x) for a, b in edges if a != b for x in (a, b)}
 
 
+def test_components_of_many_and_of_few_edges_are_the_same(spark, monkeypatch):
+    rng = random.Random(6)
+    edges = spark.createDataFrame([(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(7, i) for i in range(400, 460)], "a long, b long").localCheckpoint()
+    few = sorted(map(tuple, components.components(edges).collect()))
+    monkeypatch.setattr(components, "FEW", 0)
+    assert few and few == sorted(map(tuple, components.components(edges).collect()))
+
+
 def test_licenses(docs, none):
     got = Counter(tuple(r)[:6] for r in licenses.scan(docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels").collect())
     assert got == Counter(brute.licenses(pairs(docs), licenses.BASE))
