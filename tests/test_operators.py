@@ -383,3 +383,15 @@ def test_one_edit_is_that_of_all_short_texts(spark):
     df = spark.createDataFrame([(x, y) for x in words for y in words], "a string, b string")
     got = df.select("a", "b", similarity.one_edit(F.col("a"), F.col("b")).alias("n")).collect()
     assert [r.n for r in got] == [near(r.a, r.b) for r in got]
+
+
+def test_joins_carry_each_column_once_and_only_one_rule_needs_repeated_numbers(spark):
+    import re
+
+    from panelforge.plans.queries import FIXED_MODEL
+
+    b, e = (df.filter("child_record_id is not null").dropDuplicates(["child_record_id"]).localCheckpoint() for df in _two_waves(spark))
+    plan = linkage.probabilistic_candidates(b, e, FIXED_MODEL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2  # ten before: one for each rule and side
+    plan = linkage.blocked_pairs(b, e, columns=linkage.FIELDS)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Join Inner", plan)) == 5 and not re.search(r"(lrn_clean|birthday_str|school_id|sex)#\d+ AS [be]_k\d", plan)
