@@ -1,6 +1,7 @@
 """Rules, linkage, resolver and marts on small frames."""
 
 import random
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -395,3 +396,22 @@ def test_joins_carry_each_column_once_and_only_one_rule_needs_repeated_numbers(s
     assert plan.count("Window [") == 2  # ten before: one for each rule and side
     plan = linkage.blocked_pairs(b, e, columns=linkage.FIELDS)._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"Join Inner", plan)) == 5 and not re.search(r"(lrn_clean|birthday_str|school_id|sex)#\d+ AS [be]_k\d", plan)
+
+
+def test_repeated_numbers_are_marked_in_the_join_on_numbers(spark):
+    from panelforge.plans.queries import FIXED_MODEL
+
+    b, e = _two_waves(spark)
+    once = [df.dropDuplicates(["child_record_id"]).localCheckpoint() for df in (b, e)]  # one row of each wave has no id
+    n = [Counter(r.lrn_clean for r in df.collect()) for df in once]
+    own = [{r.child_record_id: r.lrn_clean for r in df.collect()} for df in once]
+    got = linkage.probabilistic_candidates(*once, FIXED_MODEL).collect()
+    shared = [(r, own[0][r.baseline_record_id]) for r in got if own[0][r.baseline_record_id] is not None and own[0][r.baseline_record_id] == own[1][r.endline_record_id]]
+    assert {r.ambiguous for r, _ in shared} == {True, False} and all(r.ambiguous == (n[0][x] > 1 or n[1][x] > 1) for r, x in shared)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = linkage.probabilistic_candidates(*once, FIXED_MODEL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 10  # twelve or more before: the records went by their numbers first
