@@ -415,3 +415,46 @@ def test_repeated_numbers_are_marked_in_the_join_on_numbers(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("Exchange hashpartitioning") == 10  # twelve or more before: the records went by their numbers first
+
+
+def _competing(spark, seed=12):
+    """Candidates in which weights tie, lead by little or by much, each pair once; probabilities follow the weights."""
+    rng, rows = random.Random(seed), []
+    for g in range(50):
+        for b, e in ((i, j) for i in range(4) for j in range(4) if rng.random() < 0.5):
+            w = float(rng.choice([-5, -1, 0, 1, 2, 3, 3.5, 6]))
+            rows.append((f"c{g}{b}{e}", f"b{g}_{b}", f"e{g}_{e}", "probabilistic", 2**w / (1 + 2**w), w, "S1", rng.choice(["S1", "S1", "S2", None]), rng.random() < 0.1))
+    return spark.createDataFrame(rows, "candidate_id string, baseline_record_id string, endline_record_id string, method string, match_probability double, match_weight double, baseline_school_id string, endline_school_id string, ambiguous boolean")
+
+
+def test_accepted_pairs_are_those_of_the_resolver(spark):
+    df = _competing(spark)
+    columns = ["baseline_record_id", "endline_record_id", "match_probability", "match_weight", "transferred_flag", "decision"]
+    parts = [df.filter(F.abs(F.xxhash64("candidate_id")) % 3 == i) for i in range(3)]
+    for accept, margin in ((0.1, 1.0), (0.6, 0.0)):
+        want = resolver.resolve(df, accept, accept, margin, unique=True).filter("decision = 'accepted'").select(columns).collect()
+        got = resolver.accepted(parts, accept, margin).select(columns).collect()
+        assert want and sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_what_is_shuffled_for_accepted_pairs_grows_with_the_records(spark):
+    n = 120  # all of a wave meet all of the other one, as on a common date
+    df = spark.range(n * n).selectExpr("'B' || id div 120 as baseline_record_id", "'E' || id % 120 as endline_record_id", "cast(id % 7 as double) as match_weight", "0.9D as match_probability", "false as ambiguous", "'S' as baseline_school_id", "'S' as endline_school_id")
+    assert resolver._best_of_task(df.coalesce(2), 0.1, 1.0).count() <= 2 * 2 * n
+    import pandas as pd
+
+    rows = pd.DataFrame([("b", "x", "p", 3.0, None, 0.9, False, False), ("b", "x", "q", 5.0, 4.5, 0.9, False, False), ("b", "y", "r", 5.0, 1.0, 0.9, False, True), ("b", "y", "s", 2.0, None, 0.9, False, False), ("e", "x", "t", 1.0, None, 0.9, True, False)], columns=[c.split()[0] for c in resolver.BEST.split(", ")])
+    got = resolver._leading(rows, 1.0).sort_values(["side", "record_id"])
+    assert got["partner"].tolist() == [None, "r", "t"] and got["weight"].tolist() == [5.0, 5.0, 1.0] and got["second"].fillna(-9).tolist() == [4.5, 2.0, -9.0]
+
+
+def test_conflicts_and_outcomes_do_not_put_pairs_into_windows(spark, monkeypatch):
+    from panelforge.plans import queries
+
+    def refuse(*_, **__):
+        raise AssertionError("all pairs above the threshold went through windows")
+
+    monkeypatch.setattr(resolver, "decide", refuse)
+    b, e = (df.filter("child_record_id is not null").dropDuplicates(["child_record_id"]).localCheckpoint() for df in _two_waves(spark))
+    monkeypatch.setattr(queries, "people", lambda *_: (b, e))
+    assert queries.one_to_one_conflicts(spark, "").count() == 0
