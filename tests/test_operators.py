@@ -458,3 +458,6 @@ def test_conflicts_and_outcomes_do_not_put_pairs_into_windows(spark, monkeypatch
     b, e = (df.filter("child_record_id is not null").dropDuplicates(["child_record_id"]).localCheckpoint() for df in _two_waves(spark))
     monkeypatch.setattr(queries, "people", lambda *_: (b, e))
     assert queries.one_to_one_conflicts(spark, "").count() == 0
+    monkeypatch.setattr(queries, "truth_links", lambda *_: spark.createDataFrame([("none", "none")], "baseline_record_id string, endline_record_id string"))
+    got = queries.pair_outcomes(spark, "").groupBy("outcome").count().collect()
+    assert {r.outcome for r in got} == {"fn", "fp"}
