@@ -461,3 +461,17 @@ def test_conflicts_and_outcomes_do_not_put_pairs_into_windows(spark, monkeypatch
     monkeypatch.setattr(queries, "truth_links", lambda *_: spark.createDataFrame([("none", "none")], "baseline_record_id string, endline_record_id string"))
     got = queries.pair_outcomes(spark, "").groupBy("outcome").count().collect()
     assert {r.outcome for r in got} == {"fn", "fp"}
+
+
+def test_review_queue_without_windows_is_that_of_the_resolver(spark):
+    from panelforge.plans.queries import FIXED_MODEL
+
+    b, e = (df.filter("child_record_id is not null").dropDuplicates(["child_record_id"]).localCheckpoint() for df in _two_waves(spark, 40))
+    columns = ["baseline_record_id", "endline_record_id", "match_probability", "match_weight", "transferred_flag", "decision"]
+    every = linkage.probabilistic_candidates(b, e, FIXED_MODEL).localCheckpoint()
+    for accept, floor in ((0.1, 0.1), (0.97, 0.3)):
+        want = resolver.review_queue(resolver.resolve(every, accept, floor, 1.0, unique=True)).select(columns).collect()
+        got = resolver.reviewed(b, e, lambda x, y: linkage.candidate_parts(x, y, FIXED_MODEL, least=min(accept, floor)), accept, floor, 1.0)  # noqa: B023
+        assert {r.decision for r in want} >= {"review"} and sorted(map(str, got.select(columns).collect())) == sorted(map(str, want))
+        # the pairs of the free records come from joins on keys, no window or aggregate over pairs: all pairs above went through four before
+        assert "rank(" not in got._jdf.queryExecution().optimizedPlan().toString()
