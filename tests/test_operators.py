@@ -417,6 +417,27 @@ def test_repeated_numbers_are_marked_in_the_join_on_numbers(spark):
     assert plan.count("Exchange hashpartitioning") == 10  # twelve or more before: the records went by their numbers first
 
 
+def test_score_pairs_reads_waves_that_are_laid_out_and_shuffles_nothing(spark, monkeypatch):
+    from panelforge.plans import queries
+
+    monkeypatch.setattr(linkage, "BUCKET_ROWS", 20, raising=False)  # several buckets
+    b, e = _two_waves(spark)
+    once = [df.dropDuplicates(["child_record_id"]).localCheckpoint() for df in (b, e)]  # a row without an id is left
+    for waves in ((b, e), once):  # with repeated ids, and without
+        monkeypatch.setattr(queries, "people", lambda *_: waves)  # noqa: B023
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            got = queries.score_pairs(spark, "")
+            plan = got._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        want = linkage.probabilistic_candidates(*waves, queries.FIXED_MODEL).select(got.columns).collect()
+        assert want and sorted(map(str, got.collect())) == sorted(map(str, want))
+    assert plan.count("SortMergeJoin") == 5 and "Exchange" not in plan  # ten shuffles were there at once before
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("panelforge_")]
+
+
 def _competing(spark, seed=12):
     """Candidates in which weights tie, lead by little or by much, each pair once; probabilities follow the weights."""
     rng, rows = random.Random(seed), []
