@@ -45,6 +45,7 @@ def old_mart(every):
 OLD = {
     "pattern_counts": lambda every, once, truth: linkage.pattern_counts(old_levels(once)),
     "comparison_levels": lambda every, once, truth: old_levels(once),
+    "score_pairs": lambda every, once, truth: every,
 }
 
 
