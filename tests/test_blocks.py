@@ -46,6 +46,8 @@ OLD = {
     "pattern_counts": lambda every, once, truth: linkage.pattern_counts(old_levels(once)),
     "comparison_levels": lambda every, once, truth: old_levels(once),
     "score_pairs": lambda every, once, truth: every,
+    "pair_outcomes": lambda every, once, truth: scorecards.pair_outcomes(resolver.resolve(every, unique=True), truth),
+    "one_to_one_conflicts": lambda every, once, truth: resolver.conflicts(resolver.resolve(every, unique=True)),
 }
 
 
