@@ -49,6 +49,7 @@ OLD = {
     "pair_outcomes": lambda every, once, truth: scorecards.pair_outcomes(resolver.resolve(every, unique=True), truth),
     "one_to_one_conflicts": lambda every, once, truth: resolver.conflicts(resolver.resolve(every, unique=True)),
     "review_queue": lambda every, once, truth: resolver.review_queue(resolver.resolve(every, unique=True)),
+    "resolve_one_to_one": lambda every, once, truth: resolver.resolve(every, unique=True),
 }
 
 
