@@ -50,6 +50,7 @@ OLD = {
     "one_to_one_conflicts": lambda every, once, truth: resolver.conflicts(resolver.resolve(every, unique=True)),
     "review_queue": lambda every, once, truth: resolver.review_queue(resolver.resolve(every, unique=True)),
     "resolve_one_to_one": lambda every, once, truth: resolver.resolve(every, unique=True),
+    "linkage_scorecard_sweep": lambda every, once, truth: old_sweep(every, once, truth),
 }
 
 
