@@ -51,6 +51,7 @@ OLD = {
     "review_queue": lambda every, once, truth: resolver.review_queue(resolver.resolve(every, unique=True)),
     "resolve_one_to_one": lambda every, once, truth: resolver.resolve(every, unique=True),
     "linkage_scorecard_sweep": lambda every, once, truth: old_sweep(every, once, truth),
+    "review_mart": lambda every, once, truth: old_mart(every),
 }
 
 
